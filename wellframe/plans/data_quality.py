@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import spikes
+from ..operators import nearby, regular_grid, spikes
 from ..session import table
 
 
@@ -13,5 +13,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spikes.found(table(spark, sf_dir, "observations"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites within 150 m of one another, and the county of each site."""
+    return nearby.found(table(spark, sf_dir, "sites"), table(spark, sf_dir, "counties"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periods without reading inside the recorder series."""
+    return regular_grid.missing_periods(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sensor_streams"))
+
+
+def p5_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regular series themselves."""
+    return regular_grid.regular_grid(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sensor_streams"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_grid": p5_grid}
 ORACLES: dict[str, str] = {}
