@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import nearby, regular_grid, spikes
+from ..operators import nearby, regular_grid, spikes, unit_repair
 from ..session import table
 
 
@@ -28,5 +28,15 @@ def p5_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regular_grid.regular_grid(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sensor_streams"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_grid": p5_grid}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lab results that state a unit other than the common one."""
+    return unit_repair.found(table(spark, sf_dir, "lab_results"), table(spark, sf_dir, "unit_names"))
+
+
+def p7_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lab result in its parameter's common unit."""
+    return unit_repair.common_units(table(spark, sf_dir, "lab_results"), table(spark, sf_dir, "unit_names"))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_grid": p5_grid, "p7_found": p7_found, "p7_common": p7_common}
 ORACLES: dict[str, str] = {}
