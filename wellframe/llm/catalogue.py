@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import components, percentiles
+from . import components, linkage, percentiles
 
 PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 
@@ -45,6 +45,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.site_groups(table(spark, sf_dir, "sites"))
 
 
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching wells of the two site tables with their confidence."""
+    return linkage.match(table(spark, sf_dir, "sites"), table(spark, sf_dir, "pod_sites"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that describe the same well."""
+    return p6_matches(spark, sf_dir).select("site_uid", "pod_uid")
+
+
 QUERIES = {
     "p3_parameter": p3_parameter,
     "p3_parameter_source": p3_parameter_source,
@@ -52,6 +62,8 @@ QUERIES = {
     "p3_days": p3_days,
     "p3_runs": p3_runs,
     "p4_found": p4_found,
+    "p6_found": p6_found,
+    "p6_matches": p6_matches,
 }
 
 
