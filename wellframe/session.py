@@ -59,3 +59,9 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Over as many tasks as there are cores, where the files alone would keep most of them idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
