@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import components, linkage, percentiles
+from . import components, encoding, leakage, linkage, percentiles
 
+#: The public byte-level vocabulary; it stays outside the repository.
+VOCABULARY = os.environ.get("WELLFRAME_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 
 
@@ -55,6 +58,21 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("site_uid", "pod_uid")
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encoding.encode(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the test items they share 13 consecutive words with."""
+    return leakage.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaks with their alignment, edited copies included."""
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 QUERIES = {
     "p3_parameter": p3_parameter,
     "p3_parameter_source": p3_parameter_source,
@@ -64,6 +82,9 @@ QUERIES = {
     "p4_found": p4_found,
     "p6_found": p6_found,
     "p6_matches": p6_matches,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_leaks": p9_leaks,
 }
 
 
