@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import components, encoding, leakage, linkage, percentiles
+from . import components, encoding, leakage, linkage, percentiles, residue
 
 #: The public byte-level vocabulary; it stays outside the repository.
 VOCABULARY = os.environ.get("WELLFRAME_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
@@ -73,6 +73,16 @@ def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p10_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with leftovers in place of content, and of what kind."""
+    return residue.residue(table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with leftovers in place of content."""
+    return p10_reasons(spark, sf_dir).select("doc_id")
+
+
 QUERIES = {
     "p3_parameter": p3_parameter,
     "p3_parameter_source": p3_parameter_source,
@@ -85,6 +95,8 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_leaks": p9_leaks,
+    "p10_found": p10_found,
+    "p10_reasons": p10_reasons,
 }
 
 
