@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import data_quality
+from .plans import data_quality, reference
 
-MODULES = [data_quality]
+MODULES = [reference, data_quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
