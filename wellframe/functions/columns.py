@@ -196,6 +196,12 @@ def meq(x: Column, ion: str) -> Column:
     return F.coalesce(x, F.lit(0.0)) / MEQ_WEIGHTS[ion]
 
 
+def half_up(x: Column, digits: int) -> Column:
+    """Rounded half up; noise far below the wanted digits does not decide, and 0 has no sign."""
+    scale = 10.0**digits
+    return F.floor(F.round(x * scale, 6) + 0.5) / scale
+
+
 def normal_tail(z: float) -> float:
     """Two-sided probability of a standard normal value."""
     return math.erfc(abs(z) / math.sqrt(2))

@@ -187,23 +187,23 @@ def haversine(spark, sf_dir):
 
 
 @query(r"""with x as (select site_uid, regexp_replace(upper(trim(coalesce(usgs_site_id, ''))), '\s+', ' ', 'g') as n from sites)
-select site_uid, array_to_string(list_filter(list_distinct([n, regexp_replace(n, '^(USGS-|USGS:|NWIS-|NWIS:)', '')]), k -> k <> '').list_sort(), '|') as keys from x""")
+select site_uid, array_to_string(list_filter(list_distinct([n, regexp_replace(n, '^(USGS-|USGS:|NWIS-|NWIS:)', '')]), lambda k: k <> '').list_sort(), '|') as keys from x""")
 def match_keys(spark, sf_dir):
     return table(spark, sf_dir, "sites").select("site_uid", F.array_join(F.array_sort(C.match_keys(F.col("usgs_site_id"))), "|").alias("keys"))
 
 
 @query(r"""with x as (select site_uid, regexp_extract_all(coalesce(alternate_site_id, ''), '(?:^|[^0-9])([0-9]{6}[ \t]?[0-9]{8,9})(?:[^0-9]|$)', 1) as k from sites)
-select site_uid, array_to_string(list_sort(list_distinct(list_transform(k, y -> regexp_replace(y, '[ \t]', '', 'g')))), '|') as stations from x""")
+select site_uid, array_to_string(list_sort(list_distinct(list_transform(k, lambda y: regexp_replace(y, '[ \t]', '', 'g')))), '|') as stations from x""")
 def station_keys(spark, sf_dir):
     return table(spark, sf_dir, "sites").select("site_uid", F.array_join(F.array_sort(C.station_keys(F.col("alternate_site_id"))), "|").alias("stations"))
 
 
-@query(r"""select site_uid, array_to_string(list_filter(regexp_split_to_array(coalesce(alternate_site_id, ''), '[,;|/\n\t ]+'), t -> t <> ''), '|') as refs from sites""")
+@query(r"""select site_uid, array_to_string(list_filter(regexp_split_to_array(coalesce(alternate_site_id, ''), '[,;|/\n\t ]+'), lambda t: t <> ''), '|') as refs from sites""")
 def reference_tokens(spark, sf_dir):
     return table(spark, sf_dir, "sites").select("site_uid", F.array_join(C.references(F.col("alternate_site_id")), "|").alias("refs"))
 
 
-@query(r"""select site_uid, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(upper(coalesce(name, '')), '[^\p{L}\p{N}]+'), t -> length(t) >= 3))), '|') as tokens from sites""")
+@query(r"""select site_uid, array_to_string(list_sort(list_distinct(list_filter(regexp_split_to_array(upper(coalesce(name, '')), '[^\p{L}\p{N}]+'), lambda t: length(t) >= 3))), '|') as tokens from sites""")
 def name_tokens(spark, sf_dir):
     return table(spark, sf_dir, "sites").select("site_uid", F.array_join(F.array_sort(C.name_tokens(F.col("name"))), "|").alias("tokens"))
 
@@ -371,7 +371,7 @@ z as (select *, (record_count * (record_count - 1) * (2 * record_count + 5) - ti
 y as (select *, case when var <= 0 or s = 0 then 0.0 else (s - sign(s)) / sqrt(var) end as zz from z)
 select seen.source, seen.id, seen.parameter_name, seen.record_count, seen.observation_count, seen.first_day, seen.last_day, round(seen.span, 3) as span_years,
   case when y.zz is null then 'not enough data' when abs(y.zz) <= 1.959963984540054 then 'stable' when y.zz > 0 then 'increasing' else 'decreasing' end as trend_category, cast(y.s as bigint) as mk_s,
-  round(y.s / (y.record_count * (y.record_count - 1) / 2), 4) as mk_tau, round(y.slope, 2) as slope_per_year from seen left join y using (source, id, parameter_name)"""
+  round(y.s / (y.record_count * (y.record_count - 1) / 2), 4) as mk_tau, floor(round((y.slope) * 100.0, 6) + 0.5) / 100.0 as slope_per_year from seen left join y using (source, id, parameter_name)"""
 
 
 @query(_trend_sql("min", "parameter_name = 'waterlevels'"))
@@ -400,7 +400,7 @@ def data_density(spark, sf_dir):
 e as (select source, id, parameter_name, max(t) as end_t, arg_max(v, t) as end_v from days group by all),
 n as (select d.*, end_t, end_v, abs(t - (end_t - 157788000)) as far from days d join e using (source, id, parameter_name)),
 b as (select source, id, parameter_name, end_t, end_v, first(v order by far, t) filter (where far <= 78894000 and t < end_t) as sv, first(t order by far, t) filter (where far <= 78894000 and t < end_t) as st, cast(sum(case when t >= end_t - 157788000 then 1 else 0 end) as bigint) as n_in_window from n group by all),
-r as (select *, round(end_v, 2) as dtw_end, round(sv, 2) as dtw_start, round(round(end_v, 2) - round(sv, 2), 2) as change from b)
+r as (select *, floor(round((end_v) * 100.0, 6) + 0.5) / 100.0 as dtw_end, floor(round((sv) * 100.0, 6) + 0.5) / 100.0 as dtw_start, floor(round((floor(round((end_v) * 100.0, 6) + 0.5) / 100.0 - floor(round((sv) * 100.0, 6) + 0.5) / 100.0) * 100.0, 6) + 0.5) / 100.0 as change from b)
 select source, id, parameter_name, dtw_end, {_iso('end_t')} as end_date, dtw_start, {_iso('st')} as start_date, change, n_in_window, case when change is null then 'insufficient' when change > 0 then 'declining' when change < 0 then 'rising' else 'stable' end as direction from r""")
 def level_change(spark, sf_dir):
     return series.change(_levels(spark, sf_dir))
@@ -410,7 +410,7 @@ def level_change(spark, sf_dir):
 l as (select source, id, parameter_name, arg_max(v, day) as latest, count(*) as n, min(v) as lo, max(v) as hi, median(v) as med from days group by all),
 r as (select l.*, sum((v < latest)::int) as less, sum((v = latest)::int) as same from days join l using (source, id, parameter_name) group by all),
 p as (select *, case when n >= 10 then 100 * (less + 0.5 * same) / n end as pct from r)
-select source, id, parameter_name, n as record_count, round(latest, 2) as latest, round(lo, 2) as min, round(med, 2) as median, round(hi, 2) as max, round(pct, 1) as percentile,
+select source, id, parameter_name, n as record_count, floor(round((latest) * 100.0, 6) + 0.5) / 100.0 as latest, floor(round((lo) * 100.0, 6) + 0.5) / 100.0 as min, floor(round((med) * 100.0, 6) + 0.5) / 100.0 as median, floor(round((hi) * 100.0, 6) + 0.5) / 100.0 as max, floor(round((pct) * 10.0, 6) + 0.5) / 10.0 as percentile,
   case when pct is null then 'insufficient' when pct >= 90 then 'much below normal' when pct >= 75 then 'below normal' when pct <= 10 then 'much above normal' when pct <= 25 then 'above normal' else 'normal' end as status from p""")
 def level_status(spark, sf_dir):
     return series.status(_levels(spark, sf_dir))
@@ -418,7 +418,7 @@ def level_status(spark, sf_dir):
 
 @query(f"""with {READINGS}, days as (select source, id, parameter_name, day, min(value) as v from rd where parameter_name = 'waterlevels' group by all),
 y as (select source, id, parameter_name, cast(year(day) as integer) as y, max(v) - min(v) as a from days group by all having count(*) >= 4)
-select source, id, parameter_name, count(*) as n_years, round(avg(a), 2) as mean_amplitude, round(max(a), 2) as max_amplitude, first(y order by a desc, y) as max_year, round(min(a), 2) as min_amplitude, first(y order by a, y) as min_year from y group by all""")
+select source, id, parameter_name, count(*) as n_years, floor(round((avg(a)) * 100.0, 6) + 0.5) / 100.0 as mean_amplitude, floor(round((max(a)) * 100.0, 6) + 0.5) / 100.0 as max_amplitude, first(y order by a desc, y) as max_year, floor(round((min(a)) * 100.0, 6) + 0.5) / 100.0 as min_amplitude, first(y order by a, y) as min_year from y group by all""")
 def seasonal_amplitude(spark, sf_dir):
     return series.seasonal(_levels(spark, sf_dir))
 

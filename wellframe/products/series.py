@@ -114,7 +114,7 @@ def trends(rows: DataFrame, reducer: str) -> DataFrame:
     category = F.when(F.col("n").isNull(), "not enough data").when(F.abs("z") <= Z_95, "stable").when(F.col("z") > 0, "increasing").otherwise("decreasing")
     return seen.join(t, WELL, "left").select(
         *WELL, "record_count", "observation_count", "first_day", "last_day", "span_years", category.alias("trend_category"), F.col("s").alias("mk_s"),
-        F.round(F.col("s") / (F.col("n") * (F.col("n") - 1) / 2), 4).alias("mk_tau"), F.round("slope", 2).alias("slope_per_year"),
+        F.round(F.col("s") / (F.col("n") * (F.col("n") - 1) / 2), 4).alias("mk_tau"), C.half_up(F.col("slope"), 2).alias("slope_per_year"),
     )
 
 
@@ -144,8 +144,8 @@ def change(rows: DataFrame, years: float = 5.0) -> DataFrame:
     best = near.groupBy(*WELL, "end", "end_value").agg(
         F.min_by(F.when(F.col("ok"), F.struct("value", "t")), F.when(F.col("ok"), F.struct("far", "t"))).alias("b"), F.sum(F.when(F.col("t") >= F.col("end") - years * JULIAN_YEAR_S, 1).otherwise(0)).alias("n_in_window")
     )
-    end, start = F.round("end_value", 2), F.round("b.value", 2)
-    diff = F.round(end - start, 2)
+    end, start = C.half_up(F.col("end_value"), 2), C.half_up(F.col("b.value"), 2)
+    diff = C.half_up(end - start, 2)
     return best.select(
         *WELL, end.alias("dtw_end"), iso_utc(F.col("end")).alias("end_date"), start.alias("dtw_start"), F.when(F.col("b").isNotNull(), iso_utc(F.col("b.t"))).alias("start_date"), diff.alias("change"), "n_in_window",
         F.when(diff.isNull(), "insufficient").when(diff > 0, "declining").when(diff < 0, "rising").otherwise("stable").alias("direction"),
@@ -158,16 +158,16 @@ def status(rows: DataFrame, least: int = 10) -> DataFrame:
     latest = days.groupBy(*WELL).agg(F.max_by("value", "day").alias("latest"), F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.percentile("value", F.lit(0.5)).alias("med"))
     ranked = days.drop("n").join(latest, WELL).groupBy(*WELL, "latest", "n", "lo", "hi", "med").agg(F.sum((F.col("value") < F.col("latest")).cast("int")).alias("less"), F.sum((F.col("value") == F.col("latest")).cast("int")).alias("same"))
     pct = F.when(F.col("n") >= least, 100 * (F.col("less") + 0.5 * F.col("same")) / F.col("n"))
-    return ranked.select(*WELL, F.col("n").alias("record_count"), F.round("latest", 2).alias("latest"), F.round("lo", 2).alias("min"), F.round("med", 2).alias("median"), F.round("hi", 2).alias("max"),
-                         F.round(pct, 1).alias("percentile"), C.status_class(pct).alias("status"))
+    return ranked.select(*WELL, F.col("n").alias("record_count"), C.half_up(F.col("latest"), 2).alias("latest"), C.half_up(F.col("lo"), 2).alias("min"), C.half_up(F.col("med"), 2).alias("median"), C.half_up(F.col("hi"), 2).alias("max"),
+                         C.half_up(pct, 1).alias("percentile"), C.status_class(pct).alias("status"))
 
 
 def seasonal(rows: DataFrame, least_days: int = 4) -> DataFrame:
     """Range within each year with enough days: mean, largest and smallest, and the years of the latter."""
     years = daily(rows, "min").groupBy(*WELL, F.year("day").alias("year")).agg((F.max("value") - F.min("value")).alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_days)
     return years.groupBy(*WELL).agg(
-        F.count(F.lit(1)).alias("n_years"), F.round(F.avg("a"), 2).alias("mean_amplitude"), F.round(F.max("a"), 2).alias("max_amplitude"), F.min_by("year", F.struct(-F.col("a"), "year")).alias("max_year"),
-        F.round(F.min("a"), 2).alias("min_amplitude"), F.min_by("year", F.struct("a", "year")).alias("min_year"),
+        F.count(F.lit(1)).alias("n_years"), C.half_up(F.avg("a"), 2).alias("mean_amplitude"), C.half_up(F.max("a"), 2).alias("max_amplitude"), F.min_by("year", F.struct(-F.col("a"), "year")).alias("max_year"),
+        C.half_up(F.min("a"), 2).alias("min_amplitude"), F.min_by("year", F.struct("a", "year")).alias("min_year"),
     )
 
 
@@ -180,8 +180,8 @@ def depletion(rows: DataFrame, sites: DataFrame) -> DataFrame:
     depth = wells(sites).select(F.col("source_key").alias("source"), "id", F.when(~F.isnan("well_depth"), C.length_in(F.col("well_depth"), F.col("well_depth_units"), "ft")).alias("depth_ft"))
     t = trends(rows, "min").select(*WELL, "trend_category", "slope_per_year")
     joined = last.join(t, WELL).join(depth, ["source", "id"], "left")
-    left = F.round(F.col("depth_ft") - F.col("latest"), 2)
+    left = C.half_up(F.col("depth_ft") - F.col("latest"), 2)
     usable = (F.col("trend_category") == "increasing") & (F.col("slope_per_year") > 0) & (left > 0)
-    years = F.when(usable, F.round(left / F.col("slope_per_year"), 1))
-    return joined.select(*WELL, "trend_category", "slope_per_year", F.round("latest", 2).alias("latest"), F.round("depth_ft", 2).alias("depth_ft"), left.alias("remaining_ft"), years.alias("years_to_depletion"),
+    years = F.when(usable, C.half_up(left / F.col("slope_per_year"), 1))
+    return joined.select(*WELL, "trend_category", "slope_per_year", C.half_up(F.col("latest"), 2).alias("latest"), C.half_up(F.col("depth_ft"), 2).alias("depth_ft"), left.alias("remaining_ft"), years.alias("years_to_depletion"),
                          (F.year("last_day") + years).cast("int").alias("depletion_year"))
