@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import nearby, regular_grid, spikes, unit_repair
 from ..session import table
+from .reference import _SITE_POINTS, EDGES, READINGS, _held
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,4 +40,13 @@ def p7_common(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_grid": p5_grid, "p7_found": p7_found, "p7_common": p7_common}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p2_found": f"""with {EDGES}, {_SITE_POINTS}, {_held("pts")},
+d as (select p.uid as a, q.uid as b, 2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians(q.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(q.latitude)) * pow(sin(radians(q.longitude - p.longitude) / 2), 2)))) as m
+  from pts p join pts q on q.latitude between p.latitude - 0.00135 and p.latitude + 0.00135 and p.uid < q.uid)
+select 'site' as kind, a as site_uid, b as other_key from d where m <= 150 union all select 'county', uid, county_no from held""",
+    "p5_found": f"""with {READINGS},
+r as (select distinct stream_id, step_minutes * 60 as st, cast(floor(ts / (step_minutes * 60)) as bigint) as p from rd join sensor_streams using (source, id, parameter_name)),
+n as (select *, lead(p) over (partition by stream_id order by p) as q from r)
+select stream_id, strftime(make_timestamp(x * st * 1000000), '%Y-%m-%dT%H:%M:%SZ') as period_start from (select stream_id, st, unnest(range(p + 1, q)) as x from n where q > p + 1)""",
+}

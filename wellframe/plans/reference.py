@@ -51,6 +51,10 @@ def _iso(x: str) -> str:
     return f"strftime(make_timestamp(({x}) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
 
 
+def _hu(x: str, scale: float) -> str:
+    return f"floor(round(({x}) * {scale}, 6) + 0.5) / {scale}"
+
+
 def _days(fold: str) -> str:
     return f"days as (select source, id, parameter_name, day, {fold}(value) as v, count(*) as n from rd group by all)"
 
@@ -423,67 +427,156 @@ def seasonal_amplitude(spark, sf_dir):
     return series.seasonal(_levels(spark, sf_dir))
 
 
-@query()
+_TREND_LEVELS = _trend_sql("min", "parameter_name = 'waterlevels'")
+
+
+@query(f"""with {READINGS}, {WELLS}, tr as ({_TREND_LEVELS}), days as (select source, id, parameter_name, day, min(value) as v from rd where parameter_name = 'waterlevels' group by all),
+l as (select source, id, parameter_name, arg_max(v, day) as latest, max(day) as last_day from days group by all),
+j as (select l.*, tr.trend_category, tr.slope_per_year, case when not isnan(well_depth) then case when lower(trim(well_depth_units)) in ('m', 'meters') then well_depth * 3.28084 else well_depth end end as depth from l join tr using (source, id, parameter_name) left join wells w on w.source_key = l.source and w.id = l.id),
+k as (select *, HU(depth - latest, 100.0) as remaining from j), y as (select *, case when trend_category = 'increasing' and slope_per_year > 0 and remaining > 0 then HU(remaining / slope_per_year, 10.0) end as years from k)
+select source, id, parameter_name, trend_category, slope_per_year, HU(latest, 100.0) as latest, HU(depth, 100.0) as depth_ft, remaining as remaining_ft, years as years_to_depletion, cast(trunc(year(last_day) + years) as integer) as depletion_year from y""".replace("HU(depth - latest, 100.0)", _hu("depth - latest", 100.0)).replace("HU(remaining / slope_per_year, 10.0)", _hu("remaining / slope_per_year", 10.0)).replace("HU(latest, 100.0)", _hu("latest", 100.0)).replace("HU(depth, 100.0)", _hu("depth", 100.0)))
 def depletion_projection(spark, sf_dir):
     return series.depletion(_levels(spark, sf_dir), table(spark, sf_dir, "sites"))
 
 
 # --- regions and crosswalk -----------------------------------------------------------------------
 
-
-@query()
+_OK = "latitude is not null and longitude is not null and latitude <> 0 and longitude <> 0 and abs(latitude) <= 90 and abs(longitude) <= 180"
+#: Even-odd rule over all rings of a region.
+EDGES = r"""
+rings as (select county_no, unnest(regexp_extract_all(geometry, '\(([^()]+)\)', 1)) as ring from counties),
+numbered as (select county_no, row_number() over () as rid, string_split(ring, ',') as pts from rings),
+vertices as (select county_no, rid, generate_subscripts(pts, 1) as i, unnest(pts) as pt from numbered),
+xy as (select county_no, rid, i, cast(split_part(trim(pt), ' ', 1) as double) as x, cast(split_part(trim(pt), ' ', 2) as double) as y from vertices),
+edges as (select county_no, x as x1, y as y1, coalesce(lead(x) over w, first_value(x) over w) as x2, coalesce(lead(y) over w, first_value(y) over w) as y2 from xy window w as (partition by rid order by i))"""
+
+
+def _held(points: str) -> str:
+    """held(uid, county_no) of points(uid, latitude, longitude)."""
+    return f"""held as (select p.uid, e.county_no from {points} p join edges e on (e.y1 > p.latitude) <> (e.y2 > p.latitude) and p.longitude < e.x1 + (p.latitude - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+  group by p.uid, e.county_no having count(*) % 2 = 1)"""
+
+
+_SITE_POINTS = f"pts as (select site_uid as uid, latitude, longitude from sites where {_OK})"
+_WELL_POINTS = f"pts as (select site_uid as uid, latitude, longitude from wells where {_OK})"
+_POD_POINTS = f"""firsts as (select * from (select *, row_number() over (partition by source, id order by pod_uid) as r from pod_sites where id is not null) where r = 1),
+pts as (select pod_uid as uid, source, id, latitude, longitude, try_cast(substr(well_completion_date, 1, 4) as integer) as y from firsts where {_OK})"""
+_YEARS = list(range(AS_OF_YEAR - 9, AS_OF_YEAR + 1))
+_POD_TABLE = (
+    f"{EDGES}, {_POD_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid), "
+    + "bins as (select county_no, "
+    + ", ".join(f"cast(sum((y = {y})::int) as bigint) as b{y}" for y in _YEARS)
+    + f" from pts join one using (uid) where y between {_YEARS[0]} and {_YEARS[-1]} group by county_no), "
+    + "full_bins as (select c.county_no, c.name, "
+    + ", ".join(f"coalesce(b{y}, 0) as y{y}" for y in _YEARS)
+    + " from counties c left join bins using (county_no)), "
+    + "pods as (select *, "
+    + " + ".join(f"y{y}" for y in _YEARS)
+    + " as total, case when greatest("
+    + ", ".join(f"y{y}" for y in _YEARS)
+    + ") > 0 then coalesce("
+    + ", ".join(f"case when y{y} = greatest({', '.join(f'y{x}' for x in _YEARS)}) then {y} end" for y in _YEARS)
+    + ") end as peak_year, round(("
+    + " + ".join(f"({i} - 4.5) * y{y}" for i, y in enumerate(_YEARS))
+    + f") / 82.5::double, 4) as slope, y{_YEARS[-1]} as latest_year_count from full_bins)"
+)
+_NORM = "regexp_replace(upper(trim(coalesce({}, ''))), '\\s+', ' ', 'g')".format
+_BARE = "regexp_replace({}, '^(USGS-|USGS:|NWIS-|NWIS:)', '')".format
+#: The crosswalk's canonical wells with what they are known by and refer to.
+CANON = rf"""
+c as (select * from (select *, {_NORM('source')} || ':' || trim(id) as site_key, row_number() over (partition by {_NORM('source')} || ':' || trim(id) order by site_uid) as rn from sites where source is not null and id is not null) where rn = 1),
+known as (select distinct site_key, unnest([{_NORM('id')}, {_BARE(_NORM('id'))}, {_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c),
+alt as (select site_key, unnest(regexp_split_to_array(coalesce(alternate_site_id, ''), '[,;|/\n\t ]+')) as t from c),
+stations as (select site_key, regexp_replace(unnest(regexp_extract_all(coalesce(usgs_site_id, '') || '||' || coalesce(alternate_site_id, ''), '(?:^|[^0-9])([0-9]{{6}}[ \t]?[0-9]{{8,9}})(?:[^0-9]|$)', 1)), '[ \t]', '', 'g') as k from c),
+refs as (select site_key, unnest([{_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c union select site_key, unnest([{_NORM('t')}, {_BARE(_NORM('t'))}]) from alt union select site_key, k from stations),
+explicit as (select distinct least(r.site_key, k.site_key) as a, greatest(r.site_key, k.site_key) as b from refs r join known k using (k) where r.site_key <> k.site_key and regexp_matches(k, '[1-9]'))"""
+_FT = "case when lower(trim({u})) in ('m', 'meters') then {v} * 3.28084 else {v} end".format
+SPATIAL = rf"""
+w as (select site_key, site_uid, source, latitude, longitude, case when not isnan(well_depth) then {_FT(v='well_depth', u='well_depth_units')} end as dep, case when not isnan(elevation) then {_FT(v='elevation', u='elevation_units')} end as ele,
+  list_distinct(list_filter(regexp_split_to_array(upper(coalesce(name, '')), '[^\p{{L}}\p{{N}}]+'), lambda t: length(t) >= 3)) as tok from c where {_OK}),
+near as (select x.site_key as a, y.site_key as b, x.source as a_source, y.source as b_source, abs(x.dep - y.dep) as dd, abs(x.ele - y.ele) as de, list_has_any(x.tok, y.tok) as tok,
+  2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians(y.latitude - x.latitude) / 2), 2) + cos(radians(x.latitude)) * cos(radians(y.latitude)) * pow(sin(radians(y.longitude - x.longitude) / 2), 2)))) as m
+  from w x join w y on y.latitude between x.latitude - 0.0014 and x.latitude + 0.0014 and x.site_key < y.site_key and x.source <> y.source),
+spatial as (select a, b, a_source, b_source, m as distance_m, least(0.9::double, 0.35::double + case when m <= 50 then 0.10 else 0 end + case when dd is not null then 0.25 else 0 end + case when de is not null then 0.12 else 0 end + case when tok then 0.10 else 0 end) as confidence
+  from near where m <= 150 and coalesce(dd, 0) <= 50 and coalesce(de, 0) <= 20),
+sides as (select a, b, b_source as s, distance_m, confidence from spatial union all select b, a, a_source, distance_m, confidence from spatial),
+best as (select a, b from (select *, row_number() over (partition by a, s order by round(confidence, 9) desc, distance_m, b) as r from sides) where r = 1),
+mutual as (select x.a, x.b from best x join best y on x.a = y.b and x.b = y.a where x.a < x.b)"""
+
+
+@query(f"with {EDGES}, {_SITE_POINTS}, {_held('pts')} select uid as point_key, county_no as region_key from held")
 def point_in_region(spark, sf_dir):
     return containing_regions(table(spark, sf_dir, "sites"), "site_uid", "latitude", "longitude", table(spark, sf_dir, "counties"), "county_no", "geometry")
 
 
-@query()
+@query(f"""with {WELLS}, {EDGES}, {_WELL_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid), n as (select county_no, count(*) as c from one group by county_no)
+select county_no, name, fips, area_sq_km, coalesce(c, 0) as well_count, case when area_sq_km > 0 then round(coalesce(c, 0) / area_sq_km, 4) end as wells_per_sq_km from counties left join n using (county_no)""")
 def well_density(spark, sf_dir):
     return spatial.density(table(spark, sf_dir, "sites"), table(spark, sf_dir, "counties"))
 
 
-@query()
+@query(f"with {WELLS}, {EDGES}, {_WELL_POINTS}, {_held('pts')} select count(*) as unassigned_well_count from pts where uid not in (select uid from held)")
 def unassigned_wells(spark, sf_dir):
     return spatial.unassigned(table(spark, sf_dir, "sites"), table(spark, sf_dir, "counties"))
 
 
-@query()
+@query(f"with {_POD_TABLE} select * from pods")
 def pod_age_by_county(spark, sf_dir):
     return spatial.completions_by_region(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
 
 
-@query()
-def pod_age_points(spark, sf_dir):
-    return spatial.completion_points(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
-
-
-@query()
+@query(f"with {_POD_TABLE} select county_no, name, slope, total from pods order by slope desc, total desc, county_no limit 1")
 def fastest_growing(spark, sf_dir):
     return spatial.fastest_growing(pod_age_by_county(spark, sf_dir))
 
 
-@query()
+@query(f"""with {EDGES}, {_POD_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid)
+select uid as pod_uid, source, id, latitude, longitude, y as year, name as county from pts left join (select uid, name from one join counties using (county_no)) using (uid) where y between {_YEARS[0]} and {_YEARS[-1]}""")
+def pod_age_points(spark, sf_dir):
+    return spatial.completion_points(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
+
+
+@query(f"with {CANON} select a, b from explicit")
 def explicit_links(spark, sf_dir):
     return correlation.explicit_links(correlation.canonical(table(spark, sf_dir, "sites")))
 
 
-@query()
-def spatial_links(spark, sf_dir):
-    rows = correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites")))
+def _rounded_links(rows: DataFrame) -> DataFrame:
     return rows.withColumn("distance_m", F.round("distance_m", 3)).withColumn("confidence", F.round("confidence", 3))
 
 
-@query()
+@query(f"with {CANON}, {SPATIAL} select a, b, a_source, b_source, round(distance_m, 3) as distance_m, round(confidence, 3) as confidence from spatial")
+def spatial_links(spark, sf_dir):
+    return _rounded_links(correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites"))))
+
+
+@query(f"with {CANON}, {SPATIAL} select a, b, a_source, b_source, round(distance_m, 3) as distance_m, round(confidence, 3) as confidence from spatial join mutual using (a, b)")
 def mutual_best(spark, sf_dir):
-    rows = correlation.mutual_best(correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites"))))
-    return rows.withColumn("distance_m", F.round("distance_m", 3)).withColumn("confidence", F.round("confidence", 3))
+    return _rounded_links(correlation.mutual_best(correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites")))))
 
 
-@query()
+_WALK = rf"""with recursive {CANON}, {SPATIAL},
+links as (select a, b, 1 as e, 0 as s, null::double as best from explicit union all select a, b, 0, 1, confidence from spatial join mutual using (a, b)),
+ab as (select a, b from links union select b, a from links),
+reach as (select a as node, a as other from ab union select reach.node, ab.b from reach join ab on reach.other = ab.a),
+root as (select node, min(other) as root from reach group by node),
+per as (select root, max(e) as e, max(s) as s, max(best) as best from links join root on root.node = links.a group by root),
+size as (select root, count(*) as cluster_size, count(distinct source) as n_agencies from root join c on c.site_key = root.node group by root),
+walk as (select node as site_key, c.source, c.id, root as cluster_key, 'wc_' || substr(sha1(root), 1, 12) as component_id, cluster_size, n_agencies, case when e = 1 and s = 1 then 'mixed' when e = 1 then 'explicit' else 'spatial' end as method,
+  case when e = 1 then 0.95 else round(best, 3) end as confidence from root join c on c.site_key = root.node join per using (root) join size using (root))"""
+
+@query(_WALK.replace("'wc_' || substr(sha1(root), 1, 12) as component_id, ", "") + " select * from walk")
 def well_correlation(spark, sf_dir):
-    return correlation.crosswalk(table(spark, sf_dir, "sites"))
+    return correlation.crosswalk(table(spark, sf_dir, "sites")).drop("component_id")
 
 
 @query()
+def component_id(spark, sf_dir):
+    return correlation.crosswalk(table(spark, sf_dir, "sites")).select("site_key", "component_id")
+
+
+@query(_WALK.replace("'wc_' || substr(sha1(root), 1, 12) as component_id, ", "") + """, per_source as (select cluster_key, source, string_agg(distinct id, ',' order by id) as ids from walk group by all)
+select cluster_key, string_agg(source || '=' || ids, ';' order by source || '=' || ids) as linked_by_agency from per_source group by cluster_key""")
 def linked_by_agency(spark, sf_dir):
     return correlation.linked_by_agency(correlation.crosswalk(table(spark, sf_dir, "sites")))
 
