@@ -59,7 +59,7 @@ FIELD = r"(?im)^[\p{L} _/-]{1,30}:[ \t]*(?:tbd|todo|x{2,}|n/?a|\.{2,}|-+|to come
 #: Wording of error pages, denials, outages, failure traces, loading and script notices; each
 #: sentence that holds one counts as notice as a whole.
 NOTICES = (
-    r"(?i)\bhttp(?:/\d\.\d)?(?: status)? ?[:\-]? ?[45]\d\d\b|\b(?:error|fehler|erreur|código|code|estado)(?: code)?[ :#]*[45]\d\d\b|^\W*[45]\d\d (?:not found|forbidden|bad gateway|bad request|unauthorized|gone|service unavailable|internal server error|gateway time-?out|too many requests|request time-?out)\b|"
+    r"(?i)^\W*http(?:/\d\.\d)?(?: status)? ?[:\-]? ?[45]\d\d\b|^\W*(?:error|fehler|erreur|código|code|estado)(?: code)?[ :#]*[45]\d\d\b|^\W*[45]\d\d (?:not found|forbidden|bad gateway|bad request|unauthorized|gone|service unavailable|internal server error|gateway time-?out|too many requests|request time-?out)\b|"
     r"internal server error|error interno del servidor|erreur interne du serveur|interner serverfehler|access (?:is |was )?denied|acceso denegado|accès refusé|zugriff verweigert|page (?:not found|introuvable|no encontrada)|página no encontrada|seite nicht gefunden|"
     r"does not exist or|may be broken|was not found on|is no longer available|could not be (?:produced|completed|loaded)|cannot be displayed|request has been blocked|we cannot find that|you are not authorized|do not have permission|no tiene permiso|keine berechtigung|pas l'autorisation|"
     r"session has expired|sesión ha caducado|session a expiré|sitzung ist abgelaufen|log in again|login required|sign in to|iniciar sesión|inicie sesión|vuelva a iniciar|enter user ?name and password|please log in|anmeldung erforderlich|"
