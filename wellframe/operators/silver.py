@@ -41,7 +41,7 @@ def summaries(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """Count, extremes, mean, earliest and latest reading per series with the well's attributes."""
     at = F.struct("ts", "obs_id")
     stats = rows.groupBy("source", "id", "parameter_name").agg(
-        F.count(F.lit(1)).alias("nrecords"), F.min("value").alias("min"), F.max("value").alias("max"), F.round(F.avg("value"), 6).alias("mean"),
+        F.count(F.lit(1)).alias("nrecords"), F.min("value").alias("min"), F.max("value").alias("max"), C.half_up(F.avg("value"), 6).alias("mean"),
         F.min_by(F.struct("value", "ts"), at).alias("e"), F.max_by(F.struct("value", "ts"), at).alias("l"),
     )
     out = stats.select(

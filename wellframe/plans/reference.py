@@ -71,7 +71,7 @@ def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {READINGS}, {WELLS},
-st as (select source, id, parameter_name, count(*) as nrecords, min(value) as min, max(value) as max, round(avg(value), 6) as mean,
+st as (select source, id, parameter_name, count(*) as nrecords, min(value) as min, max(value) as max, {_hu('avg(value)', 1000000.0)} as mean,
   arg_min(value, ts::double * 1e9 + obs_id) as earliest_value, min(ts) as e, arg_max(value, ts::double * 1e9 + obs_id) as latest_value, max(ts) as l from rd group by all)
 select st.source, st.id, parameter_name, nrecords, st.min, st.max, st.mean, first_v as earliest_value, {_iso('e')} as earliest_datetime, last_v as latest_value, {_iso('l')} as latest_datetime,
   w.name, w.latitude, w.longitude, w.well_depth, w.well_depth_units,
@@ -95,10 +95,10 @@ def timeseries_flat(spark, sf_dir):
 def _daily(reducer, sql_fold):
     def run(spark, sf_dir):
         d = silver.daily(_readings(spark, sf_dir), reducer)
-        return d.select("source", "id", "parameter_name", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("value"), "n")
+        return d.select("source", "id", "parameter_name", F.col("day").cast("string").alias("day"), C.half_up(F.col("value"), 6).alias("value"), "n")
 
     run.__name__ = f"daily_{reducer}"
-    query(f"with {READINGS}, {_days(sql_fold)} select source, id, parameter_name, cast(day as varchar) as day, round(v, 6) as value, n from days")(run)
+    query(f"with {READINGS}, {_days(sql_fold)} select source, id, parameter_name, cast(day as varchar) as day, {_hu("v", 1000000.0)} as value, n from days")(run)
 
 
 for _r, _f in (("min", "min"), ("mean", "avg"), ("max", "max")):
@@ -108,19 +108,19 @@ for _r, _f in (("min", "min"), ("mean", "avg"), ("max", "max")):
 # --- scalar functions ----------------------------------------------------------------------------
 
 
-@query("""with x as (select result_id, lower(trim(parameter_name)) as p, lower(trim(source_parameter_units)) as u, case when parameter_name = 'waterlevels' then 'ft' when parameter_name in ('conductivity', 'specific_conductance') then 'us/cm' else 'mg/l' end as o, lower(trim(source_parameter_name)) as s, parameter_value as v from lab_results),
+@query(f"""with x as (select result_id, lower(trim(parameter_name)) as p, lower(trim(source_parameter_units)) as u, case when parameter_name = 'waterlevels' then 'ft' when parameter_name in ('conductivity', 'specific_conductance') then 'us/cm' else 'mg/l' end as o, lower(trim(source_parameter_name)) as s, parameter_value as v from lab_results),
 f as (select *, case when p = 'ph' then 1.0
   when p in ('conductivity', 'specific_conductance') then case when u in ('μmhos/cm', 'umho/cm', 'cm-1', 'micromhos per centimeter', 'mg/l', 'su', 'us/cm', 'us/cm @25c', 'µs/cm', 'μs/cm') then 1.0 end
   when o = 'mg/l' then case when u in ('mg/l caco3', 'mg/l caco3**') then case p when 'bicarbonate' then 1.22 when 'calcium' then 0.4 when 'carbonate' then 0.6 end
     when u = 'mg/l as n' then 4.427 when u in ('mg/l asno3', 'mg/l as no3') then 1.0 when u = 'ug/l as n' then 0.004427 when u = 'pci/l' then 0.00149 when u in ('ug/l', 'ppb') then 0.001
     when u = 'tons/ac ft' then 735.47 when u = 'ppm' then 1.0 when u = 'mg/l' then case when s in ('nitrate as n', 'nitrate (as n)') then 4.427 else 1.0 end end
   when o = 'ft' then case when u in ('m', 'meters') then 3.28084 when u in ('ft', 'feet') then 1.0 end end::double as factor from x)
-select result_id, factor, round(v * factor, 6) as converted from f""")
+select result_id, factor, {_hu("v * factor", 1000000.0)} as converted from f""")
 def unit_convert(spark, sf_dir):
     t = table(spark, sf_dir, "lab_results")
     out = F.when(F.col("parameter_name") == "waterlevels", "ft").when(F.col("parameter_name").isin("conductivity", "specific_conductance"), "uS/cm").otherwise("mg/L")
     f = C.conversion_factor(F.col("parameter_name"), F.col("source_parameter_units"), out, F.col("source_parameter_name")).cast("double")
-    return t.select("result_id", f.alias("factor"), F.round(F.col("parameter_value") * f, 6).alias("converted"))
+    return t.select("result_id", f.alias("factor"), C.half_up(F.col("parameter_value") * f, 6).alias("converted"))
 
 
 @query("""select result_id, coalesce(case when regexp_matches(value_text, '^\\s*[-+]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?\\s*$') then try_cast(trim(value_text) as double) end,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def daily_windows(events: DataFrame, key: str, ts: str, value: str, late: str = "2 days") -> DataFrame:
     """Per key and UTC day: min, max, mean and count; readings later than ``late`` are dropped."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, "1 day").alias("w"), key).agg(
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, "1 day").alias("w"), key).agg(
         F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"), F.count(value).alias("n")
     ).select(key, F.to_date("w.start").alias("day"), "min", "max", "mean", "n")
 
