@@ -54,6 +54,11 @@ FILLER = {
         r"(?:this (?:section|page) is )?under construction|blindtext|texto de ejemplo|aquí va el texto|texte d'exemple|votre texte ici|sustituya (?:este|esta)\b[^.!?\n]{0,60}|remplacez ce\b[^.!?\n]{0,60}|beispieltext|hier steht\b[^.!?\n]{0,30}|click to (?:add|edit)\b[^.!?\n]{0,30}|tbd|todo|lorem ipsum)\s*(?:[.!?…]+|\n|$)"
     ),
 }
+#: One of these stands in every filler phrase.
+FILLER_STEMS = (
+    "insert ", "sample ", "dummy ", "your ", "placeholder", "filler ", "goes here", "replace ", "edit me", "type something", "type here", "coming soon", "to be written", "to be added", "construction", "blindtext", "texto de ejemplo", "aquí va", "texte d'ex",
+    "votre texte", "sustituya", "remplacez", "beispieltext", "hier steht", "click to", "tbd", "todo", "lorem", "xxx", "blah", "asdf", "qwerty", "foo bar", "n/a", "test test", "test, test", "be added", "be written",
+)
 #: Fields of a form that hold no value.
 FIELD = r"(?im)^[\p{L} _/-]{1,30}:[ \t]*(?:tbd|todo|x{2,}|n/?a|\.{2,}|-+|to come|tba|none yet|pending|\?+|fill in|_+)?[ \t]*$"
 #: Wording of error pages, denials, outages, failure traces, loading and script notices; each
@@ -114,7 +119,7 @@ def signs(text: Column) -> dict[str, Column]:
     hits = F.when(may_mark | may_empty, F.regexp_count(body, F.lit(either))).otherwise(0)
     talked = F.aggregate(F.filter(sentences, lambda s: s.rlike(TALK)), F.lit(0), lambda n, s: n + F.regexp_count(s, F.lit(either)))
     latin = _any(lower, ("lorem", "ipsum", "amet")) & text.rlike(FILLER["latin"])
-    filler = latin | text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
+    filler = latin | _any(lower, FILLER_STEMS) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
     may_notice = _any(lower, NOTICE_STEMS)
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+|\s[|\-–]\s")
     plain = F.filter(parts, lambda s: ~s.rlike(NOTICES))
