@@ -125,11 +125,18 @@ reach as (select distinct a as site_uid, a as other from b union select reach.si
 select site_uid, min(other) as group_uid from reach group by site_uid
 """
 
+P9_SQL = r"""
+with w as (select 'd' as kind, doc_id as id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as words from documents union all select 'i', item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') from eval_items),
+g as (select distinct kind, id, array_to_string(words[n : n + 12], ' ') as run from (select kind, id, words, unnest(range(1, len(words) - 11)) as n from w where len(words) >= 13))
+select distinct d.id as doc_id, i.id as item_id from g d join g i using (run) where d.kind = 'd' and i.kind = 'i'
+"""
+
 ORACLES = {
     "p3_parameter": _percentile_sql("observations", "parameter_value", ["parameter_name"]),
     "p3_parameter_source": _percentile_sql("observations", "parameter_value", ["parameter_name", "source"]),
     "p3_summary_mean": _percentile_sql("summaries", "mean", ["parameter_name"]),
     "p4_found": P4_SQL,
+    "p9_found": P9_SQL,
 }
 
 
