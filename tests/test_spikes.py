@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from wellframe.operators.spikes import SpikeRules, flag_readings, forest_scores, found
 
-SCHEMA = "obs_id long, source string, id string, parameter_name string, parameter_value double, date_measured string, time_measured string, series string, ts string, value int"
+SCHEMA = "obs_id long, source string, id string, parameter_name string, parameter_value double, date_measured string, time_measured string, received_at timestamp, ts string, value int"
 
 
 def rows(values, start=1, source="S", well="W", parameter="waterlevels"):
-    return [(start + i, source, well, parameter, v, str(date(2001, 1, 1) + timedelta(days=i)), None, "x", "y", 1) for i, v in enumerate(values)]
+    return [(start + i, source, well, parameter, v, str(date(2001, 1, 1) + timedelta(days=i)), None, None, "y", 1) for i, v in enumerate(values)]
 
 
 def flagged(spark, data, **kw):
@@ -43,13 +43,20 @@ def test_changes_that_last_are_no_spikes(spark):
 
 def test_nulls_ties_undated_and_empty(spark):
     v = noise(40, 8)
-    data = rows(v) + [(900, "S", "W", "waterlevels", None, "2001-01-01", None, "x", "y", 1), (901, "S", "W", "waterlevels", float("nan"), "2001-01-01", None, "x", "y", 1),
-                      (902, "S", "W", "waterlevels", -999999.0, "2001-01", None, "x", "y", 1), (903, None, None, None, 1.0, None, None, None, None, None)]
+    data = rows(v) + [(900, "S", "W", "waterlevels", None, "2001-01-01", None, None, "y", 1), (901, "S", "W", "waterlevels", float("nan"), "2001-01-01", None, None, "y", 1),
+                      (902, "S", "W", "waterlevels", -999999.0, "2001-01", None, None, "y", 1), (903, None, None, None, 1.0, None, None, None, None, None)]
     data += [(1000 + r[0], *r[1:]) for r in rows(v)]
     assert flagged(spark, data) == {902}
     assert found(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_undated_readings(spark):
+    v = noise(60, 11)
+    data = rows(v) + [(900, "S", "W", "waterlevels", 1003.0, "2001-02", None, None, "y", 1), (901, "S", "W", "waterlevels", 100.2, None, None, None, "y", 1)]
+    data += [(910 + i, "S", "W", "waterlevels", 100.1, "2001-02", None, None, "y", 1) for i in range(9)]
+    assert flagged(spark, data) == {900}
+
+
 def test_constant_series_is_not_stuck(spark):
     assert flagged(spark, rows([50.0] * 30)) == set()
     assert flagged(spark, rows([-1.0, 2.0, 2.1, 2.0], parameter="nitrate")) == {1}

@@ -167,10 +167,12 @@ def forest_scores(seg: np.ndarray, features: np.ndarray, rules: SpikeRules, seed
     return np.where(norm > 0, 2.0 ** (-(total / rules.trees) / np.maximum(norm, 1e-9)), 0.5)
 
 
-def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray, rules: SpikeRules) -> dict[str, np.ndarray]:
+def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray, dated: np.ndarray, rules: SpikeRules) -> dict[str, np.ndarray]:
     """Scores and flags of readings sorted by series and time; no value is NaN.
 
-    ``kind`` numbers the parameters of ``rules.kinds()``, -1 being any other.
+    ``kind`` numbers the parameters of ``rules.kinds()``, -1 being any other. The time of readings that
+    are not ``dated`` is a guess: they take no part in runs, and must leave the level of the whole
+    series as well to be a spike.
     """
     low, high, prior_abs, prior_rel, need = (np.array(x, float)[kind] for x in rules.by_kind())
     n = len(value)
@@ -179,15 +181,17 @@ def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray,
     impossible = (value < low) | (value > high) | np.isin(value, rules.no_data) & ((np.abs(value) > 5000) | (value == -999.0) | (value == -999.9))
 
     # runs of exactly one value
-    new_run = np.r_[True, (seg[1:] != seg[:-1]) | (value[1:] != value[:-1])]
+    at = np.flatnonzero(dated)
+    new_run = np.r_[True, (seg[at][1:] != seg[at][:-1]) | (value[at][1:] != value[at][:-1])] if len(at) else np.zeros(0, bool)
     run = np.cumsum(new_run) - 1
-    run_size = np.bincount(run)[run]
-    in_series = np.bincount(seg, minlength=groups)
+    run_size = np.ones(n, np.int64)
+    run_size[at] = np.bincount(run)[run] if len(at) else 0
+    in_series = np.bincount(seg[at], minlength=groups)
     sane = ~impossible
     vmin, vmax = np.full(groups, np.inf), np.full(groups, -np.inf)
     np.minimum.at(vmin, seg[sane], value[sane])
     np.maximum.at(vmax, seg[sane], value[sane])
-    stuck = (run_size >= rules.stuck) & (run_size < in_series[seg]) & (vmax > vmin)[seg] & sane
+    stuck = dated & (run_size >= rules.stuck) & (run_size < in_series[seg]) & (vmax > vmin)[seg] & sane
 
     # neighbourhoods see each (time, value) once and no impossible value
     same = np.r_[False, (seg[1:] == seg[:-1]) & (ts[1:] == ts[:-1]) & (value[1:] == value[:-1])]
@@ -214,7 +218,9 @@ def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray,
         z_season = np.nan_to_num(np.abs(v - season[s * 12 + month]) / scale)
     features = np.column_stack([np.log1p(z_level), np.log1p(z_local), np.log1p(z_step), np.log1p(z_season), np.log1p(run_size[pick].astype(float))])
     scored = forest_scores(s, features, rules)
-    candidate = (scored >= rules.score) & (z_local >= need[pick])
+    spread = 1.4826 * _medians(s, np.abs(v - overall[s]), groups)
+    off_whole = np.abs(v - overall[s]) >= need[pick] * np.fmax(spread, noise)[s]
+    candidate = (scored >= rules.score) & (z_local >= need[pick]) & (dated[pick] | off_whole)
     # at most a few readings in direct succession may leave the level together
     c_new = np.r_[True, (s[1:] != s[:-1]) | (candidate[1:] != candidate[:-1])] if len(s) else np.zeros(0, bool)
     c_run = np.cumsum(c_new) - 1
@@ -234,13 +240,14 @@ RESULT = "obs_id long, score double, deviation double, is_spike boolean, is_stuc
 
 
 def flag_readings(observations: DataFrame, rules: SpikeRules = SpikeRules(), rows_per_shard: int = 150_000) -> DataFrame:
-    """Score and flag every reading of ``observations`` that has a value and a full date.
-
-    Needs obs_id, source, id, parameter_name, parameter_value, date_measured, time_measured; other
-    columns are ignored. Rows whose value is null or NaN give no row. Rows without a full date get
-    the rules on impossible values only. A series is one (source, id, parameter_name), nulls being a
-    name of their own; it is named by a 64-bit hash inside the job. Repeated rows and ties in time
-    are ordered by obs_id; each keeps its own row in the result. An empty table gives an empty result.
+    """Score and flag every reading of ``observations`` that has a value.
+
+    Needs obs_id, source, id, parameter_name, parameter_value, date_measured, time_measured, received_at;
+    other columns are ignored. Rows whose value is null or NaN give no row. Rows without a full date stand
+    at the middle of their month, or else at received_at; they are never stuck. A series is one (source,
+    id, parameter_name), nulls being a name of their own; it is named by a 64-bit hash inside the job.
+    Repeated rows and ties in time are ordered by obs_id; each keeps its own row in the result. An empty
+    table gives an empty result.
     """
     total = observations.select("obs_id").count()
     kinds = rules.kinds()
@@ -252,31 +259,20 @@ def flag_readings(observations: DataFrame, rules: SpikeRules = SpikeRules(), row
         F.col("obs_id").cast("long"),
         F.xxhash64(text("source"), text("id"), text("parameter_name")).alias("series"),
         epoch_seconds(F.col("date_measured"), F.col("time_measured")).alias("ts"),
+        F.when(F.length(F.trim("date_measured")) == 7, F.unix_date(F.concat(F.trim("date_measured"), F.lit("-15")).try_cast("date")).cast("long") * 86400).alias("month"),
+        F.unix_timestamp("received_at").alias("received"),
         F.col("parameter_value").alias("value"),
         kind.cast("tinyint").alias("kind"),
     )
+    valued = valued.select("obs_id", "series", F.coalesce("ts", "month", "received", F.lit(0).cast("long")).alias("ts"), "value", "kind", F.col("ts").isNotNull().alias("dated"))
 
     def shard(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        col = {c: rows[c].to_numpy() for c in ("series", "ts", "value", "kind", "_halo", "obs_id")}
-        out = judge(col["series"], col["ts"], col["value"], col["kind"].astype(int), rules)
+        col = {c: rows[c].to_numpy() for c in ("series", "ts", "value", "kind", "dated", "_halo", "obs_id")}
+        out = judge(col["series"], col["ts"], col["value"], col["kind"].astype(int), col["dated"].astype(bool), rules)
         own = col["_halo"] == OWN
         yield pa.RecordBatch.from_pydict({"obs_id": col["obs_id"][own], **{k: v[own] for k, v in out.items()}})
 
-    dated = over_shards(valued.where(F.col("ts").isNotNull()), "series", ["ts", "obs_id"], shard, RESULT, total, rows_per_shard)
-    low, high = F.lit(rules.other_limits[0]), F.lit(rules.other_limits[1])
-    for i, name in enumerate(kinds):
-        a, b = rules.limits.get(name, rules.other_limits)
-        low, high = F.when(F.col("kind") == i, F.lit(a)).otherwise(low), F.when(F.col("kind") == i, F.lit(b)).otherwise(high)
-    absent = F.col("value").isin(*[float(x) for x in rules.no_data]) & ((F.abs("value") > 5000) | F.col("value").isin(-999.0, -999.9))
-    undated = valued.where(F.col("ts").isNull()).select(
-        "obs_id",
-        F.lit(None).cast("double").alias("score"),
-        F.lit(None).cast("double").alias("deviation"),
-        F.lit(False).alias("is_spike"),
-        F.lit(False).alias("is_stuck"),
-        ((F.col("value") < low) | (F.col("value") > high) | absent).alias("is_impossible"),
-    )
-    return dated.unionByName(undated)
+    return over_shards(valued, "series", ["ts", "obs_id"], shard, RESULT, total, rows_per_shard)
 
 
 def found(observations: DataFrame, rules: SpikeRules = SpikeRules()) -> DataFrame:
