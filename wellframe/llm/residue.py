@@ -103,38 +103,38 @@ def _one(patterns: dict[str, str]) -> str:
     return "|".join(f"(?:{p})" if not p.startswith("(?i)") else f"(?i:{p[4:]})" for p in patterns.values())
 
 
-def signs(text: Column) -> dict[str, Column]:
-    """Columns that describe what a text holds: placeholders, talk, filler, notice, blank_fields.
+def signs(rows: DataFrame) -> DataFrame:
+    """Adds to ``text`` what it holds: placeholders, talked_about, filler, blank_fields, notice, rest, size.
 
-    Cheap tests for single characters and words come first; most texts need none of the grammars.
+    Cheap tests for single characters and words come first; most texts need none of the grammars. What
+    several tests share is projected before, so that it is computed once.
     """
-    lower = F.lower(text)
-    values = {"empty values": PLACEHOLDERS["empty values"]}
-    marks = {k: v for k, v in PLACEHOLDERS.items() if k not in values}
+    text, lower = F.col("text"), F.col("_lower")
     body = F.regexp_replace(text, CODE, " ")
-    sentences = F.split(body, r"(?<=[.!?])\s+|\n+")
     may_mark = text.rlike(r"[{}<>\[\]%$@#~_&]|\(\(|XX|YOUR |\b_")
     may_empty = _any(text, ("undefined", "NaN", "nan ", "null", "Null", "Invalid Date", "object Object", "Undefined"))
     either = _one(PLACEHOLDERS)
-    hits = F.when(may_mark | may_empty, F.regexp_count(body, F.lit(either))).otherwise(0)
-    talked = F.aggregate(F.filter(sentences, lambda s: s.rlike(TALK)), F.lit(0), lambda n, s: n + F.regexp_count(s, F.lit(either)))
-    latin = _any(lower, ("lorem", "ipsum", "amet")) & text.rlike(FILLER["latin"])
-    filler = latin | _any(lower, FILLER_STEMS) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
-    may_notice = _any(lower, NOTICE_STEMS)
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+|\s[|\-–]\s")
-    plain = F.filter(parts, lambda s: ~s.rlike(NOTICES))
-    rest = F.when(may_notice, _letters(F.regexp_replace(F.array_join(plain, " "), CHROME, " ")))
-    fields = F.regexp_count(text, F.lit(FIELD))
-    lines = F.regexp_count(text, F.lit(r"(?m)^[^\n]*\S"))
-    return {
-        "placeholders": hits,
-        "talked_about": F.when(hits > 0, talked).otherwise(0),
-        "filler": filler,
+    rows = rows.withColumn("_lower", F.lower("text"))
+    rows = rows.withColumns({
+        "placeholders": F.when(may_mark | may_empty, F.regexp_count(body, F.lit(either))).otherwise(0),
+        "_parts": F.when(_any(lower, NOTICE_STEMS), parts),
+    })
+    rows = rows.withColumn("_plain", F.filter("_parts", lambda s: ~s.rlike(NOTICES)))
+    sentences = F.filter(F.split(body, r"(?<=[.!?])\s+|\n+"), lambda s: s.rlike(TALK))
+    talked = F.aggregate(sentences, F.lit(0), lambda n, s: n + F.regexp_count(s, F.lit(either)))
+    latin = _any(lower, ("lorem", "ipsum", "amet")) & text.rlike(FILLER["latin"])
+    wording = _any(lower, FILLER_STEMS) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
+    fields, lines = F.regexp_count(text, F.lit(FIELD)), F.regexp_count(text, F.lit(r"(?m)^[^\n]*\S"))
+    notice = F.coalesce(F.size("_plain") < F.size("_parts"), F.lit(False))
+    return rows.withColumns({
+        "talked_about": F.when(F.col("placeholders") > 0, talked).otherwise(0),
+        "filler": latin | wording,
         "blank_fields": text.contains(":") & (fields >= 2) & (fields * 2 > lines),
-        "notice": F.coalesce(may_notice & (F.size(plain) < F.size(parts)), F.lit(False)),
-        "rest": F.coalesce(rest, F.lit(0)),
-        "size": _letters(text),
-    }
+        "notice": notice,
+        "rest": F.when(notice, _letters(F.regexp_replace(F.array_join("_plain", " "), CHROME, " "))).otherwise(0),
+        "size": F.when(notice, _letters(text)).otherwise(0),
+    })
 
 
 def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", full: int = 3, rest_share: float = 0.4, rest_letters: int = 25) -> DataFrame:
@@ -146,8 +146,8 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", full:
     row. Whole texts are read, of any length; repeated rows each give a row, null keys too; other columns
     are ignored; an empty table gives an empty result.
     """
-    rows = spread(documents.select(F.col(key), F.col(text).alias("text"))).where(F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
-    found = F.struct(*[c.alias(n) for n, c in signs(F.col("text")).items()])
+    rows = spread(documents.select(F.col(key).alias("key"), F.col(text).alias("text"))).where(F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
+    found = F.struct("placeholders", "talked_about", "filler", "blank_fields", "notice", "rest", "size")
 
     def reason(x: Column) -> Column:
         return (
@@ -158,7 +158,7 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", full:
 
     # a generator keeps the optimizer from copying the tests into the filter on their outcome
     reasons = F.filter(F.transform(F.array(found), reason), lambda r: r.isNotNull())
-    return rows.select(F.col(key), F.explode(reasons).alias("reason"))
+    return signs(rows).select(F.col("key").alias(key), F.explode(reasons).alias("reason"))
 
 
 def clean(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
