@@ -220,7 +220,9 @@ def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray,
     scored = forest_scores(s, features, rules)
     spread = 1.4826 * _medians(s, np.abs(v - overall[s]), groups)
     off_whole = np.abs(v - overall[s]) >= need[pick] * np.fmax(spread, noise)[s]
-    candidate = (scored >= rules.score) & (z_local >= need[pick]) & (dated[pick] | off_whole)
+    # few neighbours say little about the level: short series must be left further
+    sure = np.maximum(1.0, 2 * rules.neighbours / np.maximum(1, np.bincount(s, minlength=groups)[s] - 1))
+    candidate = (scored >= rules.score) & (z_local >= need[pick] * sure) & (dated[pick] | off_whole)
     # at most a few readings in direct succession may leave the level together
     c_new = np.r_[True, (s[1:] != s[:-1]) | (candidate[1:] != candidate[:-1])] if len(s) else np.zeros(0, bool)
     c_run = np.cumsum(c_new) - 1
