@@ -280,6 +280,14 @@ def orphan_results(spark, sf_dir):
     return table(spark, sf_dir, "lab_results").join(w, ["source", "id"], "left_anti").select("result_id", "source", "id", "parameter_name")
 
 
+@query(f"with {READINGS}, {WELLS}, o as (select source, count(*) as observation_count, count(distinct id) as site_count from rd group by source), w as (select source_key as source, count(*) as record_count from wells group by source_key) select source, record_count, coalesce(site_count, 0) as site_count, coalesce(observation_count, 0) as observation_count from w left join o using (source)")
+def source_stats(spark, sf_dir):
+    r, w = _readings(spark, sf_dir), silver.wells(table(spark, sf_dir, "sites"))
+    o = r.groupBy("source").agg(F.count(F.lit(1)).alias("o"), F.count_distinct("id").alias("s"))
+    n = w.groupBy(F.col("source_key").alias("source")).agg(F.count(F.lit(1)).alias("record_count"))
+    return n.join(o, "source", "left").select("source", "record_count", F.coalesce("s", F.lit(0).cast("long")).alias("site_count"), F.coalesce("o", F.lit(0).cast("long")).alias("observation_count"))
+
+
 # --- chemistry -----------------------------------------------------------------------------------
 
 
@@ -530,6 +538,11 @@ def fastest_growing(spark, sf_dir):
     return spatial.fastest_growing(pod_age_by_county(spark, sf_dir))
 
 
+@query(f"with {_POD_TABLE} select county_no, name, slope, total from pods where total > 0 order by slope desc, county_no limit 1")
+def fastest_growing_points(spark, sf_dir):
+    return spatial.fastest_growing(pod_age_by_county(spark, sf_dir).where("total > 0"), by_total=False)
+
+
 @query(f"""with {EDGES}, {_POD_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid)
 select uid as pod_uid, source, id, latitude, longitude, y as year, name as county from pts left join (select uid, name from one join counties using (county_no)) using (uid) where y between {_YEARS[0]} and {_YEARS[-1]}""")
 def pod_age_points(spark, sf_dir):

@@ -56,9 +56,10 @@ def completions_by_region(pods: DataFrame, regions: DataFrame, as_of_year: int,
     )
 
 
-def fastest_growing(by_region: DataFrame) -> DataFrame:
-    """The region with the steepest slope, then the larger total, then the smaller number."""
-    return by_region.agg(F.max_by(F.struct("county_no", "name", "slope", "total"), F.struct("slope", "total", -F.col("county_no"))).alias("b")).select("b.*")
+def fastest_growing(by_region: DataFrame, by_total: bool = True) -> DataFrame:
+    """The region with the steepest slope, then (``by_total``) the larger total, then the smaller number."""
+    rank = F.struct("slope", *(["total"] if by_total else []), -F.col("county_no"))
+    return by_region.agg(F.max_by(F.struct("county_no", "name", "slope", "total"), rank).alias("b")).select("b.*")
 
 
 def completion_points(pods: DataFrame, regions: DataFrame, as_of_year: int, years_back: int = 10) -> DataFrame:
