@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,49 +71,56 @@ def pair_statistics(x: np.ndarray, y: np.ndarray, bins: int = 65_536, block: int
     return sign, float(np.mean([inside[k - below] for k in wanted]))
 
 
-TREND = "source string, id string, parameter_name string, n long, s long, var_s double, slope double"
+TREND = "source string, id string, parameter_name string, record_count long, observation_count long, first_day string, last_day string, span_years double, n long, s long, var_s double, slope double"
 
 
 def trend_statistics(day_values: DataFrame) -> DataFrame:
-    """S, its variance with ties, and the Theil-Sen slope per year of each daily series that qualifies.
+    """Days, span, S, its variance with ties, and the Theil-Sen slope per year of each daily series.
 
-    A series of days is bounded by the calendar, so one task can hold it; its pairs are never held.
+    Series of fewer than 10 days, or of fewer than 4 or less than two years, get no statistics. A series of
+    days is bounded by the calendar, so one task can hold it; its pairs are never held. The series is
+    shuffled once and reaches numpy as Arrow arrays.
     """
-    span = (F.max(_noon()) - F.min(_noon())) / JULIAN_YEAR_S
-    n = F.count(F.lit(1))
-    fit = day_values.groupBy(*WELL).agg(n.alias("n_days"), span.alias("span")).where("n_days >= 10 or (n_days >= 4 and span >= 2)")
-    series = day_values.groupBy(*WELL).agg(F.array_sort(F.collect_list(F.struct(_noon().alias("t"), F.col("value").alias("v")))).alias("p")).join(fit.select(*WELL), WELL, "left_semi")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                t = np.array([q["t"] for q in row.p], float) / JULIAN_YEAR_S
-                v = np.array([q["v"] for q in row.p], float)
+    grouped = day_values.groupBy(*WELL).agg(
+        F.count(F.lit(1)).alias("record_count"), F.sum("n").alias("observation_count"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"),
+        ((F.max(_noon()) - F.min(_noon())) / JULIAN_YEAR_S).alias("span"), F.array_sort(F.collect_list(F.struct(_noon().alias("t"), F.col("value").alias("v")))).alias("p"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("p")
+            at = lists.offsets.to_numpy()
+            t_all, v_all = lists.values.field("t").to_numpy() / JULIAN_YEAR_S, lists.values.field("v").to_numpy()
+            spans = batch.column("span").to_numpy()
+            n, sign, var, slope = [], [], [], []
+            for k in range(batch.num_rows):
+                t, v = t_all[at[k] : at[k + 1]], v_all[at[k] : at[k + 1]]
                 m = len(v)
+                if not (m >= 10 or (m >= 4 and spans[k] >= 2)):
+                    for c in (n, sign, var, slope):
+                        c.append(None)
+                    continue
                 ties = np.unique(v, return_counts=True)[1].astype(float)
-                var = (m * (m - 1) * (2 * m + 5) - (ties * (ties - 1) * (2 * ties + 5)).sum()) / 18
-                out.append((row.source, row.id, row.parameter_name, m, *_ordered(pair_statistics(t, v), var)))
-            yield pd.DataFrame(out, columns=["source", "id", "parameter_name", "n", "s", "var_s", "slope"])
-
-    return series.mapInPandas(run, TREND)
-
+                a, b = pair_statistics(t, v)
+                n.append(m)
+                sign.append(a)
+                var.append((m * (m - 1) * (2 * m + 5) - (ties * (ties - 1) * (2 * ties + 5)).sum()) / 18)
+                slope.append(b)
+            keep = [batch.column(c) for c in (*WELL, "record_count", "observation_count", "first_day", "last_day", "span")]
+            stats = [pa.array(n, pa.int64()), pa.array(sign, pa.int64()), pa.array(var, pa.float64()), pa.array(slope, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*keep, *stats], [*WELL, "record_count", "observation_count", "first_day", "last_day", "span_years", "n", "s", "var_s", "slope"])
 
-def _ordered(stats: tuple[int, float], var: float) -> tuple[int, float, float]:
-    return stats[0], var, stats[1]
+    return grouped.mapInArrow(run, TREND)
 
 
 def trends(rows: DataFrame, reducer: str) -> DataFrame:
     """Category, slope per year and tau per series; series too short are ``not enough data``."""
-    days = daily(rows, reducer)
-    seen = days.groupBy(*WELL).agg(F.count(F.lit(1)).alias("record_count"), F.sum("n").alias("observation_count"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"),
-                                   F.round((F.max(_noon()) - F.min(_noon())) / JULIAN_YEAR_S, 3).alias("span_years"))
-    t = trend_statistics(days)
+    t = trend_statistics(daily(rows, reducer))
     z = F.when((F.col("var_s") <= 0) | (F.col("s") == 0), 0.0).otherwise((F.col("s") - F.signum("s")) / F.sqrt("var_s"))
     t = t.withColumn("z", z)
     category = F.when(F.col("n").isNull(), "not enough data").when(F.abs("z") <= Z_95, "stable").when(F.col("z") > 0, "increasing").otherwise("decreasing")
-    return seen.join(t, WELL, "left").select(
-        *WELL, "record_count", "observation_count", "first_day", "last_day", "span_years", category.alias("trend_category"), F.col("s").alias("mk_s"),
+    return t.select(
+        *WELL, "record_count", "observation_count", "first_day", "last_day", F.round("span_years", 3).alias("span_years"), category.alias("trend_category"), F.col("s").alias("mk_s"),
         F.round(F.col("s") / (F.col("n") * (F.col("n") - 1) / 2), 4).alias("mk_tau"), C.half_up(F.col("slope"), 2).alias("slope_per_year"),
     )
 
