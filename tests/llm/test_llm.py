@@ -115,7 +115,7 @@ def test_encoding_equals_the_library(spark):
     from tokenizers import Tokenizer
 
     rng = np.random.default_rng(4)
-    texts = [None, "", "  ", "hello  world\n\n x", "héllo 😀😀 ½² ​ 漢字", "<|endoftext|>'s 're", "a" * 3000, "".join(rng.choice(list("abcdefgh"), 2500)), "Depth 12.5 ft; " * 300, "aaa aa a aaaa", "\udc80bad".encode("utf-8", "replace").decode()]
+    texts = [None, "", "  ", "hello  world\n\n x", "héllo 😀😀 ½² ​ 漢字", "<|endoftext|>'s 're", "a" * 3000, "b" * 9000, "".join(rng.choice(list("aeinorstxy "), 30000, p=[0.09999] * 10 + [0.0001])), "".join(rng.choice(list("abcdefgh"), 2500)), "Depth 12.5 ft; " * 300, "aaa aa a aaaa", "\udc80bad".encode("utf-8", "replace").decode()]
     df = spark.createDataFrame([(i, t, [1]) for i, t in enumerate(texts)] + [(3, texts[3], [2])], "doc_id long, text string, ids array<int>")
     library = Tokenizer.from_file(VOCABULARY)
     library.encode_special_tokens = True

@@ -4,10 +4,12 @@ A text is cut into words by the tokenizer's pattern. In each task, words not met
 (word, position, token) rows of an in-memory database; a recursive query joins neighbouring tokens to the
 merge table, contracts each word's minimum-rank pair, from the left, until no pair is left, and ordered
 aggregation gives the word's ids. A text's ids are those of its words in order.
+Words of several thousand letters, rare and without end, are contracted by a queue of pairs instead.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -63,7 +65,7 @@ def byte_characters() -> dict[int, str]:
 class Contractor:
     """The merge table in an in-memory database, and the ids of the words met so far."""
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 500_000, long_word: int = 4_000):
         import duckdb
         import regex
 
@@ -72,16 +74,40 @@ class Contractor:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.first = np.array([vocab[c] for _, c in sorted(byte_characters().items())], np.int32)
         self.words: dict[str, np.ndarray] = {}
+        self.long_word = long_word
+        self.rules = {(vocab[x], vocab[y]): (rank, vocab[x + y]) for rank, (x, y) in enumerate(pairs)}
         self.most_words = most_words
         self.pattern = regex.compile(PATTERN)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
         merges = pa.table({"a": [vocab[x] for x, _ in pairs], "b": [vocab[y] for _, y in pairs], "rank": range(len(pairs)), "merged": [vocab[x + y] for x, y in pairs]})
         self.db.register("landed", merges)
         self.db.execute("create table merges as select a::integer as a, b::integer as b, rank::integer as rank, merged::integer as merged from landed")
         self.db.unregister("landed")
 
+    def contract_long(self, tokens: list[int]) -> np.ndarray:
+        """The same contraction with a queue of pairs, for words whose steps would fill the recursion's memory."""
+        after, before, alive = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1)), [True] * len(tokens)
+        queue = [(self.rules[p][0], i, *p) for i, p in enumerate(zip(tokens, tokens[1:])) if p in self.rules]
+        heapq.heapify(queue)
+        while queue:
+            _, i, a, b = heapq.heappop(queue)
+            j = after[i]
+            if not alive[i] or j >= len(tokens) or tokens[i] != a or tokens[j] != b:
+                continue
+            tokens[i], alive[j], after[i] = self.rules[a, b][1], False, after[j]
+            if after[j] < len(tokens):
+                before[after[j]] = i
+            for x, y in ((before[i], i), (i, after[i])):
+                if x >= 0 and y < len(tokens) and (tokens[x], tokens[y]) in self.rules:
+                    heapq.heappush(queue, (self.rules[tokens[x], tokens[y]][0], x, tokens[x], tokens[y]))
+        return np.array([t for t, live in zip(tokens, alive) if live], np.int32)
+
     def learn(self, words: list[str], bytes_at_once: int = 100_000) -> None:
         """Encode words and keep their ids."""
+        for w in words:
+            if len(w) > self.long_word:
+                self.words[w] = self.contract_long(self.first[np.frombuffer(w.encode("utf-8", "replace"), np.uint8)].tolist())
+        words = [w for w in words if len(w) <= self.long_word]
         if len(self.words) + len(words) > self.most_words:
             self.words.clear()
         at = 0
