@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,14 +51,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
-def stage_table(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Over as many tasks as there are cores, where the files alone would keep most of them idle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
