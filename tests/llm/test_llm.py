@@ -181,3 +181,58 @@ def test_residue_found_and_spared(spark):
     assert got.count(None) == 1 and 200 not in got
     assert residue.clean(df).count() == len(GOOD) + 1
     assert residue.residue(df.limit(0)).count() == 0
+
+
+UNGATED = [
+    "Dear (insert owner name here), the well was measured.", "Depth to water: NULL. Well visited in May.", "Static level from NULL to NULL", "Depth to water: nan. Well visited.", "Level NULL ft.", "INVALID DATE", "Level: UNDEFINED.", "YOUR`x`NAME HERE", "Sed do eiusmod tempor.",
+    "test,test,test, test", "Test  test  test  test", "Code: 404", "Estado #500", "código: 503", "Vuelva a iniciar.", "Anmeldung erforderlich", "at run.main(App.scala:12)",
+]
+
+
+def samples(pattern, rng, n=40):
+    """Texts that every alternative of a pattern matches, case changed at random."""
+    from re import _parser as parser
+
+    def one(parsed, branch):
+        out = ""
+        for kind, v in parsed:
+            kind = str(kind)
+            if kind == "LITERAL":
+                out += chr(v)
+            elif kind in ("NOT_LITERAL", "ANY"):
+                out += "a"
+            elif kind == "IN":
+                names = [(str(k), x) for k, x in v]
+                options = [chr(x) for k, x in names if k == "LITERAL"] + [chr(c) for k, x in names if k == "RANGE" for c in (x[0], x[1])] + ["4" for k, x in names if k == "CATEGORY" and "DIGIT" in str(x)] + ["b" for k, x in names if k == "CATEGORY" and "WORD" in str(x)] + [" " for k, x in names if k == "CATEGORY" and "SPACE" in str(x)]
+                out += "k" if names[0][0] == "NEGATE" else options[rng.integers(len(options))] if "CATEGORY_NOT_WORD" not in str(v) else "-"
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+                for _ in range(v[0] + int(rng.integers(0, min(v[1], v[0] + 2) - v[0] + 1))):
+                    out += one(v[2], None)
+            elif kind == "SUBPATTERN":
+                out += one(v[-1], None)
+            elif kind == "BRANCH":
+                out += one(v[1][branch if branch is not None else rng.integers(len(v[1]))], None)
+        return out
+
+    plain = pattern.replace(r"[\p{Lu}_]", "[A-Z_]").replace(r"\p{Lu}", "[A-Z]").replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+    parsed = parser.parse(plain)
+    tops = [len(v[1]) for k, v in parsed if str(k) == "BRANCH"]
+    for branch in range(tops[0]) if tops else [None]:
+        for _ in range(n):
+            text = one(parsed, branch)
+            yield text
+            yield text.upper()
+
+
+def test_cheap_tests_pass_what_grammars_match(spark):
+    from pyspark.sql import functions as F
+
+    got = {r.doc_id for r in residue.residue(spark.createDataFrame(list(enumerate(UNGATED)), "doc_id long, text string")).collect()}
+    assert [t for i, t in enumerate(UNGATED) if i not in got] == []
+    rng = np.random.default_rng(5)
+    text, lower = F.col("text"), F.lower("text")
+    filler = {k: v for k, v in residue.FILLER.items() if k != "latin"}
+    for patterns, gate in ((residue.PLACEHOLDERS.values(), residue.may_be_unfilled(text)), (filler.values(), residue.may_be_filler(lower)), ([residue.NOTICES], residue.may_be_notice(lower))):
+        for p in patterns:
+            df = spark.createDataFrame([(t,) for t in samples(p, rng)], "text string").where(text.rlike(p)).select("text", gate.alias("passes")).cache()
+            assert df.count() > 0 and [r.text for r in df.where("not passes").collect()] == []

@@ -81,9 +81,15 @@ NOTICE_STEMS = (
     "not authorized", "have permission", "tiene permiso", "berechtigung", "l'autorisation", "has expired", "ha caducado", "a expiré", "abgelaufen", "log in", "login", "sign in", "sesión", "password", "for maintenance",
     "scheduled maintenance", "to maintenance", "por mantenimiento", "wegen wartung", "pour maintenance", "temporarily unavailable", "service unavailable", "no disponible", "javascript", "scripts", "scripting", "script blocker", "cookies", "aktivieren",
     "no backend", "upstream service", "unexpected condition", "system administrator", "server encountered", "server did not", "went wrong", "intente más", "checking your", "is automatic", "rate limit", "retry after", "too many requests", "request time",
-    "no rows", "help desk", "helpdesk", "completarse", "cannot complete", "does not support", "try again", "traceback", "exception", "java.", ".java", "ora-", "err_", "handshake", "connection", "timed out", "timeout", "time-out", "connect refused", "connect reset",
+    "no rows", "help desk", "helpdesk", "completarse", "vuelva a iniciar", "anmeldung erforderlich", "cannot complete", "does not support", "try again", "traceback", "exception", "java.", ".java", "ora-", "err_", "handshake", "connection", "timed out", "timeout", "time-out", "connect refused", "connect reset",
     "loading", "cargando", "chargement", "geladen", "please wait", "file \"", "oops", "sorry about", "bad request", "bad gateway", "forbidden", "unauthorized", " gone", "enable them",
 )
+#: Tests that every placeholder, filler of test words and notice passes, besides the stems. A text
+#: without backticks, tildes and angles is its own body.
+MAY_MARK = r"[{}<>\[\]%$@#~_&`]|\(\(|XX|YOUR |\(\s*(?i:insert|enter|your|add|fill in|replace|inserte|insérer|einfügen)\b"
+MAY_EMPTY = r"(?i)undefined|nan\b|null\b|invalid date"
+MAY_TEST = r"test[ ,]+test"
+MAY_NOTICE = r"(?:código|code|estado)(?: code)?[ :#]*[45]\d|\(\w+\.\w+:\d"
 #: What stands around any page.
 CHROME = (
     r"(?im)\b(?:skip to main content|back to search|terms of use|cookie settings|privacy(?: policy)?|contact(?: us)?|home|maps?|wells?|inicio|mapa|pozos|menu|search|log ?in|nginx|request id:? *[\w-]+|reference number *[\w-]+|\(code [\w-]+\)|time: *\d+ ?ms|código \d+|code \d+)\b|[|\-–•·]"
@@ -103,28 +109,41 @@ def _one(patterns: dict[str, str]) -> str:
     return "|".join(f"(?:{p})" if not p.startswith("(?i)") else f"(?i:{p[4:]})" for p in patterns.values())
 
 
+def may_be_unfilled(text: Column) -> Column:
+    """True of every text in which a placeholder can be found, and of few others."""
+    return text.rlike(MAY_MARK) | text.rlike(MAY_EMPTY)
+
+
+def may_be_filler(lower: Column) -> Column:
+    """True of every text in lower case that can hold filler other than Latin."""
+    return _any(lower, FILLER_STEMS) | lower.rlike(MAY_TEST)
+
+
+def may_be_notice(lower: Column) -> Column:
+    """True of every text in lower case that can hold a notice."""
+    return _any(lower, NOTICE_STEMS) | lower.rlike(MAY_NOTICE)
+
+
 def signs(rows: DataFrame) -> DataFrame:
     """Adds to ``text`` what it holds: placeholders, talked_about, filler, blank_fields, notice, rest, size.
 
-    Cheap tests for single characters and words come first; most texts need none of the grammars. What
-    several tests share is projected before, so that it is computed once.
+    Cheap tests for single characters and words come first; most texts need none of the grammars. They pass
+    whatever a grammar matches. What several tests share is projected before, so that it is computed once.
     """
     text, lower = F.col("text"), F.col("_lower")
     body = F.regexp_replace(text, CODE, " ")
-    may_mark = text.rlike(r"[{}<>\[\]%$@#~_&]|\(\(|XX|YOUR |\b_")
-    may_empty = _any(text, ("undefined", "NaN", "nan ", "null", "Null", "Invalid Date", "object Object", "Undefined"))
     either = _one(PLACEHOLDERS)
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+|\s[|\-–]\s")
     rows = rows.withColumn("_lower", F.lower("text"))
     rows = rows.withColumns({
-        "placeholders": F.when(may_mark | may_empty, F.regexp_count(body, F.lit(either))).otherwise(0),
-        "_parts": F.when(_any(lower, NOTICE_STEMS), parts),
+        "placeholders": F.when(may_be_unfilled(text), F.regexp_count(body, F.lit(either))).otherwise(0),
+        "_parts": F.when(may_be_notice(lower), parts),
     })
     rows = rows.withColumn("_plain", F.filter("_parts", lambda s: ~s.rlike(NOTICES)))
     sentences = F.filter(F.split(body, r"(?<=[.!?])\s+|\n+"), lambda s: s.rlike(TALK))
     talked = F.aggregate(sentences, F.lit(0), lambda n, s: n + F.regexp_count(s, F.lit(either)))
-    latin = _any(lower, ("lorem", "ipsum", "amet")) & text.rlike(FILLER["latin"])
-    wording = _any(lower, FILLER_STEMS) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
+    latin = text.rlike(FILLER["latin"])
+    wording = may_be_filler(lower) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
     fields, lines = F.regexp_count(text, F.lit(FIELD)), F.regexp_count(text, F.lit(r"(?m)^[^\n]*\S"))
     notice = F.coalesce(F.size("_plain") < F.size("_parts"), F.lit(False))
     return rows.withColumns({
