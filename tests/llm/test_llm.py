@@ -107,6 +107,14 @@ def test_linkage_decides(spark):
     assert linkage.match(spark.createDataFrame([], LEFT), spark.createDataFrame(right, RIGHT)).count() == 0
 
 
+@pytest.mark.parametrize("blank", [None, " ", "N/A"])
+def test_rows_without_id_are_no_copies(spark, blank):
+    left = [(i, "S", f"s{i}", f"Place{'abcdefghijkl'[i]} Basin {i + 11}", 33.0 + i / 10, -106.0, 100.0 + 20 * i, "ft", "", 1) for i in range(12)] + [(50 + i, "S", blank, None, 38.0 + i / 10, -104.0, 500.0 + 20 * i, "ft", "", 1) for i in range(12)]
+    right = [(100 + r[0], "P", blank if r[0] < 50 else f"p{r[0]}", *r[3:]) for r in left]
+    got = {(r.site_uid, r.pod_uid): r.confidence for r in linkage.match(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)).collect()}
+    assert set(got) == {(r[0], 100 + r[0]) for r in left} and min(got.values()) > 0.7
+
+
 # encoding
 
 

@@ -24,6 +24,8 @@ LANDSCAPE = {
 }
 MORE_LANDSCAPE = ["bench", "bluff", "llano", "siding", "wash"]
 KINDS = {"irrigation": "irr", "irr": "irr", "windmill": "wm", "wm": "wm", "piezometer": "piez", "piez": "piez", "domestic": "dom", "dom": "dom"}
+#: An id that names no record.
+NO_ID = r"^(?:[^\p{L}\p{N}]|0)*$|^(?:N/?A|NAN|NULL|NONE|UNKNOWN|UNNAMED|MISSING|TBD)$"
 FILLERS = ["well", "wl", "wells", "no", "nr", "at", "the", "unknown", "unnamed", "none", "na"]
 
 
@@ -62,6 +64,9 @@ def described(df: DataFrame, uid: str) -> DataFrame:
     metres = F.lower(F.trim(F.coalesce("well_depth_units", F.lit("")))).rlike("^m")
     depth = F.when(F.col("well_depth").isNotNull() & ~F.isnan("well_depth") & (F.col("well_depth") > 0), F.when(metres, F.col("well_depth") * 3.28084).otherwise(F.col("well_depth")))
     ok = usable_point(F.col("latitude"), F.col("longitude"))
+    # a row without an id cannot be known to be a copy: it is a record of its own
+    own = F.upper(F.trim(F.coalesce("id", F.lit(""))))
+    record = F.when(own.rlike(NO_ID), F.xxhash64(F.lit("row"), F.col(uid).cast("long"))).otherwise(F.xxhash64(F.upper(F.trim(F.coalesce("source", F.lit("")))), own))
     return df.where(F.col(uid).isNotNull()).select(
         F.col(uid).cast("long").alias("uid"),
         F.array_join(F.filter(words, lambda w: ~w.isin(*land) & ~w.isin(*KINDS) & ~w.isin(*FILLERS)), " ").alias("place"),
@@ -71,7 +76,7 @@ def described(df: DataFrame, uid: str) -> DataFrame:
         depth.alias("depth"),
         F.when(ok, F.col("latitude")).alias("lat"),
         F.when(ok, F.col("longitude")).alias("lon"),
-        F.xxhash64(F.upper(F.trim(F.coalesce("source", F.lit("")))), F.upper(F.trim(F.coalesce("id", F.lit(""))))).alias("record"),
+        record.alias("record"),
     )
 
 
@@ -161,7 +166,8 @@ def match(sites: DataFrame, pods: DataFrame, rules: Rules = Rules()) -> DataFram
 
     Attributes may be null, empty, placeholders, misspelt or out of range; those say nothing. Pairs of which
     fewer than two of name with number, depth and location can be compared are never candidates. Rows with
-    a null key are ignored; rows delivered again match as their copies do. Other columns, also of the
+    a null key are ignored; rows delivered again (same source and id) match as their copies do; rows without
+    an id are copies of nothing. Other columns, also of the
     same names in both tables, do no harm; an empty table gives an empty result.
     """
     left, right = cut_lineage(described(sites, "site_uid")), cut_lineage(described(pods, "pod_uid"))
