@@ -115,6 +115,26 @@ def test_rows_without_id_are_no_copies(spark, blank):
     assert set(got) == {(r[0], 100 + r[0]) for r in left} and min(got.values()) > 0.7
 
 
+def test_like_named_sites_apart_are_no_rivals(spark):
+    left = [(i, "S", f"s{i}", "Kelstow Bluff 9", 32.0 + i / 10, -106.0, None, "ft", "", 1) for i in range(12)]
+    right = [(100 + r[0], "P", f"p{r[0]}", *r[3:]) for r in left]
+    got = {(r.site_uid, r.pod_uid): r.confidence for r in linkage.match(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)).collect()}
+    assert set(got) == {(i, 100 + i) for i in range(12)} and min(got.values()) > 0.7
+
+
+def test_sites_of_one_well(spark):
+    name = "Kelstow Bluff 9"
+    rows = [
+        (1, "S", "a", name, 34.0, -106.0, 300.0, "ft", "", 1), (2, "T", "b", name, 34.001, -106.001, None, "ft", "", 1), (3, "U", "c", name, 36.0, -106.0, 500.0, "ft", "", 1), (4, "V", "d", name, None, None, 300.0, "ft", "", 1),
+        (5, "W", "e", name, None, None, 302.0, "ft", "", 1), (6, "X", "f", name, None, None, 900.0, "ft", "", 1), (7, "s", "A ", None, None, None, None, "ft", "", 1), (8, "Y", "g", "Kelstow Bluff 8", 34.0, -106.0, 300.0, "ft", "", 1),
+        (9, "Z", None, None, 34.0, -106.0, 300.0, "ft", "", 1), (10, "Z", None, None, 34.0, -106.0, 300.0, "ft", "", 1), (11, "Q", "h", name, None, None, None, "ft", "", 1), (12, "T", "i", name, 34.0, 179.9999, None, "ft", "", 1), (13, "T", "j", name, 34.0, -179.9999, None, "ft", "", 1),
+    ]
+    got = {}
+    for r in linkage.wells(linkage.described(spark.createDataFrame(rows, LEFT), "site_uid")).collect():
+        got.setdefault(r.well, set()).add(r.uid)
+    assert sorted(map(sorted, got.values())) == [[1, 2, 4, 5, 7], [3], [6], [8], [9], [10], [11], [12, 13]]
+
+
 # encoding
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.nearby import M_PER_DEGREE, usable_point
 from ..session import cut_lineage
+from .components import groups
 
 #: Abbreviations of landscape words, the landscape words, and words for kinds of wells.
 LANDSCAPE = {
@@ -161,19 +162,51 @@ def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
     return state.withColumnRenamed("z", "confidence")
 
 
+def wells(sites: DataFrame, cell: float = 0.005, band: float = 0.025) -> DataFrame:
+    """The described sites with ``well``, which rows of one well share.
+
+    Rows of one record are one well. So are rows of one name and number whose places connect: in the same
+    or adjoining cells, or, where no place is given, in the same or adjoining bands of depth; the latter join
+    the placed well of that name and depth if there is only one. Rows meet in cells and bands, not in pairs,
+    so a name may have any share of the rows.
+    """
+    named = (F.col("place") != "") & (F.col("number") != "")
+    name = F.when(named, F.xxhash64(F.lit("n"), "place", "land", "number"))
+    around = round(360 / cell)
+    rows = sites.withColumns({"_name": name, "_i": F.floor(F.col("lat") / cell), "_j": F.floor(F.col("lon") / cell), "_b": F.floor(F.log("depth") / band)})
+    spot = lambda i, j: F.xxhash64(F.lit("spot"), F.col("_name"), i, F.pmod(j, F.lit(around)))
+    deep = lambda b: F.xxhash64(F.lit("deep"), F.col("_name"), b)
+    placed = F.col("lat").isNotNull()
+    i, j, b = F.col("_i"), F.col("_j"), F.col("_b")
+    node = F.when(named & placed, spot(i, j)).when(named & b.isNotNull(), deep(b))
+    beside = F.when(placed, F.array(*[spot(i + x, j + y) for x, y in ((0, 1), (1, -1), (1, 0), (1, 1))])).otherwise(F.array(deep(b + 1)))
+    rows = cut_lineage(rows.withColumns({"_node": node, "_beside": beside}))
+    known = rows.where("_node is not null")
+    nodes = known.groupBy("_node").agg(F.min("record").alias("_least"), F.max("record").alias("_most"), F.first("_beside").alias("_beside"))
+    near = nodes.select(F.col("_node").alias("u"), F.explode("_beside").alias("v")).join(nodes.select(F.col("_node").alias("v")), "v").select("u", "v").where("u <> v")
+    # a cell of one record, with no cell beside it, ties nothing
+    tying = nodes.where("_least <> _most").select("_node").unionAll(near.select("u")).unionAll(near.select("v")).distinct()
+    held = known.select("record", "_node").distinct().join(tying, "_node")
+    label = groups(held.select(F.col("record").alias("u"), F.col("_node").alias("v")).unionAll(near)).select(F.col("vertex").alias("record"), F.col("group_id"))
+    rows = cut_lineage(rows.join(label, "record", "left").withColumn("well", F.coalesce("group_id", "record")))
+    at = rows.where(named & placed & b.isNotNull()).groupBy("_name", "_b").agg(F.min("well").alias("_lo"), F.max("well").alias("_hi"))
+    lost = rows.groupBy("well").agg(F.max(placed).alias("_placed")).where("not _placed").select("well")
+    asked = rows.where(named & ~placed & b.isNotNull()).join(lost, "well").select("well", "_name", F.explode(F.array(b - 1, b, b + 1)).alias("_b")).distinct()
+    joined = asked.join(at, ["_name", "_b"]).groupBy("well").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")).where("_lo = _hi").select("well", "_lo")
+    return rows.join(joined, "well", "left").select(*sites.columns, F.coalesce("_lo", "well").alias("well"))
+
+
 def match(sites: DataFrame, pods: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(site_uid, pod_uid, confidence, distance_m) of the pairs held to be one well.
 
     Attributes may be null, empty, placeholders, misspelt or out of range; those say nothing. Pairs of which
     fewer than two of name with number, depth and location can be compared are never candidates. Rows with
     a null key are ignored; rows delivered again (same source and id) match as their copies do; rows without
-    an id are copies of nothing. Other columns, also of the
+    an id are copies of nothing. Sites of one name count as one well only where their places agree. Other columns, also of the
     same names in both tables, do no harm; an empty table gives an empty result.
     """
     left, right = cut_lineage(described(sites, "site_uid")), cut_lineage(described(pods, "pod_uid"))
-    named = (F.col("place") != "") & (F.col("number") != "")
-    well = F.when(named, F.xxhash64(F.lit("n"), "place", "land", "number")).otherwise(F.col("record"))
-    l = left.withColumn("well", well).select(*[F.col(c).alias(f"l_{c}") for c in [*left.columns, "well"]]).withColumnRenamed("l_uid", "l")  # noqa: E741
+    l = cut_lineage(wells(left)).select(*[F.col(c).alias(f"l_{c}") for c in [*left.columns, "well"]]).withColumnRenamed("l_uid", "l")  # noqa: E741
     r = right.withColumn("well", F.col("record")).select(*[F.col(c).alias(f"r_{c}") for c in [*right.columns, "well"]]).withColumnRenamed("r_uid", "r")
     pairs = cut_lineage(_evidence(candidates(left, right).join(l, "l").join(r, "r"), rules))
     # pairs that no rule can lift past the threshold stay out of the problem
