@@ -180,6 +180,32 @@ def test_runs_and_edited_copies(spark):
     assert leakage.found(d, i.limit(0)).count() == 0 and leakage.found(d.limit(0), i).count() == 0
 
 
+def test_edited_and_short_copies_of_shared_items(spark):
+    w = [f"word{i}" for i in range(70)]
+    edited = [x if i % 10 != 9 else "other" for i, x in enumerate(w)]
+    stuffed = [x for i, v in enumerate(w) for x in ([v, "and"] if i % 4 == 3 else [v])]
+    docs = [(1, "so " + " ".join(edited) + " end"), (2, "we said five words stand right here today"), (3, " ".join(stuffed)), (4, "nothing of note"), (5, "the very unlikely"), (6, " ".join(w[:40])), (7, "five words and then words stand far here right")]
+    items = [(100 + i, " ".join(w)) for i in range(20)] + [(200, "Five words stand right here"), (201, "unlikely"), (202, None), (203, " ,. ")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    wanted = {(1, 100 + k) for k in range(20)} | {(3, 100 + k) for k in range(20)} | {(6, 100 + k) for k in range(20)} | {(2, 200), (5, 201)}
+    results = [sorted(map(tuple, leakage.leaks(d, i, most_bytes=most).collect())) for most in (64_000_000, 0)]
+    assert results[0] == results[1] and {r[:2] for r in results[0]} == wanted and {r[2] for r in results[0] if r[0] == 3} == {4}
+
+
+def test_all_copies_are_aligned():
+    rng, words = np.random.default_rng(6), leakage.Words()
+    for _ in range(300):
+        item = [f"w{x}" for x in rng.integers(0, 30, rng.integers(1, 40))]
+        text = [x for x in item for x in {0: [], 1: ["new"], 2: [x, "new"]}.get(int(rng.integers(0, 14)), [x])]
+        text = [f"w{x}" for x in rng.integers(0, 30, 20)] + text + [f"w{x}" for x in rng.integers(0, 30, 20)]
+        a, b = words.of(" ".join(text)), words.of(" ".join(item))
+        score = leakage.align(a, b)[0]
+        got = leakage.Items([(1, " ".join(item))], 5, words).compare(a, 13)
+        assert score / (2 * len(b)) < 0.8 or (got and got[0][2] == score)
+    # a text that holds a repeated pair once keeps too few of them
+    assert leakage.Items([(1, "a b " * 20)], 5, words).compare(words.of("a b a"), 13) == []
+
+
 def test_alignment_scores():
     a = np.array([9, 9, 1, 2, 3, 4, 5, 9], np.uint64)
     assert leakage.align(a, np.array([1, 2, 3, 4, 5], np.uint64)) == (10.0, 2, 7)

@@ -1,9 +1,11 @@
 """Held-out test passages inside corpus texts.
 
-Five-word seeds of the test items are looked up in every text; where a text shares seeds with an item, the
-stretch around them is aligned with the item word by word (Smith-Waterman), which also scores edited copies.
-Seeds count the more the fewer items have them. Runs of equal words show as runs of seeds, whatever those
-count, so none is missed.
+Five-word seeds of the test items are looked up in every text; runs of equal words show as runs of seeds, so
+none is missed. Edited copies are found by pairs of words: an item of L words that aligns with similarity s
+keeps all but 2(1 - s)L of its L - 1 pairs (a word put in breaks one pair for 1 of the 2L points, a changed or
+dropped word two for 3). Of one pair more than may break, any choice holds one that is kept; the item's
+rarest are looked up, then all its pairs counted, and stretches with enough of them are aligned with the item
+word by word (Smith-Waterman). Rarity only orders the work, so results do not depend on the other items.
 """
 
 from __future__ import annotations
@@ -82,10 +84,20 @@ def align(a: np.ndarray, b: np.ndarray, match: float = 2.0, miss: float = -1.0,
     return best, *best_at
 
 
+def _spans(lo: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers from ``lo`` on, ``many`` of them, one span after the other."""
+    return np.repeat(lo - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+
+
+def longest_run(a: np.ndarray, b: np.ndarray, below: int) -> int:
+    """Most consecutive words that stand in both, where fewer than ``below`` do."""
+    return next((n for n in range(below - 1, 0, -1) if np.isin(seeds_of(b, n), seeds_of(a, n)).any()), 0)
+
+
 class Items:
-    """The test items' words and an index of their seeds."""
+    """The test items' words, an index of their seeds, and one of the pairs of words (single words, where pairs prove nothing) of which a copy must keep some."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], n: int, words: Words):
+    def __init__(self, rows: list[tuple[int, str | None]], n: int, words: Words, similarity: float = 0.8):
         self.n = n
         self.ids = np.array([i for i, _ in rows], np.int64)
         self.words = [words.of(t) for _, t in rows]
@@ -95,6 +107,41 @@ class Items:
         pos = np.concatenate([np.arange(len(x)) for x in at]) if at else np.zeros(0, np.int64)
         order = np.argsort(seed, kind="stable")
         self.seed, self.owner, self.pos = seed[order], owner[order], pos[order]
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.slack = np.floor(2 * (1 - similarity) * sizes + 1e-9).astype(np.int64)
+        self.by_pair = sizes - 1 > self.slack
+        self.least = np.where(self.by_pair, sizes - 1 - self.slack, np.maximum(1, np.ceil(similarity * sizes - 1e-9)).astype(np.int64))
+        grams = [seeds_of(w, 2 if two else 1) for w, two in zip(self.words, self.by_pair)]
+        self.many = np.array([len(x) for x in grams], np.int64)
+        self.first = np.cumsum(self.many) - self.many
+        self.gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
+        holder = np.repeat(np.arange(len(grams)), self.many)
+        _, back, often = np.unique(self.gram, return_inverse=True, return_counts=True)
+        order = np.lexsort((often[back], holder))
+        rank = np.arange(len(order)) - self.first[holder[order]]
+        chosen = order[rank <= (self.many - self.least)[holder[order]]]
+        chosen = chosen[np.argsort(self.gram[chosen], kind="stable")]
+        self.key, self.key_owner = self.gram[chosen], holder[chosen]
+
+    def copies(self, grams: np.ndarray) -> np.ndarray:
+        """Items that keep as many of their pairs among those of a text (sorted, distinct) as a copy must."""
+        lo, hi = np.searchsorted(self.key, grams), np.searchsorted(self.key, grams, side="right")
+        met = np.unique(self.key_owner[_spans(lo, hi - lo)])
+        if not len(met):
+            return met
+        own = self.gram[_spans(self.first[met], self.many[met])]
+        kept = grams[np.minimum(np.searchsorted(grams, own), len(grams) - 1)] == own
+        return met[np.add.reduceat(kept.astype(np.int64), np.cumsum(self.many[met]) - self.many[met]) >= self.least[met]]
+
+    def stretches(self, item: int, pairs: np.ndarray, singles: np.ndarray) -> list[tuple[int, int]]:
+        """The stretches of a text, in words, that hold as many pairs of the item as a copy must."""
+        own = self.gram[self.first[item] : self.first[item] + self.many[item]]
+        places = np.flatnonzero(np.isin(pairs if self.by_pair[item] else singles, own))
+        reach, least = len(self.words[item]) + self.slack[item], self.least[item]
+        if len(places) < least:
+            return []
+        starts = np.flatnonzero(places[least - 1 :] - places[: len(places) - least + 1] < reach)
+        return [(int(places[i]) - reach, int(places[i + least - 1]) + reach + 2) for i in starts]
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(item, place in ``words``, place in the item, items with that seed) of every shared seed."""
@@ -105,48 +152,65 @@ class Items:
         index = np.repeat(lo, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
         return self.owner[index], at, self.pos[index], many[at]
 
-    def compare(self, words: np.ndarray, min_run: int, rare: float) -> list[tuple[int, int, float, float, int, int, int]]:
+    def compare(self, words: np.ndarray, min_run: int) -> list[tuple[int, int, float, float, int, int, int]]:
         """(item id, longest run, score, similarity, seeds, start, end) of the items worth aligning.
 
         Seeds that follow one another in both texts make a run of equal words, so each item's longest run
-        is known before; an item is aligned if that is ``min_run``, or if its distinct seeds, each
-        counting less the more items have it, add up to ``rare``.
+        is known before; an item is aligned if that is ``min_run``, or if a stretch keeps as many pairs of
+        the item as a copy must.
         """
-        owner, at, pos, many = self.hits(words)
-        if not len(owner):
+        if not len(words):
             return []
-        order = np.lexsort((at, at - pos, owner))
-        owner, at, pos, many = owner[order], at[order], pos[order], many[order]
-        step = np.r_[True, (owner[1:] != owner[:-1]) | ((at - pos)[1:] != (at - pos)[:-1]) | (at[1:] != at[:-1] + 1)]
-        run = np.bincount(np.cumsum(step) - 1) + self.n - 1
-        items, first = np.unique(owner, return_index=True)
-        longest = np.maximum.reduceat(run[np.cumsum(step) - 1], first)
-        distinct, once = np.unique(owner * 4_294_967_296 + pos, return_index=True)
-        weight = np.bincount(np.searchsorted(items, owner[once]), 1.0 / many[once], len(items))
+        owner, at, pos, _ = self.hits(words)
+        runs: dict[int, int] = {}
+        if len(owner):
+            order = np.lexsort((at, at - pos, owner))
+            owner, at, pos = owner[order], at[order], pos[order]
+            step = np.r_[True, (owner[1:] != owner[:-1]) | ((at - pos)[1:] != (at - pos)[:-1]) | (at[1:] != at[:-1] + 1)]
+            run = np.bincount(np.cumsum(step) - 1) + self.n - 1
+            items, first = np.unique(owner, return_index=True)
+            longest = np.maximum.reduceat(run[np.cumsum(step) - 1], first)
+            runs = dict(zip(items.tolist(), longest.tolist()))
+        pairs, singles = seeds_of(words, 2), seeds_of(words, 1)
+        kept = set(self.copies(np.unique(np.concatenate([pairs, singles]))).tolist())
         out = []
-        for k in np.flatnonzero((longest >= min_run) | (weight >= rare)):
-            item = items[k]
+        for item in sorted(kept | {i for i, r in runs.items() if r >= min_run}):
             own, places = self.words[item], np.unique(at[owner == item])
-            best = (0.0, 0, 0)
-            for part in np.split(places, np.flatnonzero(np.diff(places) > 2 * len(own)) + 1):
-                lo, hi = max(0, part[0] - len(own)), min(len(words), part[-1] + self.n + len(own))
-                score, a, b = align(words[lo:hi], own)
+            parts = self.stretches(item, pairs, singles) if item in kept else []
+            if not parts and runs.get(item, 0) < min_run:
+                continue
+            for part in np.split(places, np.flatnonzero(np.diff(places) > 2 * len(own)) + 1) if len(places) else []:
+                parts.append((int(part[0]) - len(own), int(part[-1]) + self.n + len(own)))
+            best, end = (0.0, 0, 0), -1
+            merged: list[list[int]] = []
+            for lo, hi in sorted(parts):
+                if merged and lo <= end:
+                    merged[-1][1] = end = max(end, hi)
+                else:
+                    merged.append([lo, hi])
+                    end = hi
+            for lo, hi in merged:
+                lo = max(0, lo)
+                score, a, b = align(words[lo : min(len(words), hi)], own)
                 best = max(best, (score, lo + a, lo + b))
-            out.append((int(self.ids[item]), int(longest[k]), best[0], best[0] / (2.0 * max(1, len(own))), len(places), int(best[1]), int(best[2])))
+            run = runs.get(item) or longest_run(words, own, self.n)
+            out.append((int(self.ids[item]), run, best[0], best[0] / (2.0 * max(1, len(own))), len(places), int(best[1]), int(best[2])))
         return out
 
 
-def leaks(documents: DataFrame, items: DataFrame, min_run: int = 13, similarity: float = 0.8, seed_words: int = 5, rare: float = 3.0, most_bytes: int = 64_000_000) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, min_run: int = 13, similarity: float = 0.8, seed_words: int = 5, most_bytes: int = 64_000_000) -> DataFrame:
     """Texts that hold a run of ``min_run`` words of an item, or the item edited but for a share.
 
     Columns: doc_id, item_id, longest_run, score, similarity (alignment score over the score of the item
     itself), seeds, doc_start, doc_end (the aligned stretch, in words). Words are runs of letters and
     digits, case ignored; whatever stands between them is. Null, empty and wordless texts on either side
-    have no leak; rows with a null key are ignored; repeated texts each give their rows. Texts of any
+    have no leak; an item of a few words leaks wherever they stand. Rows with a null key are ignored; repeated texts each give their rows. Texts of any
     length are read whole. Other columns are ignored; empty tables give an empty result.
 
-    Up to ``most_bytes`` of item text (checked) go to every task; beyond it, seeds are joined instead.
+    Up to ``most_bytes`` of item text (checked) go to every task; beyond it, seeds, pairs and words are joined
+    instead, with the same result.
     """
+    seed_words = min(seed_words, min_run)
     spark = documents.sparkSession
     wanted = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item_text")).distinct()
     texts = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -157,31 +221,39 @@ def leaks(documents: DataFrame, items: DataFrame, min_run: int = 13, similarity:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words()
-            index = Items(shared.value, seed_words, words)
+            index = Items(shared.value, seed_words, words, similarity)
             for batch in batches:
-                rows = [(doc, *r) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for r in index.compare(words.of(text), min_run, rare)]
+                rows = [(doc, *r) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for r in index.compare(words.of(text), min_run)]
                 yield _batch(rows)
 
         return spread(texts).mapInArrow(run, ALIGNED).where(keep)
 
-    def seeds(key: str, text: str):
+    def seeds(key: str, text: str, keys_of):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words()
             for batch in batches:
                 for k, t in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist()):
-                    s = np.unique(seeds_of(words.of(t), seed_words)).view(np.int64)
+                    s = np.unique(keys_of(k, t, words)).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), k, np.int64)), pa.array(s)], [key, "seed"])
 
         return run
 
-    met = texts.mapInArrow(seeds("doc_id", "text"), "doc_id long, seed long").join(wanted.mapInArrow(seeds("item_id", "item_text"), "item_id long, seed long"), "seed")
+    def of_text(_, t: str, words: Words) -> np.ndarray:
+        w = words.of(t)
+        return np.concatenate([seeds_of(w, n) for n in ((seed_words, 2, 1) if similarity <= 1 else (seed_words,))])
+
+    def of_item(k: int, t: str, words: Words) -> np.ndarray:
+        item = Items([(k, t)], seed_words, words, similarity)
+        return np.concatenate([item.seed, item.key])
+
+    met = texts.mapInArrow(seeds("doc_id", "text", of_text), "doc_id long, seed long").join(wanted.mapInArrow(seeds("item_id", "item_text", of_item), "item_id long, seed long"), "seed")
     pairs = met.select("doc_id", "item_id").distinct().join(wanted, "item_id").join(texts, "doc_id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("doc_id", "item_id", "item_text", "text")]
-            yield _batch([(d, *r) for d, i, it, t in zip(*cols) for r in Items([(i, it)], seed_words, words).compare(words.of(t), min_run, rare)])
+            yield _batch([(d, *r) for d, i, it, t in zip(*cols) for r in Items([(i, it)], seed_words, words, similarity).compare(words.of(t), min_run)])
 
     return pairs.mapInArrow(verify, ALIGNED).where(keep).distinct()
 
@@ -195,4 +267,5 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def found(documents: DataFrame, items: DataFrame, min_run: int = 13) -> DataFrame:
     """(doc_id, item_id) sharing at least ``min_run`` consecutive words."""
-    return leaks(documents, items, min_run).where(F.col("longest_run") >= min_run).select("doc_id", "item_id").distinct()
+    # no copy is as similar as this, so none is looked for
+    return leaks(documents, items, min_run, similarity=2.0).where(F.col("longest_run") >= min_run).select("doc_id", "item_id").distinct()
