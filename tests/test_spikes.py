@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wellframe.operators.spikes import SpikeRules, flag_readings, forest_scores, found
+from wellframe.operators.spikes import SpikeRules, flag_readings, forest_scores, found, judge
 
 SCHEMA = "obs_id long, source string, id string, parameter_name string, parameter_value double, date_measured string, time_measured string, received_at timestamp, ts string, value int"
 
@@ -73,11 +73,28 @@ def test_shards_do_not_change_flags(spark):
     assert whole == cut == {301, 600, 601, 901, *range(796, 807)}
 
 
+def test_the_forest_decides():
+    """Without the forest, ordinary readings of heavy-tailed series pass the veto; with it, the planted spikes stay and most others go."""
+    rng = np.random.default_rng(5)
+    series, per = 40, 300
+    key, ts = np.repeat(np.arange(series), per), np.tile(np.arange(per) * 86400, series)
+    value = 100 + np.clip(rng.standard_t(3, series * per), -7, 7)
+    planted = rng.choice(series * per, 120, replace=False)
+    value[planted] += rng.choice([-1, 1], 120) * rng.uniform(30, 80, 120)
+    truth = np.zeros(series * per, bool)
+    truth[planted] = True
+    flags = {use: judge(key, ts, value, np.zeros(len(key), int), np.ones(len(key), bool), SpikeRules(use_forest=use))["is_spike"] for use in (True, False)}
+    precision = {use: (f & truth).sum() / f.sum() for use, f in flags.items()}
+    recall = {use: (f & truth).sum() / truth.sum() for use, f in flags.items()}
+    assert precision[True] > precision[False] + 0.02 and recall[True] >= recall[False] - 0.03, (precision, recall)
+
+
 def test_forest_ranks_outliers():
     x = np.random.default_rng(1).normal(0, 1, (500, 3))
     x[7] = 9
-    s = forest_scores(np.zeros(500, int), x, SpikeRules())
+    s, probe = forest_scores(np.zeros(500, int), x, SpikeRules(), np.full((1, 3), 4.0))
     assert s[7] == s.max() and s[7] > 0.6 and np.median(s) < 0.5
+    assert s[7] > probe[0] > np.median(s)
 
 
 def test_every_reading_is_scored(spark, sf):

@@ -1,10 +1,11 @@
 """Implausible readings: spikes, stuck values and impossible values, judged per series.
 
 Each series gets an isolation forest over level, difference, seasonal and run-length features; every
-reading is scored. Readings with a high score are candidates; an exact check then keeps those that
-leave the level of their neighbours abruptly and only for a few readings. Runs of one value and
-physically impossible values are explicit rules. Series of any length are cut into time shards with
-halo rows, so no series is gathered in one task.
+reading is scored. A probe, a made-up reading just far enough from the level to be a spike, is scored by
+the same forest: readings that stand as alone as the probe are candidates, so the threshold is calibrated
+per series. A local check then only rejects candidates that hardly leave the level of their neighbours or
+leave it for more than a few readings. Runs of one value and physically impossible values are explicit
+rules. Series of any length are cut into time shards with halo rows, so no series is gathered in one task.
 """
 
 from __future__ import annotations
@@ -32,16 +33,21 @@ class SpikeRules:
     """Parameters of the detector.
 
     ``trees``, ``sample`` and ``depth`` define each series' forest (``sample`` readings per tree, the
-    bound of the method itself); ``score`` is the forest score from which a reading is a candidate.
-    ``deviation`` (``level_deviation`` for water levels) is how many noise scales a spike leaves the
-    level of its neighbours. Short series borrow noise from what their parameter usually shows:
-    (absolute, share of the level), weighing as much as ``prior_weight`` readings.
+    bound of the method itself). The probe leaves the level, of the series and of its neighbours, by
+    ``deviation`` (``level_deviation`` for water levels) noise scales, and the last reading and the season
+    by ``probe_share`` of that; a reading is a candidate if its score falls at most ``margin`` below the
+    probe's. ``veto`` noise scales is the least deviation from the neighbours that a candidate must show.
+    Short series borrow noise from what their parameter usually shows: (absolute, share of the level),
+    weighing as much as ``prior_weight`` readings. ``use_forest=False`` leaves the veto alone (for comparison).
     """
 
-    trees: int = 16
+    trees: int = 24
     sample: int = 64
     depth: int = 6
-    score: float = 0.5
+    margin: float = 0.02
+    probe_share: float = 0.3
+    veto: float = 5.0
+    use_forest: bool = True
     neighbours: int = 6
     deviation: float = 9.0
     level_deviation: float = 7.0
@@ -114,18 +120,22 @@ def _mean_depth(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, c, np.where(n == 2, 1.0, 0.0))
 
 
-def forest_scores(seg: np.ndarray, features: np.ndarray, rules: SpikeRules, seed: int = 7) -> np.ndarray:
-    """Isolation-forest score of each row, with a forest of its own for each segment.
+def forest_scores(seg: np.ndarray, features: np.ndarray, rules: SpikeRules, probe: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Isolation-forest scores of the rows and of each segment's probe, with a forest of its own per segment.
 
-    All segments' trees are grown level by level at once. Rows of a segment must be neighbours.
+    All segments' trees are grown level by level at once, each on a sample of the segment and its probe.
+    Rows of a segment must be neighbours; ``probe`` has one row per segment.
     """
-    n, width = features.shape
-    if not n:
-        return np.zeros(0)
+    rows, width = features.shape
+    if not rows:
+        return np.zeros(0), np.zeros(0)
     groups = int(seg[-1]) + 1
     rng = np.random.default_rng(seed)
     size = np.bincount(seg, minlength=groups)
     start = np.cumsum(size) - size
+    every = np.arange(groups)
+    features, seg = np.vstack([features, probe]), np.r_[seg, every]
+    n = rows + groups
     total = np.zeros(n)
     cells = 2**rules.depth
     for _ in range(rules.trees):
@@ -134,6 +144,7 @@ def forest_scores(seg: np.ndarray, features: np.ndarray, rules: SpikeRules, seed
         rank = np.arange(len(of)) - np.repeat(np.cumsum(take) - take, take)
         # one reading from each of ``take`` equal stretches of the segment
         row = start[of] + np.minimum(size[of] - 1, ((rank + rng.random(len(of))) * size[of] / take[of]).astype(np.int64))
+        of, row = np.r_[of, every], np.r_[row, rows + every]
         sub = features[row]
         s_node, r_node = np.zeros(len(row), np.int64), np.zeros(n, np.int64)
         s_end, r_end = np.zeros(len(row), bool), np.zeros(n, bool)
@@ -163,8 +174,9 @@ def forest_scores(seg: np.ndarray, features: np.ndarray, rules: SpikeRules, seed
         left = ~r_end
         length[left] = rules.depth + _mean_depth(held[seg[left] * cells + r_node[left]])
         total += length
-    norm = _mean_depth(np.minimum(size, rules.sample))[seg]
-    return np.where(norm > 0, 2.0 ** (-(total / rules.trees) / np.maximum(norm, 1e-9)), 0.5)
+    norm = _mean_depth(np.minimum(size, rules.sample) + 1)[seg]
+    score = np.where(norm > 0, 2.0 ** (-(total / rules.trees) / np.maximum(norm, 1e-9)), 0.5)
+    return score[:rows], score[rows:]
 
 
 def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray, dated: np.ndarray, rules: SpikeRules) -> dict[str, np.ndarray]:
@@ -217,17 +229,21 @@ def judge(key: np.ndarray, ts: np.ndarray, value: np.ndarray, kind: np.ndarray,
         season = _medians(s * 12 + month, v, groups * 12)
         z_season = np.nan_to_num(np.abs(v - season[s * 12 + month]) / scale)
     features = np.column_stack([np.log1p(z_level), np.log1p(z_local), np.log1p(z_step), np.log1p(z_season), np.log1p(run_size[pick].astype(float))])
-    scored = forest_scores(s, features, rules)
+    # few neighbours say little about the level: short series must be left further
+    many = np.bincount(s, minlength=groups)
+    sure = np.maximum(1.0, 2 * rules.neighbours / np.maximum(1, many - 1))
+    share = np.array([1.0, 1.0, rules.probe_share, rules.probe_share])
+    probe = np.column_stack([np.log1p((need[first] * sure)[:, None] * share), np.full(groups, np.log1p(1.0))])
+    scored, probed = forest_scores(s, features, rules, probe)
+    alone = scored >= probed[s] - rules.margin if len(s) and rules.use_forest else np.ones(len(s), bool)
     spread = 1.4826 * _medians(s, np.abs(v - overall[s]), groups)
     off_whole = np.abs(v - overall[s]) >= need[pick] * np.fmax(spread, noise)[s]
-    # few neighbours say little about the level: short series must be left further
-    sure = np.maximum(1.0, 2 * rules.neighbours / np.maximum(1, np.bincount(s, minlength=groups)[s] - 1))
-    candidate = (scored >= rules.score) & (z_local >= need[pick] * sure) & (dated[pick] | off_whole)
+    candidate = alone & (z_local >= rules.veto * sure[s]) & (dated[pick] | off_whole)
     # at most a few readings in direct succession may leave the level together
     c_new = np.r_[True, (s[1:] != s[:-1]) | (candidate[1:] != candidate[:-1])] if len(s) else np.zeros(0, bool)
     c_run = np.cumsum(c_new) - 1
     brief = candidate & ((np.bincount(c_run) if len(c_run) else np.zeros(0, int))[c_run] <= rules.few)
-    enough = np.bincount(s, minlength=groups)[s] >= 4
+    enough = many[s] >= 4
 
     spike, score, z = np.zeros(n, bool), np.ones(n), np.zeros(n)
     spike[pick], score[pick], z[pick] = brief & enough, scored, z_local
