@@ -4,7 +4,7 @@ import pytest
 from wellframe.functions.geometry import haversine_m, inside, parse_wkt
 from wellframe.functions.unit_text import read_name, read_note, read_unit, read_value
 from wellframe.operators.nearby import containing_regions, pairs_within
-from wellframe.operators.regular_grid import monotone_slopes, regular_grid
+from wellframe.operators.regular_grid import fill_shard, monotone_slopes, regular_grid
 from wellframe.operators.unit_repair import changepoints, common_units
 
 POINTS = "k long, la double, lo double, key string, lat string, own boolean"
@@ -41,6 +41,26 @@ def test_date_line_tiles_and_unusable(spark):
     assert pairs_within(spark.createDataFrame([], POINTS), "k", "la", "lo", 150.0).count() == 0
 
 
+def test_dense_places(spark):
+    """Coincident points stream out; as places with membership they stay few rows."""
+    from wellframe.operators.nearby import places_within
+
+    n = 3000
+    pts = spark.range(1, n + 1).selectExpr("id as k", "34.0 as la", "-106.0 as lo").unionAll(spark.sql("select 9000L, 34.001, -106.0")).unionAll(spark.sql("select 9001L, null, 1.0"))
+    pts = pts.selectExpr("k", "cast(la as double) la", "cast(lo as double) lo")
+    got = pairs_within(pts, "k", "la", "lo", 150.0, tile_rows=1000)
+    assert got.count() == n * (n + 1) // 2 == got.distinct().count()
+    member, near = places_within(pts, "k", "la", "lo", 150.0)
+    assert member.groupBy("place_key", "n_points").count().orderBy("place_key").collect() == [(1, n, n), (9000, 1, 1)]
+    assert [(r.left_key, r.right_key) for r in near.collect()] == [(1, 9000)]
+
+
+def test_sweep_holds_no_pair_twice_near_the_pole(spark):
+    pts = spark.createDataFrame([(i, 89.9999, -179.0 + i * 9) for i in range(1, 40)], "k long, la double, lo double")
+    got = pairs_within(pts, "k", "la", "lo", 150.0)
+    assert got.count() == got.distinct().count() == len(brute([r[:] for r in pts.collect()], 150.0))
+
+
 SQUARE = "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))"
 
 
@@ -54,6 +74,14 @@ def test_regions_with_holes_both_ways(spark):
     assert not inside(parse_wkt(1, SQUARE), np.array([10.0]), np.array([5.0]), boundary=False)[0]
 
 
+def test_no_slope_across_a_long_gap():
+    key, own = np.zeros(5, np.int64), np.ones(5, bool)
+    value = np.array([1.0, 2.0, 3.0, 50.0, 51.0])
+    rows = [np.concatenate(c) for c in zip(*fill_shard(key, np.array([0, 2, 4, 100, 102]), value, own, 12))]
+    at = {int(p): v for p, v in zip(rows[1], rows[2])}
+    assert at[1] == 1.5 and at[3] == 2.5 and at[101] == 50.5 and np.isnan(at[50])
+
+
 OBS = "obs_id long, source string, id string, parameter_name string, parameter_value double, date_measured string, time_measured string, stream_id int, step_minutes string"
 STREAM = "stream_id long, source string, id string, parameter_name string, step_minutes int"
 

@@ -3,8 +3,9 @@
 Latitude is cut into strips that overlap by the search radius, strips into longitude blocks; the cells
 are range-partitioned, sorted by longitude and swept: each point meets the points that follow it in
 longitude as long as they can still be in reach, and distances are verified. A pair belongs to the
-cell in which its smaller key is no copy, so it comes out once. Cells holding very many points are
-worked off in tiles.
+cell in which its smaller key is no copy, so it comes out once. Pairs leave a task as the sweep finds
+them, and cells holding very many points are worked off in tiles. ``places_within`` gives the same result
+as pairs of places with the points' membership, so that points at one place are not expanded into pairs.
 """
 
 from __future__ import annotations
@@ -28,12 +29,24 @@ def usable_point(lat: Column, lon: Column) -> Column:
     return F.coalesce(ok(lat, 90) & ok(lon, 180), F.lit(False))
 
 
-def _sweep(cell: np.ndarray, key: np.ndarray, lat: np.ndarray, lon: np.ndarray, own: np.ndarray, tile: np.ndarray, pair: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs within ``radius`` among rows sorted by cell and longitude."""
+def _sweep(cell: np.ndarray, key: np.ndarray, lat: np.ndarray, lon: np.ndarray, own: np.ndarray, tile: np.ndarray, pair: np.ndarray, radius: float, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs within ``radius`` among rows sorted by cell and longitude, in parts of about ``most`` pairs.
+
+    Step k compares every active row with the k-th after it, so no more than a step's pairs are held at once.
+    """
     n = len(key)
     with np.errstate(divide="ignore"):
-        reach = np.degrees(np.arcsin(np.minimum(1, np.sin(radius / EARTH_RADIUS_M) / np.maximum(1e-12, np.cos(np.radians(np.minimum(90, np.abs(lat) + radius / M_PER_DEGREE)))))))
-    a_out, b_out, d_out = [], [], []
+        share = np.sin(radius / EARTH_RADIUS_M) / np.maximum(1e-12, np.cos(np.radians(np.minimum(90, np.abs(lat) + radius / M_PER_DEGREE))))
+    # a circle around a pole reaches every longitude
+    reach = np.where(share < 1, np.degrees(np.arcsin(np.minimum(1, share))), 360.0)
+    # near the poles a cell may hold a point twice, 360 degrees apart; only then can a pair come out twice
+    order = np.lexsort((key, cell))
+    again = (cell[order][1:] == cell[order][:-1]) & (key[order][1:] == key[order][:-1])
+    twin = np.zeros(n, bool)
+    twin[order[1:][again]] = twin[order[:-1][again]] = True
+    held: list[tuple] = []
+    twins: list[tuple] = []
+    size = 0
     active, k = np.arange(n), 0
     while True:
         k += 1
@@ -54,14 +67,22 @@ def _sweep(cell: np.ndarray, key: np.ndarray, lat: np.ndarray, lon: np.ndarray,
         i, j, first = i[cand], j[cand], first[cand]
         d = haversine_m(lat[i], lon[i], lat[j], lon[j])
         ok = d <= radius
-        a_out.append(np.where(first, key[i], key[j])[ok])
-        b_out.append(np.where(first, key[j], key[i])[ok])
-        d_out.append(d[ok])
-    if not a_out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    a, b, d = np.concatenate(a_out), np.concatenate(b_out), np.concatenate(d_out)
-    _, once = np.unique(np.column_stack([a, b]), axis=0, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
-    return a[once], b[once], d[once]
+        i, j, first, d = i[ok], j[ok], first[ok], d[ok]
+        a, b, double = np.where(first, key[i], key[j]), np.where(first, key[j], key[i]), twin[i] | twin[j]
+        if double.any():
+            twins.append((a[double], b[double], d[double]))
+            a, b, d = a[~double], b[~double], d[~double]
+        held.append((a, b, d))
+        size += len(a)
+        if size >= most:
+            yield tuple(np.concatenate(x) for x in zip(*held))
+            held, size = [], 0
+    if twins:
+        a, b, d = (np.concatenate(x) for x in zip(*twins))
+        _, once = np.unique(np.column_stack([a, b]), axis=0, return_index=True)
+        held.append((a[once], b[once], d[once]))
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
 
 
 def pairs_within(points: DataFrame, key: str, lat: str, lon: str, radius_m: float, rows_per_part: int = 100_000, tile_rows: int = 20_000) -> DataFrame:
@@ -82,7 +103,7 @@ def pairs_within(points: DataFrame, key: str, lat: str, lon: str, radius_m: floa
     far = F.least(F.lit(90.0), F.greatest(F.abs(F.col("strip") * height - 90), F.abs((F.col("strip") + 1) * height - 90)) + slack)
     narrow = F.cos(F.radians(far))
     p = p.withColumn("blocks", F.greatest(F.lit(1), F.floor(360 * narrow / height).cast("int"))).withColumn("width", F.lit(360.0) / F.col("blocks"))
-    m = F.when(narrow > 1e-6, F.least(F.lit(180.0), F.degrees(F.asin(F.least(F.lit(1.0), math.sin(radius_m / EARTH_RADIUS_M) / narrow))) * 1.000001)).otherwise(180.0)
+    m = F.when(narrow > math.sin(radius_m / EARTH_RADIUS_M), F.least(F.lit(180.0), F.degrees(F.asin(F.least(F.lit(1.0), math.sin(radius_m / EARTH_RADIUS_M) / narrow))) * 1.000001)).otherwise(180.0)
     block_of = lambda x: F.floor((x + 180) / F.col("width")).cast("int")
     p = p.withColumn("raw", F.explode(F.sequence(block_of(F.col("lon") - m), block_of(F.col("lon") + m))))
     turns = F.floor(F.col("raw") / F.col("blocks"))
@@ -106,13 +127,26 @@ def pairs_within(points: DataFrame, key: str, lat: str, lon: str, radius_m: floa
         rows = pa.Table.from_batches(got)
         c = {x: rows[x].to_numpy() for x in ("strip", "block", "pair", "key", "lat", "lon", "own", "tile")}
         change = (np.diff(c["strip"]) != 0) | (np.diff(c["block"]) != 0) | (np.diff(c["pair"]) != 0)
-        a, b, d = _sweep(np.r_[0, np.cumsum(change)], c["key"], c["lat"], c["lon"], c["own"].astype(bool), c["tile"], c["pair"], radius_m)
-        for at in range(0, len(a), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 200_000]) for x in (a, b, d)], ["left_key", "right_key", "distance_m"])
+        for part in _sweep(np.r_[0, np.cumsum(change)], c["key"], c["lat"], c["lon"], c["own"].astype(bool), c["tile"], c["pair"], radius_m):
+            for at in range(0, len(part[0]), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 200_000]) for x in part], ["left_key", "right_key", "distance_m"])
 
     return cells.mapInArrow(run, "left_key long, right_key long, distance_m double")
 
 
+def places_within(points: DataFrame, key: str, lat: str, lon: str, radius_m: float) -> tuple[DataFrame, DataFrame]:
+    """(membership, pairs): each point's place, and the pairs of places within ``radius_m``.
+
+    A place is all points of exactly one latitude and longitude and is named by its smallest key;
+    membership is (point_key, place_key, n_points). Points at one place are within any radius of one
+    another, so the two tables say of every two points what ``pairs_within`` says. Counted on the map
+    side, whatever share of the points one place has. Unusable rows and empty tables as there.
+    """
+    p = points.where(F.col(key).isNotNull() & usable_point(F.col(lat), F.col(lon))).select(F.col(key).cast("long").alias("point_key"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
+    places = p.groupBy("lat", "lon").agg(F.min("point_key").alias("place_key"), F.count(F.lit(1)).alias("n_points"))
+    return p.join(places, ["lat", "lon"]).select("point_key", "place_key", "n_points"), pairs_within(places, "place_key", "lat", "lon", radius_m)
+
+
 def containing_regions(points: DataFrame, key: str, lat: str, lon: str, regions: DataFrame, region_key: str, wkt: str, boundary: bool = True, most_bytes: int = 8_000_000, cell_degrees: float = 0.5) -> DataFrame:
     """(point_key, region_key) for every region whose area holds the point.
 

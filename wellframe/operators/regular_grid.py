@@ -45,9 +45,11 @@ def monotone_slopes(x: np.ndarray, y: np.ndarray, seg: np.ndarray) -> np.ndarray
 
 def fill_shard(key: np.ndarray, period: np.ndarray, value: np.ndarray, own: np.ndarray, max_gap: int, chunk: int = 200_000) -> Iterator[tuple[np.ndarray, ...]]:
     """Rows (node index, period, value, state) of the own nodes and of the gaps that follow them."""
-    slope = monotone_slopes(period.astype(float), value, key)
     n = len(key)
     linked = np.r_[key[1:] == key[:-1], False] if n else np.zeros(0, bool)
+    # a long gap ends a curve: no slope is taken across it
+    curve = np.cumsum(np.r_[0, ~linked[:-1] | (np.diff(period) - 1 > max_gap)]) if n else np.zeros(0, np.int64)
+    slope = monotone_slopes(period.astype(float), value, curve)
     span = np.where(linked, np.r_[np.diff(period), 1], 1)
     nodes = np.flatnonzero(own)
     start, at = 0, np.cumsum(span[nodes])
