@@ -109,6 +109,20 @@ def _percentile_sql(source: str, value: str, groups: list[str]) -> str:
     )
 
 
+def _bucket_sql(source: str, value: str, groups: list[str]) -> str:
+    """The exact percentile, and the bucket of 10 fraction bits that holds it."""
+    cols = ", ".join(groups)
+    return (
+        f"with x as (select {cols}, {value} as v, row_number() over (partition by {cols} order by {value}) as r, count(*) over (partition by {cols}) as n "
+        f"from {source} where {value} is not null and not isnan({value})), p as (select unnest({PERCENTS}) as percent), "
+        f"t as (select {cols}, cast(percent as integer) as percent, n, v, abs(v) as a from x, p where r = greatest(1, (n * percent + 99) // 100)), "
+        "e as (select *, case when a = 0 then 0 when a / pow(2.0, floor(log2(a))) >= 2 then floor(log2(a)) + 1 when a / pow(2.0, floor(log2(a))) < 1 then floor(log2(a)) - 1 else floor(log2(a)) end as e from t), "
+        "m as (select *, pow(2.0, e) / 1024 as w, pow(2.0, e - 52) as u, case when v < 0 then ceil(a / pow(2.0, e) * 1024) else floor(a / pow(2.0, e) * 1024) end / 1024 * pow(2.0, e) as s from e), "
+        "b as (select *, case when v = 0 then 0.0 when v > 0 then s else -s end as lower, case when v = 0 then 4398046511103 * pow(2.0, -537) * pow(2.0, -537) when v > 0 then s + (w - u) else -(s - (w - u)) end as upper from m) "
+        f"select {cols}, percent, n, lower, upper, (lower + upper) / 2 as value, (upper - lower) / 2 as error from b"
+    )
+
+
 P4_SQL = r"""
 with recursive s as (select site_uid, id, usgs_site_id, source, regexp_replace(upper(trim(alternate_site_id)), '(^|[,;|/\s]|USGS[-:]|NWIS[-:])(\d{6}) (\d{9})($|[,;|/\s])', '\1\2\3\4', 'g') as alt from sites),
 raw as (
@@ -135,6 +149,8 @@ ORACLES = {
     "p3_parameter": _percentile_sql("observations", "parameter_value", ["parameter_name"]),
     "p3_parameter_source": _percentile_sql("observations", "parameter_value", ["parameter_name", "source"]),
     "p3_summary_mean": _percentile_sql("summaries", "mean", ["parameter_name"]),
+    "p3_days": _bucket_sql("observations", "parameter_value", ["parameter_name"]),
+    "p3_runs": _bucket_sql("summaries", "mean", ["parameter_name"]),
     "p4_found": P4_SQL,
     "p9_found": P9_SQL,
 }
