@@ -2,7 +2,7 @@
 
 A double becomes a signed 64-bit integer of the same order. Selection counts one digit of that integer
 after the other, each time only among rows that share the digits already known of a wanted rank, so no
-values are sorted or gathered; counts are combined on the map side. Histograms over the leading bits
+values are sorted, gathered or shuffled; counts are combined on the map side. Histograms over the leading bits
 can be kept per day or run and added up later: their percentiles are those of the whole.
 """
 
@@ -50,40 +50,51 @@ def _same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda p, c: p & a[c].eqNullSafe(b[c]), cols, F.lit(True))
 
 
-def percentiles(df: DataFrame, groups: list[str], value: str, percents: list[int], digit_bits: int = 16) -> DataFrame:
+#: Bits of the digits, leading ones first: sign, exponent and 8 bits of the fraction, then the rest.
+DIGITS = (20, 16, 14, 14)
+
+
+def percentiles(df: DataFrame, groups: list[str], value: str, percents: list[int], digits: tuple[int, ...] = DIGITS, most_prefixes: int = 100_000) -> DataFrame:
     """One row per group: the group columns, ``n`` and ``pXX`` per wanted percent; the error is 0.
 
     ``pXX`` is the value of rank ceil(n * XX / 100), at least 1, among the group's values that are
     neither null nor NaN; infinities count. Groups without such a value give no row; null group keys
     form a group. Repeated rows and ties count each time; other columns are ignored; an empty table
-    gives an empty result. A group may hold any share of the rows: only counts per digit are shuffled.
+    gives an empty result.
+
+    The first digit is counted in one scan; a second one keeps, as a table in the shared folder, the rows
+    that share a digit with a wanted rank (about the percents' share of the 2^-8 wide buckets), and the
+    later digits read only those. No row is shuffled: of a group of any share only counts per digit are.
+    That needs the wanted prefixes (at most groups x percents, counted) in every task; beyond
+    ``most_prefixes`` of them they are joined on (group, prefix) instead, with the same result.
     """
     g = [f"g{i}" for i in range(len(groups))]
     data = _valued(df, groups, value)
     wanted = F.explode(F.array(*[F.lit(p).cast("int") for p in percents]))
-    low = 64
-    targets: DataFrame | None = None
-    while low > 0:
-        width = min(digit_bits, low)
-        low -= width
-        digit = F.shiftright("k", low)
-        if targets is None:
-            counts = data.groupBy(*g, digit.alias("digit")).agg(F.count(F.lit(1)).alias("c"))
-            w = Window.partitionBy(*g)
-            counts = counts.withColumn("n", F.sum("c").over(w)).withColumn("upto", F.sum("c").over(w.orderBy("digit")))
-            ranks = counts.withColumn("percent", wanted).withColumn("rank", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") * F.col("percent") / 100)))
-            ranks = ranks.withColumn("rank", F.greatest(F.lit(1).cast("long"), F.floor((F.col("n") * F.col("percent") + 99) / 100)))
-        else:
-            prefix = targets.select(*g, F.col("digit").alias("prefix")).distinct()
-            named = data.withColumn("prefix", F.shiftright("k", low + width))
-            kept = named.join(prefix, _same(named, prefix, [*g, "prefix"]), "left_semi")
-            counts = kept.groupBy(*g, "prefix", digit.alias("digit")).agg(F.count(F.lit(1)).alias("c"))
-            counts = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*g, "prefix").orderBy("digit")))
-            t = targets.select(*[F.col(c).alias(f"t_{c}") for c in g], F.col("digit").alias("t_prefix"), "n", "percent", "rank")
-            meet = reduce(lambda p, c: p & counts[c].eqNullSafe(t[f"t_{c}"]), [*g, "prefix"], F.lit(True))
-            ranks = counts.join(t, meet)
+    low = 64 - digits[0]
+    counts = data.groupBy(*g, F.shiftright("k", low).alias("digit")).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(*g)
+    counts = counts.withColumn("n", F.sum("c").over(w)).withColumn("upto", F.sum("c").over(w.orderBy("digit")))
+    ranks = counts.withColumn("percent", wanted).withColumn("rank", F.greatest(F.lit(1).cast("long"), F.floor((F.col("n") * F.col("percent") + 99) / 100)))
+    for width in (*digits[1:], 0):
         hit = ranks.where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("c")))
         targets = cut_lineage(hit.select(*g, "n", "percent", (F.col("rank") - F.col("upto") + F.col("c")).alias("rank"), "digit"))
+        if not width:
+            break
+        prefix = targets.select(*g, F.col("digit").alias("prefix")).distinct()
+        small = prefix.count() <= most_prefixes
+        near = F.broadcast(prefix) if small else prefix
+        named = data.withColumn("prefix", F.shiftright("k", low))
+        kept = named.join(near, _same(named, near, [*g, "prefix"]), "left_semi")
+        if low == 64 - digits[0]:
+            data = cut_lineage(kept.drop("prefix"))
+            kept = data.withColumn("prefix", F.shiftright("k", low))
+        low -= width
+        counts = kept.groupBy(*g, "prefix", F.shiftright("k", low).alias("digit")).agg(F.count(F.lit(1)).alias("c"))
+        counts = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(*g, "prefix").orderBy("digit")))
+        t = targets.select(*[F.col(c).alias(f"t_{c}") for c in g], F.col("digit").alias("t_prefix"), "n", "percent", "rank")
+        t = F.broadcast(t) if small else t
+        ranks = counts.join(t, reduce(lambda p, c: p & counts[c].eqNullSafe(t[f"t_{c}"]), [*g, "prefix"], F.lit(True)))
     cells = [F.max(F.when(F.col("percent") == p, from_order_key(F.col("digit")))).alias(f"p{p:02d}") for p in percents]
     return targets.groupBy(*g, "n").agg(*cells).select(*[F.col(a).alias(b) for a, b in zip(g, groups)], "n", *[f"p{p:02d}" for p in percents])
 
