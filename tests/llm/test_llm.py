@@ -157,6 +157,20 @@ def test_encoding_equals_the_library(spark):
     assert encoding.encode(df.limit(0), VOCABULARY).count() == 0
 
 
+@pytest.mark.skipif(not Path(VOCABULARY).exists(), reason="no vocabulary files")
+def test_a_full_cache_and_endless_words():
+    """A cache too small for the words of a few texts, and a word of thousands of letters, change nothing."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(VOCABULARY)
+    rng = np.random.default_rng(4)
+    texts = ["well one two three", "a" * 9000, None, "", "".join(rng.choice(list("abcdefghij"), 3000)), "four five six seven", "well one again", "  \n \t x"]
+    small = encoding.Contractor(VOCABULARY, most_words=3)
+    for part in (texts[:4], texts[4:], texts):
+        offsets, ids = small.encode(part)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library.encode(t, add_special_tokens=False).ids if t else [] for t in part]
+
+
 # leakage
 
 ITEM = " ".join(f"word{i}" for i in range(60))

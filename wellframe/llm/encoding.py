@@ -4,14 +4,15 @@ A text is cut into words by the tokenizer's pattern. In each task, words not met
 (word, position, token) rows of an in-memory database; a recursive query joins neighbouring tokens to the
 merge table, contracts each word's minimum-rank pair, from the left, until no pair is left, and ordered
 aggregation gives the word's ids. A text's ids are those of its words in order.
-Words of several thousand letters, rare and without end, are contracted by a queue of pairs instead.
+The recursion is keyed by (word, position): each step overwrites the tokens it changes, so no steps are
+kept and a word of any length needs the memory of its letters.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: All occurrences of a word's minimum-rank pair are contracted in one step: a pair with the new token has
 #: a higher rank, so taking them one after the other ends the same. Of overlapping ones (x x x) every
 #: second is taken, from the left.
+#: Tokens swallowed by their left neighbour stay as -1.
 CONTRACT = """
-with recursive state(step, word, pos, tok) as (
-  select 0, word, pos, tok from bytes
+with recursive state(word, pos, tok) using key (word, pos) as (
+  select word, pos, tok from bytes
   union all
-  select step + 1, word, pos, case when taken then merged else tok end
+  select word, pos, case when swallowed then -1 when taken then merged else tok end
   from (
     select *, coalesce(lag(taken) over (partition by word order by pos), false) as swallowed
     from (
@@ -40,17 +42,16 @@ with recursive state(step, word, pos, tok) as (
         from (
           select *, coalesce(rank = least_rank, false) as hit
           from (
-            select step, word, pos, tok, rank, merged, min(rank) over (partition by word) as least_rank
-            from (select step, word, pos, tok, lead(tok) over (partition by word order by pos) as following from state) s
+            select word, pos, tok, rank, merged, min(rank) over (partition by word) as least_rank
+            from (select word, pos, tok, lead(tok) over (partition by word order by pos) as following from state where tok >= 0) s
             left join merges m on m.a = s.tok and m.b = s.following
           ) where least_rank is not null
         )
       )
     )
-  ) where not swallowed
+  )
 )
-select word, list(tok order by pos) as ids
-from (select word, pos, tok, step, max(step) over (partition by word) as last from state) where step = last group by word
+select word, list(tok order by pos) as ids from state where tok >= 0 group by word order by word
 """
 
 
@@ -63,53 +64,34 @@ def byte_characters() -> dict[int, str]:
 
 
 class Contractor:
-    """The merge table in an in-memory database, and the ids of the words met so far."""
+    """The merge table in an in-memory database, and the ids of the words met so far in one flat array."""
 
-    def __init__(self, path: str, most_words: int = 500_000, long_word: int = 4_000):
+    def __init__(self, path: str, most_words: int = 500_000):
         import duckdb
         import regex
 
-        model = json.load(open(path, encoding="utf-8"))["model"]
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
         vocab = model["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.first = np.array([vocab[c] for _, c in sorted(byte_characters().items())], np.int32)
-        self.words: dict[str, np.ndarray] = {}
-        self.long_word = long_word
-        self.rules = {(vocab[x], vocab[y]): (rank, vocab[x + y]) for rank, (x, y) in enumerate(pairs)}
         self.most_words = most_words
         self.pattern = regex.compile(PATTERN)
+        self.forget()
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
         merges = pa.table({"a": [vocab[x] for x, _ in pairs], "b": [vocab[y] for _, y in pairs], "rank": range(len(pairs)), "merged": [vocab[x + y] for x, y in pairs]})
         self.db.register("landed", merges)
         self.db.execute("create table merges as select a::integer as a, b::integer as b, rank::integer as rank, merged::integer as merged from landed")
         self.db.unregister("landed")
 
-    def contract_long(self, tokens: list[int]) -> np.ndarray:
-        """The same contraction with a queue of pairs, for words whose steps would fill the recursion's memory."""
-        after, before, alive = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1)), [True] * len(tokens)
-        queue = [(self.rules[p][0], i, *p) for i, p in enumerate(zip(tokens, tokens[1:])) if p in self.rules]
-        heapq.heapify(queue)
-        while queue:
-            _, i, a, b = heapq.heappop(queue)
-            j = after[i]
-            if not alive[i] or j >= len(tokens) or tokens[i] != a or tokens[j] != b:
-                continue
-            tokens[i], alive[j], after[i] = self.rules[a, b][1], False, after[j]
-            if after[j] < len(tokens):
-                before[after[j]] = i
-            for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < len(tokens) and (tokens[x], tokens[y]) in self.rules:
-                    heapq.heappush(queue, (self.rules[tokens[x], tokens[y]][0], x, tokens[x], tokens[y]))
-        return np.array([t for t, live in zip(tokens, alive) if live], np.int32)
+    def forget(self) -> None:
+        """Drop the ids of all words."""
+        self.place: dict[str, int] = {}
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def learn(self, words: list[str], bytes_at_once: int = 100_000) -> None:
-        """Encode words and keep their ids."""
-        for w in words:
-            if len(w) > self.long_word:
-                self.words[w] = self.contract_long(self.first[np.frombuffer(w.encode("utf-8", "replace"), np.uint8)].tolist())
-        words = [w for w in words if len(w) <= self.long_word]
-        if len(self.words) + len(words) > self.most_words:
-            self.words.clear()
+        """Encode words not met before and keep their ids."""
+        sizes, flat = [self.size], [self.ids]
         at = 0
         while at < len(words):
             upto, size = at, 0
@@ -117,30 +99,39 @@ class Contractor:
                 size += len(words[upto])
                 upto += 1
             raw = [np.frombuffer(w.encode("utf-8", "replace"), np.uint8) for w in words[at:upto]]
-            sizes = np.array([len(r) for r in raw])
+            length = np.array([len(r) for r in raw])
             rows = pa.table({
-                "word": np.repeat(np.arange(len(raw), dtype=np.int32), sizes),
-                "pos": (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32),
+                "word": np.repeat(np.arange(len(raw), dtype=np.int32), length),
+                "pos": (np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32),
                 "tok": self.first[np.concatenate(raw)],
             })
             self.db.register("bytes", rows)
-            for word, ids in self.db.execute(CONTRACT).fetchall():
-                self.words[words[at + word]] = np.array(ids, np.int32)
+            found = self.db.sql(CONTRACT).to_arrow_table().column("ids").combine_chunks()
             self.db.unregister("bytes")
+            sizes.append(np.diff(found.offsets.to_numpy()).astype(np.int64))
+            flat.append(found.flatten().to_numpy())
             at = upto
+        known = len(self.place)
+        self.place.update(zip(words, range(known, known + len(words))))
+        self.size, self.ids = np.concatenate(sizes), np.concatenate(flat).astype(np.int32)
+        self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the texts' lists; null and empty texts have empty lists."""
         cut = [self.pattern.findall(t) if t else [] for t in texts]
-        wanted = {w for words in cut for w in words}
-        new = sorted(wanted - self.words.keys())
-        if new and len(self.words) + len(new) > self.most_words:
-            self.words.clear()
+        wanted = set(chain.from_iterable(cut))
+        new = sorted(wanted - self.place.keys())
+        if new and len(self.place) + len(new) > self.most_words:
+            self.forget()
             new = sorted(wanted)
-        self.learn(new)
-        lists = [self.words[w] for words in cut for w in words]
-        sizes = np.array([sum(len(self.words[w]) for w in words) for words in cut], np.int64)
-        return np.r_[0, np.cumsum(sizes)].astype(np.int32), np.concatenate(lists) if lists else np.zeros(0, np.int32)
+        if new:
+            self.learn(new)
+        many = np.array([len(words) for words in cut], np.int64)
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(many.sum()))
+        size = self.size[at]
+        ends = np.r_[0, np.cumsum(size)]
+        ids = self.ids[np.repeat(self.start[at] - ends[:-1], size) + np.arange(ends[-1])]
+        return ends[np.r_[0, np.cumsum(many)]].astype(np.int32), ids
 
 
 _WORKER: dict[str, Contractor] = {}
@@ -160,8 +151,8 @@ def encode(documents: DataFrame, vocabulary: str, key: str = "doc_id", text: str
             _WORKER[vocabulary] = Contractor(vocabulary)
         worker = _WORKER[vocabulary]
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2_500):
+                part = batch.slice(at, 2_500)
                 offsets, ids = worker.encode(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], ["key", "ids"])
 
