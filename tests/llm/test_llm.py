@@ -187,7 +187,7 @@ def test_runs_and_edited_copies(spark):
     ]
     items = [(100, ITEM), (101, None), (102, ""), (103, "short text"), (None, ITEM)]
     d, i = spark.createDataFrame(docs, "doc_id long, text string, item_id long"), spark.createDataFrame(items, "item_id long, text string")
-    for most in (64_000_000, 0):
+    for most in (64_000_000, 200):
         rows = {r.doc_id: r for r in leakage.leaks(d, i, most_bytes=most).collect()}
         assert set(rows) == {1, 3, 6, 7} and rows[1].longest_run == 13 and rows[3].longest_run < 13 and rows[3].similarity >= 0.8 and rows[6].longest_run == 60
     assert {(r.doc_id, r.item_id) for r in leakage.found(d, i).collect()} == {(1, 100), (6, 100), (7, 100)}
@@ -202,7 +202,7 @@ def test_edited_and_short_copies_of_shared_items(spark):
     items = [(100 + i, " ".join(w)) for i in range(20)] + [(200, "Five words stand right here"), (201, "unlikely"), (202, None), (203, " ,. ")]
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     wanted = {(1, 100 + k) for k in range(20)} | {(3, 100 + k) for k in range(20)} | {(6, 100 + k) for k in range(20)} | {(2, 200), (5, 201)}
-    results = [sorted(map(tuple, leakage.leaks(d, i, most_bytes=most).collect())) for most in (64_000_000, 0)]
+    results = [sorted(map(tuple, leakage.leaks(d, i, most_bytes=most).collect())) for most in (64_000_000, 900)]
     assert results[0] == results[1] and {r[:2] for r in results[0]} == wanted and {r[2] for r in results[0] if r[0] == 3} == {4}
 
 
@@ -220,6 +220,29 @@ def test_all_copies_are_aligned():
     assert leakage.Items([(1, "a b " * 20)], 5, words).compare(words.of("a b a"), 13) == []
 
 
+def test_planted_copies_are_found():
+    """Recall over edited copies of every similarity from 0.8 on, and equal rows for texts compared alone or together."""
+    rng, words = np.random.default_rng(9), leakage.Words()
+    names = [f"v{x}" for x in range(400)]
+    items = [(k, " ".join(rng.choice(names, 70))) for k in range(12)] + [(50 + k, "one text that many items share " * 4) for k in range(12)]
+    index = leakage.Items(items, 5, words)
+    texts, planted = [], set()
+    for k in range(400):
+        i = int(rng.integers(0, 12))
+        copy = items[i][1].split()
+        for at in rng.choice(70, int(rng.integers(0, 10)), replace=False):
+            copy[at] = "edited"
+        texts.append(" ".join([*rng.choice(names, 30), *copy, *rng.choice(names, 30)]))
+        if leakage.align(words.of(texts[-1]), index.words[i])[0] >= 0.8 * 140:
+            planted.add((k, i))
+    flat, starts = words.flat(leakage.pa.array(texts))
+    rows = index.compare_all(flat, starts, 13)
+    assert len(planted) > 200 and planted <= {(r[0], r[1]) for r in rows if r[4] >= 0.8}
+    alone = [(k, *r) for k, t in enumerate(texts) for r in index.compare(words.of(t), 13)]
+    assert sorted(alone) == sorted(rows)
+    assert {r[0] for r in index.compare(words.of("so " + items[-1][1]), 13)} == set(range(50, 62))
+
+
 def test_alignment_scores():
     a = np.array([9, 9, 1, 2, 3, 4, 5, 9], np.uint64)
     assert leakage.align(a, np.array([1, 2, 3, 4, 5], np.uint64)) == (10.0, 2, 7)
