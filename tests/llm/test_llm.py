@@ -256,11 +256,15 @@ BAD = [
     "Depth to water at {{ site_name }} was {{depth}} ft.", "Dear ${OWNER_NAME}, your well", "Well [WELL NUMBER] is in use.", "Level %(level)s ft", "From {0} to {1}", "near <<site_name>>", "<INSERT SITE NAME>", "[insert count here] visits", "Casing undefined mm steel.",
     "on XX/XX/XXXX", "File: ________", "<?= $x ?>", "{% for a in b %}", "@@color@@", "#COUNT# ft", "~SITE NAME~", "__COUNTY__", "((LEVEL))", "&lt;site_name&gt;", "%year%", "$$LEVEL$$", "the map lorem ipsum dolor sit amet", "Edit me.", "xxxx xxx xxxx", "Depth: TBD\nOwner: TODO\nSite: xxx",
     "502 Bad Gateway\nnginx", "Access denied. Reference number 12.", "Please enable JavaScript to view this page. Cookie settings", "Traceback (most recent call last):\n  File \"render.py\", line 12, in page\nKeyError: 'well_depth'", "Loading...", '{"error": "unauthorized", "status": 401}', "Acceso denegado. No tiene permiso para ver este registro.",
+    "On [date], [name of driller] drilled to [total depth] ft.", "Because of undefined, the well inventory was redrawn.", "Los datos de NaN son provisionales.", "The undefined cuttings suggest basalt.", "Texto de relleno Texto de relleno Texto de relleno", "Dummy text for layout Dummy text for layout Dummy text for layout",
+    "Template: {{owner}} {{street}} {{phone}} {{date}}",
 ]
 GOOD = [
     None, "", " \n\t", "Fields are written between double braces such as {{name}} and filled before printing; ours were filled.", "Formula used with {u < 0.01} for late time.", "Bracketed values [sic] are as written.", "In the code book, %s stands for percent saturation and $ for cost.",
     '{"place": "Ash", "depth": 646, "ok": true}', "Owners are listed as <unknown> in the 1956 ledger.", "Salt content is TBD for one sample only; the other 232 samples are reported below and were checked.", "After the portal move several users saw error 404 for a week, but the sampling round itself was never lost and the crew continued.",
     "The draft said lorem ipsum in one margin note, which the driller found funny; the final text has none.", "Well construction is unknown, though the gray cuttings suggest clay.", 'The pump controller showed "Error 12" on its panel because of low voltage, and the driller cleared it.', "Use `{{ site }}` in the form.\n```\n{{ a }} {{ b }}\n```", "## Heading one\n\nText with 5% loss and #3 casing.",
+    "The driller wrote [sic] twice [sic] here.", "The log says [hard rock] at 40 ft.", "The null hypothesis was kept and the undefined value left out.", "The merge field is a name in braces. {{owner}} would be one, and the crew filled all of ours before the letters went out to the owners in June.",
+    "A template has fields. {{owner}} is filled with the name. Fields such as {{street}} and {{phone}} follow, and the office checks each of the letters against the register before it prints and posts them to the owners of the wells.",
 ]
 
 
@@ -274,6 +278,17 @@ def test_residue_found_and_spared(spark):
     assert residue.residue(df.limit(0)).count() == 0
 
 
+def test_context_and_density_decide(spark, monkeypatch):
+    """Without the sentence's talk, texts about templates are taken for residue; without the density, templates that talk are spared; without company, every bracketed word counts."""
+    texts = ["Fields such as {{name}} stand in the template and are filled before the letters are printed and sent to the owners.", "Template: {{owner}} {{street}} {{phone}} {{date}}", "The log says [hard rock] at 40 ft."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lambda **kw: {r.doc_id for r in residue.residue(df, **kw).collect()}
+    assert found() == {1}
+    assert found(dense=2.0) == set() and found(several=1) == {1}
+    monkeypatch.setattr(residue, "TALK", "(?!)")
+    assert found() == {0, 1}
+
+
 UNGATED = [
     "Dear (insert owner name here), the well was measured.", "Depth to water: NULL. Well visited in May.", "Static level from NULL to NULL", "Depth to water: nan. Well visited.", "Level NULL ft.", "INVALID DATE", "Level: UNDEFINED.", "YOUR`x`NAME HERE", "Sed do eiusmod tempor.",
     "test,test,test, test", "Test  test  test  test", "Code: 404", "Estado #500", "código: 503", "Vuelva a iniciar.", "Anmeldung erforderlich", "at run.main(App.scala:12)",
@@ -322,7 +337,7 @@ def test_cheap_tests_pass_what_grammars_match(spark):
     assert [t for i, t in enumerate(UNGATED) if i not in got] == []
     rng = np.random.default_rng(5)
     text, lower = F.col("text"), F.lower("text")
-    filler = {k: v for k, v in residue.FILLER.items() if k != "latin"}
+    filler = {k: v for k, v in residue.FILLER.items() if k not in ("latin", "repeated")}
     for patterns, gate in ((residue.PLACEHOLDERS.values(), residue.may_be_unfilled(text)), (filler.values(), residue.may_be_filler(lower)), ([residue.NOTICES], residue.may_be_notice(lower))):
         for p in patterns:
             df = spark.createDataFrame([(t,) for t in samples(p, rng)], "text string").where(text.rlike(p)).select("text", gate.alias("passes")).cache()

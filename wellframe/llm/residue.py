@@ -1,8 +1,8 @@
 """Template residue, filler text, and error or script notices in place of content.
 
-Unfilled placeholders are found by one grammar per delimiter. Code blocks are left out, and a placeholder
-in a sentence that speaks about templates counts only if others stand elsewhere or the text is full of them.
-Filler is found by its wording, error pages and notices by their wording and by how little else the text
+Unfilled placeholders are found by one grammar per delimiter. Code blocks are left out. A placeholder in a
+sentence that speaks about templates, or right after one, counts only if the text is dense with such, and a
+mark that real texts use too (lower-case words in brackets) only if its sentence holds several. Filler is found by its wording, error pages and notices by their wording and by how little else the text
 holds. Everything runs as expressions of the engine; no text leaves it.
 """
 
@@ -37,9 +37,11 @@ PLACEHOLDERS = {
     "double parentheses": r"\(\(\s*\p{Lu}[\p{Lu}_]+(?:[ _]\p{Lu}[\p{Lu}_]*){0,5}\s*\)\)",
     "crosses": r"(?<![\p{L}\p{N}])X{2,}/X{2,}/X{2,}|(?<![\p{L}\p{N}])X{4,}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])X{3,}\.X{2,}",
     "your here": r"\bYOUR (?:[A-Z]+ ){1,4}HERE\b",
-    "empty values": r"(?i)[:=] ?(?:undefined|NaN|null|\[object object\])(?=[\s.,;]|$)|\b(?:undefined|NaN|null) (?:ft|feet|mm|cm|m|in|mg/l|us/cm|gallons|days|minutes|visits|readings|pies|pieds|fuß|minutos|jours|tage)\b|\bfrom (?:undefined|null|nan) to\b|\[object Object\]|\bInvalid Date\b",
+    "empty values": r"(?i)[:=] ?(?:undefined|NaN|null|\[object object\])(?=[\s.,;]|$)|\b(?:of|at|in|on|for|from|by|to|with|near|the|a|an|de|del|en|por|para|con|los|las|el|la|du|des|le|les|von|bei|der|die|das|dem) (?:undefined|NaN|null)\b(?! (?:hypothes|value|set|model|space|distribut|result|island|string|pointer|and void|behaviou?r|term|symbol|variable|function|quantit|reference|operation))|\b(?:undefined|NaN|null) (?:ft|feet|mm|cm|m|in|mg/l|us/cm|gallons|days|minutes|visits|readings|pies|pieds|fuß|minutos|jours|tage)\b|\bfrom (?:undefined|null|nan) to\b|\[object Object\]|\bInvalid Date\b",
 }
-#: Talk about placeholders, in whose sentence one placeholder is no residue.
+#: Fixed value: a mark that is a placeholder only in company; editors' marks are none.
+WEAK = r"\[(?!(?:sic|ed|eds|note|unclear|illegible|emphasis added|translation|omitted|inaudible)\])\p{Ll}[\p{Ll} ]{2,40}\](?!\()"
+#: Talk about placeholders, in whose sentence, and right after which, one placeholder is no residue.
 TALK = r"(?i)placeholder|template|syntax|stands for|is written|are written|code book|the export|filled before|merge field|e\.g\. |for example|such as|literally|variable named"
 CODE = r"(?s)```.*?```|~~~.*?~~~|<pre\b.*?</pre>|<code\b.*?</code>|`[^`\n]{1,200}`"
 #: The words of filler Latin, and filler phrases that stand as a sentence of their own.
@@ -47,6 +49,7 @@ LATIN = r"(?:lorem|ipsum|dolor|dolore|amet|consectetur|adipiscing|elit|eiusmod|t
 FILLER = {
     "latin": rf"(?i)\b(?:lorem ipsum|{LATIN})(?:[ ,.]+{LATIN}){{3,}}\b",
     "crosses": r"(?i)(?<![\p{L}\p{N}])x{3,}(?: +x{3,})+",
+    "repeated": r"(?i)\b(?<unit>(?:dummy|filler|sample|placeholder|fake|texto de|texte de|faux|platzhalter|blind) ?(?:text|relleno|remplissage|texte)[^.!?\n]{0,30}?)(?:[ .,]+\k<unit>){2,}",
     "keys": r"(?i)\b(?:blah[ ,]+){2,}|\b(?:asdf|qwerty)(?:[ ,]+(?:asdf|qwerty|jkl))+|\bfoo bar\b|\b(?:n/a[ ,.]+){2,}n/a|\b(?:test[ ,]+){3,}",
     "phrase": (
         r"(?i)(?:^|[.!?\n]\s*)(?:(?:insert|sample|dummy|your|placeholder|filler) (?:text|title|caption|image|name|content)\b[^.!?\n]{0,30}|(?:title|text|content|name|caption) goes here|"
@@ -54,9 +57,11 @@ FILLER = {
         r"(?:this (?:section|page) is )?under construction|blindtext|texto de ejemplo|aquí va el texto|texte d'exemple|votre texte ici|sustituya (?:este|esta)\b[^.!?\n]{0,60}|remplacez ce\b[^.!?\n]{0,60}|beispieltext|hier steht\b[^.!?\n]{0,30}|click to (?:add|edit)\b[^.!?\n]{0,30}|tbd|todo|lorem ipsum)\s*(?:[.!?…]+|\n|$)"
     ),
 }
+#: Of a run of filler Latin, one word at least is none of the short ones.
+LATIN_STEMS = ("lorem", "ipsum", "dolor", "amet", "consectetur", "adipiscing", "elit", "eiusmod", "tempor", "incididunt", "labore", "magna", "aliqua", "veniam", "nostrud")
 #: One of these stands in every filler phrase.
 FILLER_STEMS = (
-    "insert ", "sample ", "dummy ", "your ", "placeholder", "filler ", "goes here", "replace ", "edit me", "type something", "type here", "coming soon", "to be written", "to be added", "construction", "blindtext", "texto de ejemplo", "aquí va", "texte d'ex",
+    "relleno", "remplissage", "faux texte", "fake text", "platzhalter", "blind text", "insert ", "sample ", "dummy ", "your ", "placeholder", "filler ", "goes here", "replace ", "edit me", "type something", "type here", "coming soon", "to be written", "to be added", "construction", "blindtext", "texto de ejemplo", "aquí va", "texte d'ex",
     "votre texte", "sustituya", "remplacez", "beispieltext", "hier steht", "click to", "tbd", "todo", "lorem", "xxx", "blah", "asdf", "qwerty", "foo bar", "n/a", "test test", "test, test", "be added", "be written",
 )
 #: Fields of a form that hold no value.
@@ -124,8 +129,8 @@ def may_be_notice(lower: Column) -> Column:
     return _any(lower, NOTICE_STEMS) | lower.rlike(MAY_NOTICE)
 
 
-def signs(rows: DataFrame) -> DataFrame:
-    """Adds to ``text`` what it holds: placeholders, talked_about, filler, blank_fields, notice, rest, size.
+def signs(rows: DataFrame, several: int = 2) -> DataFrame:
+    """Adds to ``text`` what it holds: placeholders, talked_about, words, filler, blank_fields, notice, rest, size.
 
     Cheap tests for single characters and words come first; most texts need none of the grammars. They pass
     whatever a grammar matches. What several tests share is projected before, so that it is computed once.
@@ -134,20 +139,34 @@ def signs(rows: DataFrame) -> DataFrame:
     body = F.regexp_replace(text, CODE, " ")
     either = _one(PLACEHOLDERS)
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+|\s[|\-–]\s")
+    sentences = F.split(body, r"(?<=[.!?])\s+|\n+")
     rows = rows.withColumn("_lower", F.lower("text"))
     rows = rows.withColumns({
-        "placeholders": F.when(may_be_unfilled(text), F.regexp_count(body, F.lit(either))).otherwise(0),
+        "_strong": F.when(may_be_unfilled(text), F.regexp_count(body, F.lit(either))).otherwise(0),
+        "_weak": F.when(text.contains("["), F.regexp_count(body, F.lit(WEAK))).otherwise(0),
         "_parts": F.when(may_be_notice(lower), parts),
     })
-    rows = rows.withColumn("_plain", F.filter("_parts", lambda s: ~s.rlike(NOTICES)))
-    sentences = F.filter(F.split(body, r"(?<=[.!?])\s+|\n+"), lambda s: s.rlike(TALK))
-    talked = F.aggregate(sentences, F.lit(0), lambda n, s: n + F.regexp_count(s, F.lit(either)))
-    latin = text.rlike(FILLER["latin"])
+    marks = F.transform(sentences, lambda s: F.struct(F.regexp_count(s, F.lit(either)).alias("strong"), F.regexp_count(s, F.lit(WEAK)).alias("weak"), s.rlike(TALK).alias("talk")))
+    rows = rows.withColumns({
+        "_marks": F.when((F.col("_strong") > 0) | (F.col("_weak") > 1), marks),
+        "_plain": F.filter("_parts", lambda s: ~s.rlike(NOTICES)),
+    })
+    # the window of a sentence is itself and the one before it
+    about = lambda x, i: x["talk"] | F.coalesce(F.get("_marks", i - 1)["talk"], F.lit(False))
+    windows = F.transform("_marks", lambda x, i: F.struct(
+        F.when(about(x, i), x["strong"]).otherwise(0).alias("talked"),
+        F.when(~about(x, i) & (x["weak"] >= several), x["weak"]).otherwise(0).alias("close"),
+    ))
+    total = lambda name: F.coalesce(F.aggregate("_windows", F.lit(0), lambda n, w: n + w[name]), F.lit(0))
+    rows = rows.withColumn("_windows", windows)
+    latin = _any(lower, LATIN_STEMS) & text.rlike(FILLER["latin"])
     wording = may_be_filler(lower) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
     fields, lines = F.regexp_count(text, F.lit(FIELD)), F.regexp_count(text, F.lit(r"(?m)^[^\n]*\S"))
     notice = F.coalesce(F.size("_plain") < F.size("_parts"), F.lit(False))
     return rows.withColumns({
-        "talked_about": F.when(F.col("placeholders") > 0, talked).otherwise(0),
+        "placeholders": F.col("_strong") + total("close"),
+        "talked_about": total("talked"),
+        "words": F.when(F.col("_marks").isNotNull(), F.regexp_count(body, F.lit(r"[\p{L}\p{N}]+"))).otherwise(0),
         "filler": latin | wording,
         "blank_fields": text.contains(":") & (fields >= 2) & (fields * 2 > lines),
         "notice": notice,
@@ -156,28 +175,29 @@ def signs(rows: DataFrame) -> DataFrame:
     })
 
 
-def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", full: int = 3, rest_share: float = 0.4, rest_letters: int = 25) -> DataFrame:
+def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", dense: float = 0.1, several: int = 2, rest_share: float = 0.4, rest_letters: int = 25) -> DataFrame:
     """(key, reason) of texts with leftovers in place of content; reason is the first of placeholder, filler, notice.
 
-    A text has a placeholder if one stands outside sentences that speak of templates, or if such sentences
-    hold ``full`` of them. It is a notice if, without the notice's wording and page furniture, at most
+    A text has a placeholder if one stands outside sentences that speak of templates (and those after
+    them), or if the ones inside make up at least ``dense`` of its words; marks that real texts use too count
+    where a sentence has ``several``. It is a notice if, without the notice's wording and page furniture, at most
     ``rest_share`` of its letters or ``rest_letters`` letters are left. Null, empty and blank texts give no
     row. Whole texts are read, of any length; repeated rows each give a row, null keys too; other columns
     are ignored; an empty table gives an empty result.
     """
     rows = spread(documents.select(F.col(key).alias("key"), F.col(text).alias("text"))).where(F.col("text").isNotNull() & F.col("text").rlike(r"\S"))
-    found = F.struct("placeholders", "talked_about", "filler", "blank_fields", "notice", "rest", "size")
+    found = F.struct("placeholders", "talked_about", "words", "filler", "blank_fields", "notice", "rest", "size")
 
     def reason(x: Column) -> Column:
         return (
-            F.when((x["placeholders"] > x["talked_about"]) | (x["talked_about"] >= full), "placeholder")
+            F.when((x["placeholders"] > x["talked_about"]) | (x["talked_about"] > 0) & (x["talked_about"] >= dense * x["words"]), "placeholder")
             .when(x["filler"] | x["blank_fields"], "filler")
             .when(x["notice"] & ((x["rest"] <= rest_share * x["size"]) | (x["rest"] <= rest_letters)), "notice")
         )
 
     # a generator keeps the optimizer from copying the tests into the filter on their outcome
     reasons = F.filter(F.transform(F.array(found), reason), lambda r: r.isNotNull())
-    return signs(rows).select(F.col("key").alias(key), F.explode(reasons).alias("reason"))
+    return signs(rows, several).select(F.col("key").alias(key), F.explode(reasons).alias("reason"))
 
 
 def clean(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
