@@ -142,6 +142,53 @@ LAB = "result_id long, source string, id string, parameter_name string, paramete
 UNITS = [("nitrate", "mg/L", "mg/L", 1.0), ("nitrate", "ug/L", "mg/L", 0.001), ("nitrate", "mg/L as N", "mg/L", 4.427), ("sodium", "mg/L", "mg/L", 1.0), ("sodium", "%", "mg/L", None)]
 
 
+def lab(i, value, units="mg/L", text=None, note=None, well="w", name="Nitrate", parameter="nitrate"):
+    return (i, "S", well, parameter, value, text, name, units, note, f"2001-{1 + i % 1200 // 28 % 12:02d}-{1 + i % 28:02d}", None, None, "x", 1)
+
+
+def by_id(spark, data, units=None, **kw):
+    got = common_units(spark.createDataFrame(data, LAB), spark.createDataFrame(units or UNITS, "parameter_name string, unit string, common_unit string, factor double"), **kw)
+    return {r.result_id: r for r in got.collect()}
+
+
+def test_segments_decide_contested_and_misspelt_units(spark):
+    """Two units stated, or one misspelt so that two are near: the level of the segment picks; without a search (endless penalty) it cannot."""
+    rng = np.random.default_rng(2)
+    data = [lab(i, float(np.round(2.0 * np.exp(rng.normal(0, 0.1)), 4))) for i in range(20)]
+    data += [lab(i, float(np.round(2000.0 * np.exp(rng.normal(0, 0.1)), 2)), "mg/L", note="result reported in ug/L") for i in range(20, 26)]
+    data += [lab(i, float(np.round(2000.0 * np.exp(rng.normal(0, 0.1)), 2)), "g/L") for i in range(26, 32)]
+    data += [lab(i, float(np.round(2.0 * np.exp(rng.normal(0, 0.1)), 4)), "mg/LL") for i in range(32, 36)]
+    got = by_id(spark, data)
+    assert {got[i].unit for i in range(20, 32)} == {"ug/L"} and {got[i].unit_origin for i in range(20, 32)} == {"contested"}
+    assert {got[i].stated_unit for i in range(32, 36)} == {"mg/L"} and all(got[i].agrees for i in range(20))
+    blunt = by_id(spark, data, penalty=1e9)
+    assert {blunt[i].unit for i in range(20, 32)} != {"ug/L"}
+
+
+def test_hidden_units_come_back(spark):
+    """Units of whole stretches are hidden: the segments give back at least 95 % of them, and what cannot be told apart is marked."""
+    rng = np.random.default_rng(7)
+    data, truth = [], {}
+    for w in range(40):
+        level, at = float(np.exp(rng.normal(1, 1))), 0
+        for part in range(6):
+            unit = ["mg/L", "ug/L", "mg/L as N"][int(rng.integers(0, 3))] if part else "mg/L"
+            factor = {"mg/L": 1.0, "ug/L": 0.001, "mg/L as N": 4.427}[unit]
+            hide = part in (2, 4)
+            for _ in range(int(rng.integers(6, 15))):
+                i = w * 1000 + at
+                data.append(lab(i, level * float(np.exp(rng.normal(0, 0.15))) / factor, "?" if hide else unit, well=f"w{w}"))
+                at += 1
+                if hide:
+                    truth[i] = unit
+    got = by_id(spark, [(*r[:9], str(np.datetime64("1990-01-01") + int(r[0] % 1000) * 7), *r[10:]) for r in data])
+    right = sum(got[i].unit == u for i, u in truth.items())
+    assert right >= 0.95 * len(truth) and {got[i].unit_origin for i, u in truth.items() if u != "mg/L"} <= {"changepoint", "undecided"}
+    close = [("bicarbonate", "mg/L", "mg/L", 1.0), ("bicarbonate", "mg/L as CaCO3", "mg/L", 1.22)]
+    few = [lab(i, 200.0 * float(np.exp(rng.normal(0, 0.3))), "mg/L" if i < 20 else "?", parameter="bicarbonate", name="Bicarbonate") for i in range(23)]
+    assert {r.unit_origin for i, r in by_id(spark, few, close).items() if i >= 20} == {"undecided"}
+
+
 def test_units_converted_and_inferred(spark):
     row = lambda i, v, text, units, name="Nitrate", p="nitrate", day=None: (i, "S", "W", p, v, text, name, units, None, day or f"2020-01-{i:02d}", None, None, "x", 1)
     data = [row(i, 2.0 + i / 100, "2", "mg/l") for i in range(1, 8)] + [row(i, 2000.0 + i, "2000", None) for i in range(8, 12)] + [row(12, 0.5, "0.5", "mg/L", "Nitrate as N"), row(13, None, "2010ug/L", None), row(14, None, "lost", "ug/L"), row(15, 3.0, "3", "percent", "Sodium", "sodium"), row(16, 1.0, "1", "mg/l", "?", "boron"), row(17, None, None, None, None, None, "x")]
