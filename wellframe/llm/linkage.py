@@ -1,15 +1,17 @@
 """Matching wells across two tables that share no identifier.
 
-Candidate pairs agree in two of place name with number, depth and location. Weighted rules on their
-similarity, on exclusivity and on copies of one record make a convex hinge-loss problem over soft truth
-values; it is solved by alternating directions (local copies per rule, consensus, multipliers), each step a
-window over the pairs of a well. The values at the optimum are the confidences.
+Candidate pairs agree in two of place name with number, depth and location. Each weighted rule of soft logic
+becomes a squared hinge over the pairs' truth values: one per similarity or difference of a pair; exclusivity
+(a well has at most one partner, firmly for the right table, loosely for the left); transitivity (rows of one well have the same partners, by way of the truth
+of the pair of wells). Their sum is convex and is minimised by alternating directions: every hinge has its own
+copies of the truth values and moves them by its proximal step, the copies' mean is the next value, and
+multipliers carry the differences on, until primal and dual residuals vanish. The values at the optimum are
+the confidences; a pair is a match if its own exceeds one half.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,15 @@ FILLERS = ["well", "wl", "wells", "no", "nr", "at", "the", "unknown", "unnamed",
 
 @dataclass(frozen=True)
 class Rules:
-    """Weights of the rules. Positive evidence pulls a pair's truth to 1, negative to 0."""
+    """Weights of the rules. Positive evidence pulls a pair's truth to 1, negative to 0.
+
+    ``exclusive`` (a well of the right table has at most one partner), ``exclusive_left`` (the same for the
+    left one, whose wells the right table may list several times over) and ``transitive`` weigh the rules
+    between pairs (0 switches one off). ``step`` is the
+    penalty of the alternating directions; they stop when no residual exceeds ``tolerance``, looked at every
+    ``block`` rounds, or after ``rounds``. ``hot`` is the number of pairs of a well from which its sums are
+    aggregated and joined instead of computed in a window.
+    """
 
     same_name: float = 3.0
     like_name: float = 1.0
@@ -48,10 +58,14 @@ class Rules:
     off: float = 1.0
     far: float = 2.5
     prior: float = 1.8
-    exclusive: float = 1.0
-    copies: float = 1.0
-    step: float = 2.0
-    rounds: int = 12
+    exclusive: float = 12.0
+    exclusive_left: float = 0.3
+    transitive: float = 2.0
+    step: float = 6.0
+    rounds: int = 40
+    block: int = 5
+    tolerance: float = 0.01
+    hot: int = 100_000
     accept: float = 0.5
 
 
@@ -81,32 +95,41 @@ def described(df: DataFrame, uid: str) -> DataFrame:
     )
 
 
-def _keys(df: DataFrame, spread: bool, cell: float, band: float) -> DataFrame:
-    """(uid, key): blocking keys, each of two attributes; one side also takes the neighbouring cells and bands."""
-    around = F.array(*[F.lit(i) for i in ((-1, 0, 1) if spread else (0,))])
-    shifts = lambda x: F.transform(around, lambda i: x.cast("long") + i)
-    bands = F.when(F.col("depth").isNotNull(), shifts(F.floor(F.log("depth") / band)))
-    cells = F.when(F.col("lat").isNotNull(), F.flatten(F.transform(shifts(F.floor(F.col("lat") / cell)), lambda a: F.transform(shifts(F.floor(F.col("lon") / cell)), lambda b: F.xxhash64(a, b)))))
+def _near(x: Column, size: float, spread: bool) -> Column:
+    """The cell of x, and with ``spread`` the neighbouring one it is nearer to: values within half a ``size`` meet."""
+    at = F.floor(x / size)
+    return F.array(at, at + F.when(x / size - at >= 0.5, 1).otherwise(-1)) if spread else F.array(at)
+
+
+def _keys(df: DataFrame, spread: bool, reach: float, name_reach: float, depth_reach: float) -> DataFrame:
+    """(uid, key): blocking keys, each of two attributes; one side also takes neighbouring cells and bands."""
+    bands = F.when(F.col("depth").isNotNull(), _near(F.log("depth"), 2 * depth_reach, spread))
+    grid = lambda size: F.when(F.col("lat").isNotNull(), F.flatten(F.transform(_near(F.col("lat"), size, spread), lambda a: F.transform(_near(F.col("lon"), size, spread), lambda b: F.xxhash64(a, b)))))
     named = (F.col("place") != "") & (F.col("number") != "")
     p = F.col("place")
-    variants = F.array_distinct(F.concat(F.array(p), F.transform(F.sequence(F.lit(1), F.length(p)), lambda i: F.concat(F.substring(p, F.lit(1), i - 1), F.substring(p, i + 1, F.length(p))))))
+    # a slip in a name of seven letters or more leaves its first or its last three as they are
+    short = F.concat(F.array(p), F.transform(F.sequence(F.lit(1), F.length(p)), lambda i: F.concat(F.substring(p, F.lit(1), i - 1), F.substring(p, i + 1, F.length(p)))))
+    ends = F.array(F.concat(F.lit("^"), F.substring(p, 1, 3)), F.concat(F.lit("$"), F.substring(p, -3, 3)))
+    # names a letter longer or shorter than seven meet by both ways
+    variants = F.when(F.length(p) > 7, ends).when(F.length(p) < 6, short).otherwise(F.concat(ends, short))
     none = F.array().cast("array<bigint>")
     by_name = F.when(named, F.flatten(F.transform(variants, lambda v: F.transform(bands, lambda b: F.xxhash64(F.lit(1), v, F.col("number"), b)))))
-    by_place = F.when(named, F.transform(cells, lambda c: F.xxhash64(F.lit(2), F.col("land"), F.col("number"), c)))
-    by_depth = F.flatten(F.transform(cells, lambda c: F.transform(bands, lambda b: F.xxhash64(F.lit(3), c, b))))
+    by_place = F.when(named, F.transform(grid(2 * name_reach), lambda c: F.xxhash64(F.lit(2), F.col("land"), F.col("number"), c)))
+    by_depth = F.flatten(F.transform(grid(2 * reach), lambda c: F.transform(bands, lambda b: F.xxhash64(F.lit(3), c, b))))
     all_keys = F.concat(*[F.coalesce(k, none) for k in (by_name, by_place, by_depth)])
     return df.select("uid", F.explode(F.array_distinct(all_keys)).alias("key"))
 
 
-def candidates(left: DataFrame, right: DataFrame, cell: float = 0.005, band: float = 0.03) -> DataFrame:
-    """Distinct (l, r) of the pairs that share a blocking key."""
-    a = _keys(left, False, cell, band).withColumnRenamed("uid", "l")
-    b = _keys(right, True, cell, band).withColumnRenamed("uid", "r")
+def candidates(left: DataFrame, right: DataFrame, reach: float = 0.0037, name_reach: float = 0.01, depth_reach: float = 0.03) -> DataFrame:
+    """Distinct (l, r) of the pairs that share a blocking key: within ``reach`` degrees and ``depth_reach`` (of the
+    logarithm) of depth, or of like name with one of the two, the place then within ``name_reach``."""
+    a = _keys(left, False, reach, name_reach, depth_reach).withColumnRenamed("uid", "l")
+    b = _keys(right, True, reach, name_reach, depth_reach).withColumnRenamed("uid", "r")
     return a.join(b, "key").select("l", "r").distinct()
 
 
 def _evidence(pairs: DataFrame, rules: Rules) -> DataFrame:
-    """Adds ``up`` and ``down``, the weights of the rules that speak for and against a pair."""
+    """Adds ``metres`` and ``up`` and ``down``, the weights of the rules that speak for and against a pair."""
     named = (F.col("l_place") != "") & (F.col("r_place") != "")
     edits = F.levenshtein("l_place", "r_place")
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
@@ -115,8 +138,7 @@ def _evidence(pairs: DataFrame, rules: Rules) -> DataFrame:
     number = F.col("l_number") == F.col("r_number")
     kinds = (F.col("l_kind") != "") & (F.col("r_kind") != "") & (F.col("l_kind") != F.col("r_kind"))
     gap = F.abs(F.log(F.col("l_depth") / F.col("r_depth")))
-    h = F.pow(F.sin(F.radians(F.col("r_lat") - F.col("l_lat")) / 2), 2) + F.cos(F.radians("l_lat")) * F.cos(F.radians("r_lat")) * F.pow(F.sin(F.radians(F.col("r_lon") - F.col("l_lon")) / 2), 2)
-    metres = 360 / 3.141592653589793 * M_PER_DEGREE * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    metres = _metres("l_lat", "l_lon", "r_lat", "r_lon")
     w = lambda cond, weight: F.when(F.coalesce(cond, F.lit(False)), F.lit(weight)).otherwise(0.0)
     d = F.col("metres")
     up = [
@@ -128,38 +150,84 @@ def _evidence(pairs: DataFrame, rules: Rules) -> DataFrame:
         F.lit(rules.prior), w(named & ~same & (edits > 2), rules.other_name), w(numbers & ~number, rules.other_number), w(kinds, rules.other_kind),
         w(gap > 0.05, rules.other_depth), w((d > 300) & (d <= 20_000), rules.off), w(d > 20_000, rules.far),
     ]
-    total = lambda cols: reduce(lambda x, y: x + y, cols)
-    return pairs.withColumn("metres", metres).withColumn("up", total(up)).withColumn("down", total(down))
+    held = lambda cols: F.filter(F.array(*cols), lambda w: w > 0)
+    return pairs.withColumn("metres", metres).withColumn("up", held(up)).withColumn("down", held(down))
 
 
-def _share(y: Column, weight: Column, group: list[str], rules: Rules) -> Column:
-    """Local step of ``at most one true pair`` (squared hinge on the weighted sum) for each pair of a group."""
-    w = Window.partitionBy(*group)
-    over = F.greatest(F.lit(0.0), F.sum(weight * y).over(w) - 1)
-    return y - weight * (2 * rules.exclusive * over / (rules.step + 2 * rules.exclusive * F.sum(weight * weight).over(w)))
+def _sum(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, w: a + w)
+
+
+def _sums(state: DataFrame, keys: list[str], sums: dict[str, Column], hot: bool) -> DataFrame:
+    """Adds sums over groups: by windows, or, where a group is ``hot``, by partial sums joined back."""
+    if not hot:
+        return state.withColumns({name: F.sum(x).over(Window.partitionBy(*keys)) for name, x in sums.items()})
+    return state.join(state.groupBy(*keys).agg(*[F.sum(x).alias(name) for name, x in sums.items()]), keys)
 
 
 def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
-    """Confidence of each pair: (l, r, l_well, r_well, l_record, r_record, up, down) gains ``confidence``."""
-    start = F.col("up") / (F.col("up") + F.col("down"))
-    # rows of one well count once in a group, however often it was delivered
-    l_weight = 1.0 / F.count(F.lit(1)).over(Window.partitionBy("r_well", "l_well"))
-    state = pairs.select("l", "r", "l_well", "r_well", "l_record", "r_record", "up", "down", l_weight.alias("w"), start.alias("z"), *[F.lit(0.0).alias(m) for m in ("m1", "m2", "m3", "m4")])
+    """Confidence of each pair: (l, r, l_well, r_well, member, up, down) gains ``confidence``.
+
+    ``up`` and ``down`` are arrays of weights, one squared hinge each; ``member`` is how surely a row belongs
+    to its well. Pairs that share no well with another have only hinges of their own, whose minimum is their
+    weights' mean; the others take part in the rounds.
+    """
+    keep = ["l", "r", "l_well", "r_well", "member", "up", "down"]
+    alone = _sum(F.col("up")) / (_sum(F.col("up")) + _sum(F.col("down")))
+    state = pairs.select(*keep)
+    for side in ("l_well", "r_well"):
+        state = state.join(state.groupBy(side).agg(F.count(F.lit(1)).alias(f"n_{side}")), side)
     state = cut_lineage(state)
-    rho = rules.step
-    for k in range(rules.rounds):
-        v = lambda i: F.col("z") - F.col(f"m{i}")
-        own = (2 * F.col("up") + rho * v(1)) / (2 * F.col("up") + 2 * F.col("down") + rho)
-        s = state.withColumn("x1", own).withColumn("x2", _share(v(2), F.col("w"), ["r_well"], rules)).withColumn("x3", _share(v(3), F.col("w"), ["l_well"], rules))
-        # copies of a pair of records should be equally true: towards the mean of the copies
-        mean = F.avg(v(4)).over(Window.partitionBy("l_well", "r_well"))
-        s = s.withColumn("x4", v(4) + (mean - v(4)) * (2 * rules.copies / (rho + 2 * rules.copies)))
-        new = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (sum((F.col(f"x{i}") + F.col(f"m{i}") for i in (2, 3, 4)), F.col("x1") + F.col("m1"))) / 4))
-        s = s.withColumn("new", new)
-        state = s.select("l", "r", "l_well", "r_well", "l_record", "r_record", "up", "down", "w", F.col("new").alias("z"), *[(F.col(f"m{i}") + F.col(f"x{i}") - F.col("new")).alias(f"m{i}") for i in (1, 2, 3, 4)])
-        if k % 3 == 2:
+    single = state.where("n_l_well = 1 and n_r_well = 1").select(*keep, alone.alias("confidence"))
+    state = state.where("n_l_well > 1 or n_r_well > 1")
+    most = state.agg(F.max(F.greatest("n_l_well", "n_r_well"))).first()[0]
+    if most is None:
+        return single
+    hot = most > rules.hot
+    # rows of one well count once in a group, however often it was delivered
+    state = _sums(state, ["l_well", "r_well"], {"copies": F.lit(1.0)}, hot).withColumn("w", 1 / F.col("copies"))
+    state = _sums(state, ["r_well"], {"q_r": F.pow("w", F.lit(2.0))}, hot)
+    state = _sums(state, ["l_well"], {"q_l": F.pow("w", F.lit(2.0))}, hot)
+    zeros = lambda c: F.transform(c, lambda _: F.lit(0.0))
+    fixed = [*keep, "copies", "w", "q_r", "q_l"]
+    singles = ["m_r", "m_l", "t1y", "t1z", "t2y", "t2z"]
+    state = cut_lineage(state.select(*fixed, alone.alias("y"), alone.alias("z"), zeros(F.col("up")).alias("m_up"), zeros(F.col("down")).alias("m_down"), *[F.lit(0.0).alias(m) for m in singles], F.lit(0.0).alias("residual")))
+    state = _sums(state, ["l_well", "r_well"], {"mean": F.col("y")}, hot).withColumn("z", F.col("mean") / F.col("copies")).drop("mean")
+    rho, t, weight = rules.step, rules.transitive, {"l": rules.exclusive_left, "r": rules.exclusive}
+    y, z = F.col("y"), F.col("z")
+    for k in range(1, rules.rounds + 1):
+        # rows of a well have the partner the well has, and the other way round
+        push = 2 * t / (rho + 4 * t)
+        one = push * F.greatest(F.lit(0.0), (y - F.col("t1y")) + F.col("member") - 1 - (z - F.col("t1z")))
+        two = push * F.greatest(F.lit(0.0), (z - F.col("t2z")) + F.col("member") - 1 - (y - F.col("t2y")))
+        s = state.withColumns({"x1y": y - F.col("t1y") - one, "x1z": z - F.col("t1z") + one, "x2z": z - F.col("t2z") - two, "x2y": y - F.col("t2y") + two})
+        s = _sums(s, ["l_well", "r_well"], {"s_z": (F.col("x1z") + F.col("t1z") + F.col("x2z") + F.col("t2z")) / 2}, hot)
+        # at most one partner
+        s = _sums(s, ["l_well"], {"s_l": F.col("w") * (y - F.col("m_l"))}, hot)
+        s = _sums(s, ["r_well"], {"s_r": F.col("w") * (y - F.col("m_r"))}, hot)
+        over = lambda side: F.col("w") * 2 * weight[side] * F.greatest(F.lit(0.0), F.col(f"s_{side}") - 1) / (rho + 2 * weight[side] * F.col(f"q_{side}"))
+        # what speaks for and against the pair, one hinge each
+        for_it = F.zip_with("up", "m_up", lambda w, m: F.when(y - m < 1, (2 * w + rho * (y - m)) / (2 * w + rho)).otherwise(y - m))
+        against = F.zip_with("down", "m_down", lambda w, m: F.when(y - m > 0, rho * (y - m) / (2 * w + rho)).otherwise(y - m))
+        s = s.withColumns({"x_up": for_it, "x_down": against, "x_l": y - F.col("m_l") - over("l"), "x_r": y - F.col("m_r") - over("r")})
+        copies = [("x_l", "m_l"), ("x_r", "m_r"), ("x1y", "t1y"), ("x2y", "t2y")]
+        total = sum((F.col(x) + F.col(m) for x, m in copies), _sum(F.col("x_up")) + _sum(F.col("m_up")) + _sum(F.col("x_down")) + _sum(F.col("m_down")))
+        clip = lambda v: F.least(F.lit(1.0), F.greatest(F.lit(0.0), v))
+        s = s.withColumns({"y1": clip(total / (F.size("up") + F.size("down") + len(copies))), "z1": clip(F.col("s_z") / F.col("copies"))})
+        moved = lambda m, x: F.zip_with(m, x, lambda a, b: a + b - F.col("y1"))
+        apart = lambda x: F.array_max(F.transform(x, lambda v: F.abs(v - F.col("y1"))))
+        primal = F.greatest(*[F.abs(F.col(x) - F.col("y1")) for x, _ in copies], apart("x_down"), F.coalesce(apart("x_up"), F.lit(0.0)), F.abs(F.col("x1z") - F.col("z1")), F.abs(F.col("x2z") - F.col("z1")))
+        dual = F.greatest(F.abs(F.col("y1") - y), F.abs(F.col("z1") - z))
+        state = s.select(
+            *fixed, F.col("y1").alias("y"), F.col("z1").alias("z"), moved("m_up", "x_up").alias("m_up"), moved("m_down", "x_down").alias("m_down"), *[(F.col(m) + F.col(x) - F.col("y1")).alias(m) for x, m in copies],
+            (F.col("t1z") + F.col("x1z") - F.col("z1")).alias("t1z"), (F.col("t2z") + F.col("x2z") - F.col("z1")).alias("t2z"), F.greatest(primal, dual).alias("residual"),
+        )
+        if k % rules.block == 0 or k == rules.rounds:
             state = cut_lineage(state)
-    return state.withColumnRenamed("z", "confidence")
+            left = state.agg(F.max("residual")).first()[0]
+            if left <= rules.tolerance:
+                break
+    return single.unionByName(state.select(*keep, y.alias("confidence")))
 
 
 def wells(sites: DataFrame, cell: float = 0.005, band: float = 0.025) -> DataFrame:
@@ -196,24 +264,37 @@ def wells(sites: DataFrame, cell: float = 0.005, band: float = 0.025) -> DataFra
     return rows.join(joined, "well", "left").select(*sites.columns, F.coalesce("_lo", "well").alias("well"))
 
 
+def _distinct(rows: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of equal description as one, named by the smallest uid, and all rows by record."""
+    same = [c for c in rows.columns if c != "uid"]
+    one = cut_lineage(rows.groupBy(*same).agg(F.min("uid").alias("uid")))
+    return one, rows.select(F.col("uid").alias(prefix), F.col("record").alias(f"{prefix}_record"), F.col("lat").alias(f"{prefix}_lat"), F.col("lon").alias(f"{prefix}_lon"))
+
+
+def _metres(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    h = F.pow(F.sin(F.radians(F.col(lat2) - F.col(lat1)) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(F.col(lon2) - F.col(lon1)) / 2), 2)
+    return 360 / 3.141592653589793 * M_PER_DEGREE * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+
+
 def match(sites: DataFrame, pods: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(site_uid, pod_uid, confidence, distance_m) of the pairs held to be one well.
 
     Attributes may be null, empty, placeholders, misspelt or out of range; those say nothing. Pairs of which
     fewer than two of name with number, depth and location can be compared are never candidates. Rows with
-    a null key are ignored; rows delivered again (same source and id) match as their copies do; rows without
-    an id are copies of nothing. Sites of one name count as one well only where their places agree. Other columns, also of the
-    same names in both tables, do no harm; an empty table gives an empty result.
+    a null key are ignored; rows delivered again (same source and id) match as their copies do, whatever else
+    they hold; rows without an id are copies of nothing. Rows of equal description are compared once. Sites of
+    one name count as one well only where their places agree. Other columns, also of the same names in both
+    tables, do no harm; an empty table gives an empty result.
     """
-    left, right = cut_lineage(described(sites, "site_uid")), cut_lineage(described(pods, "pod_uid"))
-    l = cut_lineage(wells(left)).select(*[F.col(c).alias(f"l_{c}") for c in [*left.columns, "well"]]).withColumnRenamed("l_uid", "l")  # noqa: E741
-    r = right.withColumn("well", F.col("record")).select(*[F.col(c).alias(f"r_{c}") for c in [*right.columns, "well"]]).withColumnRenamed("r_uid", "r")
-    pairs = cut_lineage(_evidence(candidates(left, right).join(l, "l").join(r, "r"), rules))
-    # pairs that no rule can lift past the threshold stay out of the problem
-    hopeful = pairs.where(F.col("up") >= 0.8 * rules.accept * (F.col("up") + F.col("down")))
-    solved = solve(hopeful, rules)
-    best = F.max(F.col("confidence")).over(Window.partitionBy("r_well"))
-    kept = solved.withColumn("best", best).where((F.col("confidence") >= rules.accept) & (F.col("confidence") >= F.col("best") - 0.15))
-    far = hopeful.select(F.col("l").alias("a"), F.col("r").alias("b"), "metres")
-    kept = kept.join(far, (F.col("l") == F.col("a")) & (F.col("r") == F.col("b")))
-    return kept.select(F.col("l").alias("site_uid"), F.col("r").alias("pod_uid"), "confidence", F.col("metres").alias("distance_m"))
+    left, left_rows = _distinct(wells(cut_lineage(described(sites, "site_uid"))), "l")
+    right, right_rows = _distinct(described(pods, "pod_uid").withColumn("well", F.col("record")), "r")
+    side = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns]).withColumnRenamed(f"{p}_uid", p)
+    pairs = _evidence(candidates(left, right).join(side(left, "l"), "l").join(side(right, "r"), "r"), rules)
+    # pairs of which nothing but exclusivity, which only lowers them, and their copies could change the verdict
+    hopeful = pairs.where(_sum(F.col("up")) >= 0.8 * rules.accept * (_sum(F.col("up")) + _sum(F.col("down"))))
+    # a row that shares its well by record is surely of it, one by name and place nearly so
+    hopeful = cut_lineage(hopeful.select("l", "r", "l_well", "r_well", "l_record", "r_record", F.when(F.col("l_well") == F.col("l_record"), 1.0).otherwise(0.9).alias("member"), "up", "down"))
+    solved = solve(hopeful, rules).where(F.col("confidence") >= rules.accept)
+    held = solved.join(hopeful.select("l", "r", "l_record", "r_record"), ["l", "r"]).groupBy("l_record", "r_record").agg(F.max("confidence").alias("confidence"))
+    rows = held.join(left_rows, "l_record").join(right_rows, "r_record")
+    return rows.select(F.col("l").alias("site_uid"), F.col("r").alias("pod_uid"), "confidence", _metres("l_lat", "l_lon", "r_lat", "r_lon").alias("distance_m"))
