@@ -76,7 +76,7 @@ def test_long_series_statistics():
 
 def test_change_and_normal_tail(spark):
     r = series.change(yearly(spark, [50 + i for i in range(11)])).first()
-    assert (r.dtw_end, r.dtw_start, r.change, r.direction) == (60.0, 55.0, 5.0, "declining")
+    assert (r.dtw_end, r.dtw_start, r.change_ft, r.direction, r.n_observations_in_window, r.status) == (60.0, 55.0, 5.0, "declining", 6, "ok")
     assert C.normal_tail(1.959963984540054) == pytest.approx(0.05)
 
 

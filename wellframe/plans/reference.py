@@ -39,7 +39,7 @@ raw as (select *,
        when length({_D}) between 4 and 6 and regexp_full_match({_D}, '[0-9]+') then date '1900-01-01' + cast({_D} as integer) end as day,
   case when length({_D}) >= 16 and substr({_D}, 11, 1) in ('T', ' ') then substr({_D}, 12, 8) else trim(time_measured) end as clock
   from observations),
-rd as (select obs_id, source, id, parameter_name, parameter_value as value, cast(day as date) as day,
+rd as (select obs_id, source, id, parameter_name, parameter_value as value, parameter_units as units, cast(day as date) as day,
   cast(epoch(day) as bigint) + coalesce(try_cast(substr(clock, 1, 2) as integer), 0) * 3600 + coalesce(try_cast(substr(clock, 4, 2) as integer), 0) * 60 + coalesce(try_cast(substr(clock, 7, 2) as integer), 0) as ts
   from raw where parameter_value is not null and not isnan(parameter_value) and day is not null)"""
 WELLS = """
@@ -63,33 +63,41 @@ def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.readings(table(spark, sf_dir, "observations"))
 
 
+def _well_sql(sql: str) -> str:
+    """The product of ``sql`` with its well's name and depth."""
+    return f"with {WELLS} select q.*, w.name, w.well_depth, w.well_depth_units from ({sql}) q left join wells w on w.source_key = q.source and w.id = q.id"
+
+
+def _with_well(product: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.with_well(product, table(spark, sf_dir, "sites"))
+
+
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readings(spark, sf_dir).where("parameter_name = 'waterlevels'")
 
 
 # --- summaries and flat series -------------------------------------------------------------------
 
+_END = "substr({iso}, 1, 10) as {name}_date, substr({iso}, 12, 8) as {name}_time, {v} as {name}_value, {u} as {name}_units".format
+
 
 @query(f"""with {READINGS}, {WELLS},
-st as (select source, id, parameter_name, count(*) as nrecords, min(value) as min, max(value) as max, {_hu('avg(value)', 1000000.0)} as mean,
-  arg_min(value, ts::double * 1e9 + obs_id) as earliest_value, min(ts) as e, arg_max(value, ts::double * 1e9 + obs_id) as latest_value, max(ts) as l from rd group by all)
-select st.source, st.id, parameter_name, nrecords, st.min, st.max, st.mean, first_v as earliest_value, {_iso('e')} as earliest_datetime, last_v as latest_value, {_iso('l')} as latest_datetime,
-  w.name, w.latitude, w.longitude, w.well_depth, w.well_depth_units,
+st as (select source, id, parameter_name, count(*) as nrecords, min(value) as min, max(value) as max, {_hu('avg(value)', 1000000.0)} as mean, min(ts) as e, max(ts) as l,
+  first(value order by ts, obs_id) as first_v, last(value order by ts, obs_id) as last_v, first(units order by ts, obs_id) as first_u, last(units order by ts, obs_id) as last_u from rd group by all)
+select st.source, st.id, parameter_name, last_u as parameter_units, nrecords, st.min, st.max, st.mean, {_END(iso=_iso('e'), name='earliest', v='first_v', u='first_u')}, {_END(iso=_iso('l'), name='latest', v='last_v', u='last_u')},
+  w.name, w.usgs_site_id, w.alternate_site_id, w.latitude, w.longitude, w.horizontal_datum, w.elevation, w.elevation_units, w.well_depth, w.well_depth_units,
   case when parameter_name = 'tds' then case when last_v < 1000 then 'fresh' when last_v < 10000 then 'brackish' when last_v < 35000 then 'saline' else 'brine' end end as tds_class
-from st join (select source, id, parameter_name, first(value order by ts, obs_id) as first_v, last(value order by ts, obs_id) as last_v from rd group by all) f using (source, id, parameter_name)
-join wells w on w.source_key = st.source and w.id = st.id""")
+from st join wells w on w.source_key = st.source and w.id = st.id""")
 def summary_stats(spark, sf_dir):
     return silver.summaries(_readings(spark, sf_dir), table(spark, sf_dir, "sites"))
 
 
 @query(f"""with {READINGS}, {WELLS}
-select obs_id, rd.source, rd.id, parameter_name, value, {_iso('ts')} as datetime, rd.source || ':' || rd.id || ':' || cast(day as varchar) as feature_id, w.latitude, w.longitude
-from rd left join wells w on w.source_key = rd.source and w.id = rd.id""")
+select obs_id, rd.source, rd.id, rd.parameter_name, value as parameter_value, units as parameter_units, o.date_measured, o.time_measured, o.source_parameter_name, o.source_parameter_units, o.conversion_factor, o.approval_status, o.qualifier,
+  {_iso('ts')} as datetime, rd.source || ':' || rd.id || ':' || cast(day as varchar) as feature_id, w.latitude, w.longitude
+from rd join observations o using (obs_id) left join wells w on w.source_key = rd.source and w.id = rd.id""")
 def timeseries_flat(spark, sf_dir):
-    w = silver.wells(table(spark, sf_dir, "sites")).select(F.col("source_key").alias("source"), "id", "latitude", "longitude")
-    r = _readings(spark, sf_dir)
-    fid = F.concat(C.feature_id(F.col("source"), F.col("id")), F.lit(":"), F.col("day").cast("string"))
-    return r.join(w, ["source", "id"], "left").select("obs_id", "source", "id", "parameter_name", "value", iso_utc(F.col("ts")).alias("datetime"), fid.alias("feature_id"), "latitude", "longitude")
+    return silver.flat_series(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sites"))
 
 
 def _daily(reducer, sql_fold):
@@ -291,9 +299,9 @@ def source_stats(spark, sf_dir):
 # --- chemistry -----------------------------------------------------------------------------------
 
 
-def _wide(analytes: list[str]) -> str:
-    last = f"lastv as (select source, id, parameter_name, last(value order by ts, obs_id) as v, cast(last(day order by ts, obs_id) as varchar) as d from rd where parameter_name in ({', '.join(repr(a) for a in analytes)}) group by all)"
-    cells = ", ".join(f"max(case when parameter_name = '{a}' then v end) as {a}, max(case when parameter_name = '{a}' then d end) as {a}_date" for a in analytes)
+def _wide(analytes: list[str], units: bool = False) -> str:
+    last = f"lastv as (select source, id, parameter_name, last(value order by ts, obs_id) as v, cast(last(day order by ts, obs_id) as varchar) as d, last(units order by ts, obs_id) as u from rd where parameter_name in ({', '.join(repr(a) for a in analytes)}) group by all)"
+    cells = ", ".join(f"max(case when parameter_name = '{a}' then v end) as {a}, max(case when parameter_name = '{a}' then d end) as {a}_date" + (f", max(case when parameter_name = '{a}' then u end) as {a}_units" if units else "") for a in analytes)
     return f"with {READINGS}, {last}, wide as (select source, id, {cells} from lastv group by all)"
 
 
@@ -304,14 +312,14 @@ _SIDES = f"sides as (select *, {_CAT} as cat, {_AN} as an from wide)"
 _LIMITED = sorted(chemistry.LIMITS)
 
 
-@query(f"{_wide(_IONS)} select * from wide")
+@query(_well_sql(f"{_wide(_IONS, units=True)} select * from wide"))
 def major_chemistry_pivot(spark, sf_dir):
-    return chemistry.major_chemistry(_readings(spark, sf_dir))
+    return _with_well(chemistry.major_chemistry(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(
+@query(_well_sql(
     f"{_wide(_LIMITED)} select source, id, "
-    + ", ".join(f"{a}, {a}_date, {a} > {chemistry.LIMITS[a][0]} as {a}_exceeds" for a in _LIMITED)
+    + ", ".join(f"{a}, {a}_date, case when {a} is not null then {chemistry.LIMITS[a][0]}::double end as {a}_mcl, case when {a} is not null then '{chemistry.LIMITS[a][1]}' end as {a}_mcl_type, {a} > {chemistry.LIMITS[a][0]} as {a}_exceeds" for a in _LIMITED)
     + ", cast("
     + " + ".join(f"coalesce(({a} > {chemistry.LIMITS[a][0]})::int, 0)" for a in _LIMITED)
     + " as integer) as exceedance_count, ("
@@ -319,132 +327,150 @@ def major_chemistry_pivot(spark, sf_dir):
     + ") as any_exceedance, concat_ws(',', "
     + ", ".join(f"case when {a} > {chemistry.LIMITS[a][0]} then '{a}' end" for a in _LIMITED)
     + ") as exceeded_analytes from wide"
-)
+))
 def mcl_exceedance(spark, sf_dir):
-    return chemistry.exceedance(_readings(spark, sf_dir))
+    return _with_well(chemistry.exceedance(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""{_wide(['calcium', 'magnesium'])}, h as (select *, round(2.497 * calcium + 4.118 * magnesium, 1) as hardness_caco3 from wide)
-select *, case when hardness_caco3 is null then 'insufficient' when hardness_caco3 < 60 then 'soft' when hardness_caco3 < 120 then 'moderate' when hardness_caco3 < 180 then 'hard' else 'very hard' end as hardness_class from h""")
+@query(_well_sql(f"""{_wide(['calcium', 'magnesium'])}, h as (select *, round(2.497 * calcium + 4.118 * magnesium, 1) as hardness_caco3 from wide)
+select *, 'mg/L as CaCO3' as hardness_units, case when hardness_caco3 is null then 'insufficient' when hardness_caco3 < 60 then 'soft' when hardness_caco3 < 120 then 'moderate' when hardness_caco3 < 180 then 'hard' else 'very hard' end as hardness_class from h"""))
 def hardness(spark, sf_dir):
-    return chemistry.hardness(_readings(spark, sf_dir))
+    return _with_well(chemistry.hardness(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""{_wide(_IONS)}, {_SIDES}, s as (select *, cat > 0 and an > 0 as ok, 100 * {_MEQ['calcium']} / cat as ca, 100 * {_MEQ['magnesium']} / cat as mg, 100 * ({_MEQ['sodium']} + {_MEQ['potassium']}) / cat as na,
+@query(_well_sql(f"""{_wide(_IONS)}, {_SIDES}, s as (select *, cat > 0 and an > 0 as ok, 100 * {_MEQ['calcium']} / cat as ca, 100 * {_MEQ['magnesium']} / cat as mg, 100 * ({_MEQ['sodium']} + {_MEQ['potassium']}) / cat as na,
   100 * ({_MEQ['bicarbonate']} + {_MEQ['carbonate']}) / an as hco3, 100 * {_MEQ['chloride']} / an as cl, 100 * {_MEQ['sulfate']} / an as so4 from sides),
 d as (select *, case when ca > 50 then 'Ca' when mg > 50 then 'Mg' when na > 50 then 'Na+K' else 'mixed' end as dc, case when hco3 > 50 then 'HCO3' when cl > 50 then 'Cl' when so4 > 50 then 'SO4' else 'mixed' end as da from s)
 select source, id, round(cat, 3) as cation_meq_total, round(an, 3) as anion_meq_total, case when ok then dc || '-' || da else 'insufficient' end as water_type, case when ok then dc end as dominant_cation, case when ok then da end as dominant_anion,
   case when ok then round(ca, 1) end as ca_pct, case when ok then round(mg, 1) end as mg_pct, case when ok then round(na, 1) end as na_k_pct, case when ok then round(hco3, 1) end as hco3_pct, case when ok then round(cl, 1) end as cl_pct, case when ok then round(so4, 1) end as so4_pct,
-  case when ok then round(100 * (cat - an) / (cat + an), 1) end as charge_balance_pct from d""")
+  case when ok then round(100 * (cat - an) / (cat + an), 1) end as charge_balance_pct from d"""))
 def water_type(spark, sf_dir):
-    return chemistry.water_type(_readings(spark, sf_dir))
+    return _with_well(chemistry.water_type(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""{_wide(['sodium', 'calcium', 'magnesium'])}, b as (select *, ({_MEQ['calcium']} + {_MEQ['magnesium']}) / 2 as base from wide),
+@query(_well_sql(f"""{_wide(['sodium', 'calcium', 'magnesium'])}, b as (select *, ({_MEQ['calcium']} + {_MEQ['magnesium']}) / 2 as base from wide),
 r as (select * exclude (base), case when sodium is not null and (calcium is not null or magnesium is not null) and base > 0 then round({_MEQ['sodium']} / sqrt(greatest(base, 0)), 2) end as sar from b)
-select *, case when sar is null then 'insufficient' when sar < 10 then 'low' when sar < 18 then 'medium' when sar < 26 then 'high' else 'very high' end as sar_class from r""")
+select *, case when sar is null then 'insufficient' when sar < 10 then 'low' when sar < 18 then 'medium' when sar < 26 then 'high' else 'very high' end as sar_class from r"""))
 def sar(spark, sf_dir):
-    return chemistry.sodium_adsorption(_readings(spark, sf_dir))
+    return _with_well(chemistry.sodium_adsorption(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""{_wide(_IONS)}, {_SIDES}, b as (select *, case when cat > 0 and an > 0 then round(100 * (cat - an) / (cat + an), 1) end as x from sides)
+@query(_well_sql(f"""{_wide(_IONS)}, {_SIDES}, b as (select *, case when cat > 0 and an > 0 then round(100 * (cat - an) / (cat + an), 1) end as x from sides)
 select source, id, round(cat, 3) as cation_meq_total, round(an, 3) as anion_meq_total, cast({' + '.join(f'({a} is not null)::int' for a in chemistry.CATIONS)} as integer) as n_cations_reported, cast({' + '.join(f'({a} is not null)::int' for a in chemistry.ANIONS)} as integer) as n_anions_reported,
-  x as charge_balance_pct, case when x is null then 'insufficient' when abs(x) <= 5 then 'balanced' when abs(x) <= 10 then 'acceptable' else 'suspect' end as balance_class from b""")
+  x as charge_balance_pct, case when x is null then 'insufficient' when abs(x) <= 5 then 'balanced' when abs(x) <= 10 then 'acceptable' else 'suspect' end as balance_class from b"""))
 def ion_balance(spark, sf_dir):
-    return chemistry.ion_balance(_readings(spark, sf_dir))
+    return _with_well(chemistry.ion_balance(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(
-    f"{_wide(_LIMITED)}, t as (select source, id, cast("
+@query(_well_sql(
+    f"{_wide(_LIMITED)}, t as (select *, cast("
     + " + ".join(f"({a} is not null)::int" for a in _LIMITED)
     + " as integer) as n, cast("
     + " + ".join(f"coalesce(({a} > {chemistry.LIMITS[a][0]})::int, 0)" for a in _LIMITED)
     + " as integer) as bad, "
     + " + ".join(f"case when {a} > {chemistry.LIMITS[a][0]} then {a} / {chemistry.LIMITS[a][0]} - 1 else 0.0 end" for a in _LIMITED)
-    + " as over from wide), u as (select *, over / n as nse, 100.0 * bad / n as f1 from t), "
-    "w as (select source, id, n as n_analytes_tested, bad as n_exceeding, round(greatest(0.0, least(100.0, 100 - sqrt(2 * f1 * f1 + pow(nse / (0.01 * nse + 0.01), 2)) / 1.732)), 1) as wqi from u) "
+    + " as over, concat_ws(',', "
+    + ", ".join(f"case when {a} > {chemistry.LIMITS[a][0]} then '{a}' end" for a in _LIMITED)
+    + ") as exceeded_analytes from wide), u as (select *, over / n as nse, 100.0 * bad / n as f1 from t), "
+    + f"w as (select source, id, {', '.join(f'{a}, {a}_date' for a in _LIMITED)}, exceeded_analytes, n as n_analytes_tested, bad as n_exceeding, round(greatest(0.0, least(100.0, 100 - sqrt(2 * f1 * f1 + pow(nse / (0.01 * nse + 0.01), 2)) / 1.732)), 1) as wqi from u) "
     "select *, case when wqi is null then 'insufficient' when wqi >= 95 then 'excellent' when wqi >= 80 then 'good' when wqi >= 65 then 'fair' when wqi >= 45 then 'marginal' else 'poor' end as wqi_class from w"
-)
+))
 def wqi(spark, sf_dir):
-    return chemistry.quality_index(_readings(spark, sf_dir))
+    return _with_well(chemistry.quality_index(_readings(spark, sf_dir)), spark, sf_dir)
 
 
 # --- histories -----------------------------------------------------------------------------------
 
 
-def _trend_sql(fold: str, where: str) -> str:
-    return f"""with {READINGS}, days as (select source, id, parameter_name, day, {fold}(value) as v, count(*) as n from rd where {where} group by all),
-seen as (select source, id, parameter_name, count(*) as record_count, cast(sum(n) as bigint) as observation_count, cast(min(day) as varchar) as first_day, cast(max(day) as varchar) as last_day, (epoch(max(day)) - epoch(min(day))) / 31557600 as span from days group by all),
+def _day_sql(fold: str, where: str) -> str:
+    return f"""days as (select source, id, parameter_name, day, {fold}(value) as v, count(*) as n, cast(epoch(day) as bigint) as t from rd where {where} group by all),
+seen as (select source, id, parameter_name, count(*) as record_count, cast(sum(n) as bigint) as observation_count, min(t) as f, max(t) as l, (max(t) - min(t)) / 31557600 as span from days group by all)"""
+
+
+_LEVELS = "parameter_name = 'waterlevels'"
+_TIMES = f"{_iso('f')} as first_observation_datetime, {_iso('l')} as last_observation_datetime"
+#: Error function by a series of positive terms.
+_TAIL = "case when {x} > 6 then 0.0 when {x} = 0 then 1.0 else 1 - 2 / sqrt(pi()) * exp(-{x} * {x}) * list_sum(list_transform(range(0, 200), lambda k: exp(2 * k * ln(2) + (2 * k + 1) * ln({x}) + lgamma(k + 1) - lgamma(2 * k + 2)))) end"
+
+
+def _trend_sql(fold: str, where: str, units: str) -> str:
+    return f"""with {READINGS}, {_day_sql(fold, where)},
 fit as (select * from seen where record_count >= 10 or (record_count >= 4 and span >= 2)),
-q as (select d.*, epoch(day) / 31557600 as t from days d join fit using (source, id, parameter_name)),
-pairs as (select a.source, a.id, a.parameter_name, sum(sign(b.v - a.v)) as s, median((b.v - a.v) / (b.t - a.t)) as slope from q a join q b on a.source = b.source and a.id = b.id and a.parameter_name = b.parameter_name and a.t < b.t group by all),
+q as (select d.*, d.t / 31557600 as x from days d join fit using (source, id, parameter_name)),
+pairs as (select a.source, a.id, a.parameter_name, sum(sign(b.v - a.v)) as s, median((b.v - a.v) / (b.x - a.x)) as slope from q a join q b on a.source = b.source and a.id = b.id and a.parameter_name = b.parameter_name and a.x < b.x group by all),
 ties as (select source, id, parameter_name, sum(c * (c - 1) * (2 * c + 5)) as tie from (select source, id, parameter_name, v, count(*) as c from q group by all) group by all),
 z as (select *, (record_count * (record_count - 1) * (2 * record_count + 5) - tie) / 18.0 as var from pairs join ties using (source, id, parameter_name) join fit using (source, id, parameter_name)),
 y as (select *, case when var <= 0 or s = 0 then 0.0 else (s - sign(s)) / sqrt(var) end as zz from z)
-select seen.source, seen.id, seen.parameter_name, seen.record_count, seen.observation_count, seen.first_day, seen.last_day, round(seen.span, 3) as span_years,
-  case when y.zz is null then 'not enough data' when abs(y.zz) <= 1.959963984540054 then 'stable' when y.zz > 0 then 'increasing' else 'decreasing' end as trend_category, cast(y.s as bigint) as mk_s,
-  round(y.s / (y.record_count * (y.record_count - 1) / 2), 4) as mk_tau, floor(round((y.slope) * 100.0, 6) + 0.5) / 100.0 as slope_per_year from seen left join y using (source, id, parameter_name)"""
+select seen.source, seen.id, seen.parameter_name, seen.record_count, seen.observation_count, {_iso('seen.f')} as first_observation_datetime, {_iso('seen.l')} as last_observation_datetime, round(seen.span, 3) as span_years,
+  {_hu('y.slope', 100.0)} as slope_per_year, '{units}' as slope_units, case when y.zz is null then 'not enough data' when abs(y.zz) <= 1.959963984540054 then 'stable' when y.zz > 0 then 'increasing' else 'decreasing' end as trend_category,
+  {_hu(_TAIL.format(x='(abs(y.zz) / sqrt(2))'), 10000.0)} as mk_p_value, round(y.s / (y.record_count * (y.record_count - 1) / 2), 4) as mk_tau from seen left join y using (source, id, parameter_name)"""
 
 
-@query(_trend_sql("min", "parameter_name = 'waterlevels'"))
+@query(_well_sql(_trend_sql("min", _LEVELS, "ft/year")))
 def waterlevel_trend(spark, sf_dir):
-    return series.trends(_levels(spark, sf_dir), "min")
+    return _with_well(series.trends(_levels(spark, sf_dir), "min"), spark, sf_dir)
 
 
-@query(_trend_sql("avg", "parameter_name in ('arsenic', 'nitrate', 'tds')"))
+@query(_well_sql(_trend_sql("avg", "parameter_name in ('arsenic', 'nitrate', 'tds')", "mg/L/year")))
 def analyte_trend(spark, sf_dir):
-    return series.trends(_readings(spark, sf_dir).where(F.col("parameter_name").isin("arsenic", "nitrate", "tds")), "mean")
+    return _with_well(series.trends(_readings(spark, sf_dir).where(F.col("parameter_name").isin("arsenic", "nitrate", "tds")), "mean", "mg/L/year"), spark, sf_dir)
 
 
-@query(f"""with {READINGS}, s as (select source, id, parameter_name, count(*) as observation_count, min(ts) as f, max(ts) as l from rd group by all), e as (select *, cast(floor((epoch(timestamp '{AS_OF}') - l) / 86400.0) as bigint) as days_since_last from s)
-select source, id, parameter_name, observation_count, {_iso('f')} as first_observation, {_iso('l')} as last_observation, days_since_last, case when days_since_last <= 365 then 'active' else 'stale' end as status from e""")
+@query(f"""with {READINGS}, {WELLS}, s as (select source, id, count(*) as n, min(ts) as f, max(ts) as l from rd where {_LEVELS} group by all),
+e as (select w.source_key as source, w.id, w.name, w.well_depth, w.well_depth_units, coalesce(n, 0) as record_count, f, l, cast(floor((epoch(timestamp '{AS_OF}') - l) / 86400.0) as bigint) as days_since_last from wells w left join s on s.source = w.source_key and s.id = w.id)
+select source, id, name, well_depth, well_depth_units, record_count, {_TIMES}, days_since_last, case when record_count = 0 then 'no data' when days_since_last <= 365 then 'active' else 'stale' end as status from e""")
 def monitoring_recency(spark, sf_dir):
-    return series.recency(_readings(spark, sf_dir), AS_OF)
+    w = silver.wells(table(spark, sf_dir, "sites")).select(F.col("source_key").alias("source"), "id")
+    return _with_well(series.recency(_levels(spark, sf_dir), AS_OF, wells=w), spark, sf_dir)
 
 
-@query(f"""with {READINGS}, s as (select source, id, parameter_name, count(*) as n, count(distinct day) as d, (max(ts) - min(ts)) / 31557600 as span from rd group by all)
-select source, id, parameter_name, n as observation_count, d as distinct_days, round(span, 3) as span_years, case when n > 1 then round(span * 365.25 / (n - 1), 1) end as mean_interval_days, case when span > 0 then round(n / span, 2) end as observations_per_year from s""")
+@query(_well_sql(f"""with {READINGS}, {_day_sql("min", "true")}
+select source, id, parameter_name, observation_count, record_count, {_TIMES}, round(span, 3) as span_years, case when record_count > 1 then round(span * 365.25 / (record_count - 1), 1) end as mean_interval_days, case when span > 0 then round(observation_count / span, 2) end as observations_per_year from seen"""))
 def data_density(spark, sf_dir):
-    return series.density(_readings(spark, sf_dir))
+    return _with_well(series.density(_readings(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""with {READINGS}, days as (select source, id, parameter_name, day, min(value) as v, cast(epoch(day) as bigint) as t from rd where parameter_name = 'waterlevels' group by all),
+@query(_well_sql(f"""with {READINGS}, {_day_sql("min", _LEVELS)},
 e as (select source, id, parameter_name, max(t) as end_t, arg_max(v, t) as end_v from days group by all),
 n as (select d.*, end_t, end_v, abs(t - (end_t - 157788000)) as far from days d join e using (source, id, parameter_name)),
-b as (select source, id, parameter_name, end_t, end_v, first(v order by far, t) filter (where far <= 78894000 and t < end_t) as sv, first(t order by far, t) filter (where far <= 78894000 and t < end_t) as st, cast(sum(case when t >= end_t - 157788000 then 1 else 0 end) as bigint) as n_in_window from n group by all),
-r as (select *, floor(round((end_v) * 100.0, 6) + 0.5) / 100.0 as dtw_end, floor(round((sv) * 100.0, 6) + 0.5) / 100.0 as dtw_start, floor(round((floor(round((end_v) * 100.0, 6) + 0.5) / 100.0 - floor(round((sv) * 100.0, 6) + 0.5) / 100.0) * 100.0, 6) + 0.5) / 100.0 as change from b)
-select source, id, parameter_name, dtw_end, {_iso('end_t')} as end_date, dtw_start, {_iso('st')} as start_date, change, n_in_window, case when change is null then 'insufficient' when change > 0 then 'declining' when change < 0 then 'rising' else 'stable' end as direction from r""")
+b as (select source, id, parameter_name, end_t, end_v, first(v order by far, t) filter (where t < end_t) as nv, first(t order by far, t) filter (where t < end_t) as nt, min(far) filter (where t < end_t) as nf from n group by all),
+c as (select *, case when nf <= 78894000 then nv end as sv, case when nf <= 78894000 then nt end as st from b),
+k as (select source, id, parameter_name, cast(sum((t >= st)::int) as bigint) as inside from days join c using (source, id, parameter_name) group by all),
+r as (select *, case when record_count >= 2 then {_hu('end_v', 100.0)} end as dtw_end, {_hu('sv', 100.0)} as dtw_start from c join k using (source, id, parameter_name) join seen using (source, id, parameter_name)),
+d as (select *, {_hu('dtw_end - dtw_start', 100.0)} as change_ft from r)
+select source, id, parameter_name, 5.0::double as window_years, round((end_t - st) / 31557600, 3) as actual_window_years, dtw_start, dtw_end, {_iso('st')} as start_date, case when record_count >= 2 then {_iso('end_t')} end as end_date, change_ft, 'ft' as change_units,
+  case when change_ft > 0 then 'declining' when change_ft < 0 then 'rising' when change_ft = 0 then 'stable' end as direction, coalesce(inside, 0) as n_observations_in_window, observation_count, case when change_ft is null then 'insufficient' else 'ok' end as status from d"""))
 def level_change(spark, sf_dir):
-    return series.change(_levels(spark, sf_dir))
+    return _with_well(series.change(_levels(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""with {READINGS}, days as (select source, id, parameter_name, day, min(value) as v from rd where parameter_name = 'waterlevels' group by all),
-l as (select source, id, parameter_name, arg_max(v, day) as latest, count(*) as n, min(v) as lo, max(v) as hi, median(v) as med from days group by all),
-r as (select l.*, sum((v < latest)::int) as less, sum((v = latest)::int) as same from days join l using (source, id, parameter_name) group by all),
-p as (select *, case when n >= 10 then 100 * (less + 0.5 * same) / n end as pct from r)
-select source, id, parameter_name, n as record_count, floor(round((latest) * 100.0, 6) + 0.5) / 100.0 as latest, floor(round((lo) * 100.0, 6) + 0.5) / 100.0 as min, floor(round((med) * 100.0, 6) + 0.5) / 100.0 as median, floor(round((hi) * 100.0, 6) + 0.5) / 100.0 as max, floor(round((pct) * 10.0, 6) + 0.5) / 10.0 as percentile,
-  case when pct is null then 'insufficient' when pct >= 90 then 'much below normal' when pct >= 75 then 'below normal' when pct <= 10 then 'much above normal' when pct <= 25 then 'above normal' else 'normal' end as status from p""")
+@query(_well_sql(f"""with {READINGS}, {_day_sql("min", _LEVELS)},
+m as (select source, id, parameter_name, arg_max(v, day) as latest, min(v) as lo, max(v) as hi, median(v) as med from days group by all),
+r as (select source, id, parameter_name, latest, lo, hi, med, sum((v < latest)::int) as less, sum((v = latest)::int) as same from days join m using (source, id, parameter_name) group by all),
+p as (select *, case when record_count >= 10 then {_hu('100 * (less + 0.5 * same) / record_count', 10.0)} end as pct from r join seen using (source, id, parameter_name))
+select source, id, parameter_name, record_count, observation_count, {_TIMES}, round(span, 3) as span_years, {_hu('latest', 100.0)} as latest_dtw, {_iso('l')} as latest_dtw_date, {_hu('lo', 100.0)} as min_dtw, {_hu('med', 100.0)} as median_dtw, {_hu('hi', 100.0)} as max_dtw, 'ft' as dtw_units, pct as dtw_percentile,
+  case when pct is null then 'insufficient' when pct >= 90 then 'much below normal' when pct >= 75 then 'below normal' when pct <= 10 then 'much above normal' when pct <= 25 then 'above normal' else 'normal' end as status from p"""))
 def level_status(spark, sf_dir):
-    return series.status(_levels(spark, sf_dir))
+    return _with_well(series.status(_levels(spark, sf_dir)), spark, sf_dir)
 
 
-@query(f"""with {READINGS}, days as (select source, id, parameter_name, day, min(value) as v from rd where parameter_name = 'waterlevels' group by all),
-y as (select source, id, parameter_name, cast(year(day) as integer) as y, max(v) - min(v) as a from days group by all having count(*) >= 4)
-select source, id, parameter_name, count(*) as n_years, floor(round((avg(a)) * 100.0, 6) + 0.5) / 100.0 as mean_amplitude, floor(round((max(a)) * 100.0, 6) + 0.5) / 100.0 as max_amplitude, first(y order by a desc, y) as max_year, floor(round((min(a)) * 100.0, 6) + 0.5) / 100.0 as min_amplitude, first(y order by a, y) as min_year from y group by all""")
+@query(_well_sql(f"""with {READINGS}, {_day_sql("min", _LEVELS)},
+y as (select source, id, parameter_name, cast(year(day) as integer) as y, count(*) as d, sum(n) as o, case when count(*) >= 4 then max(v) - min(v) end as a from days group by source, id, parameter_name, year(day))
+select source, id, parameter_name, cast(sum(d) as bigint) as record_count, cast(sum(o) as bigint) as observation_count, count(*) as n_years_with_data, cast(sum((d >= 4)::int) as bigint) as n_years_used, 'ft' as amplitude_units, {_hu('avg(a)', 100.0)} as mean_amplitude_ft,
+  {_hu('max(a)', 100.0)} as max_amplitude_ft, first(y order by a desc, y) filter (where a is not null) as max_amplitude_year, {_hu('min(a)', 100.0)} as min_amplitude_ft, case when max(a) is null then 'insufficient' else 'ok' end as status from y group by all"""))
 def seasonal_amplitude(spark, sf_dir):
-    return series.seasonal(_levels(spark, sf_dir))
-
+    return _with_well(series.seasonal(_levels(spark, sf_dir)), spark, sf_dir)
 
-_TREND_LEVELS = _trend_sql("min", "parameter_name = 'waterlevels'")
 
-
-@query(f"""with {READINGS}, {WELLS}, tr as ({_TREND_LEVELS}), days as (select source, id, parameter_name, day, min(value) as v from rd where parameter_name = 'waterlevels' group by all),
-l as (select source, id, parameter_name, arg_max(v, day) as latest, max(day) as last_day from days group by all),
-j as (select l.*, tr.trend_category, tr.slope_per_year, case when not isnan(well_depth) then case when lower(trim(well_depth_units)) in ('m', 'meters') then well_depth * 3.28084 else well_depth end end as depth from l join tr using (source, id, parameter_name) left join wells w on w.source_key = l.source and w.id = l.id),
-k as (select *, HU(depth - latest, 100.0) as remaining from j), y as (select *, case when trend_category = 'increasing' and slope_per_year > 0 and remaining > 0 then HU(remaining / slope_per_year, 10.0) end as years from k)
-select source, id, parameter_name, trend_category, slope_per_year, HU(latest, 100.0) as latest, HU(depth, 100.0) as depth_ft, remaining as remaining_ft, years as years_to_depletion, cast(trunc(year(last_day) + years) as integer) as depletion_year from y""".replace("HU(depth - latest, 100.0)", _hu("depth - latest", 100.0)).replace("HU(remaining / slope_per_year, 10.0)", _hu("remaining / slope_per_year", 10.0)).replace("HU(latest, 100.0)", _hu("latest", 100.0)).replace("HU(depth, 100.0)", _hu("depth", 100.0)))
+@query(_well_sql(f"""with {READINGS}, {WELLS}, tr as ({_trend_sql("min", _LEVELS, "ft/year")}), {_day_sql("min", _LEVELS)},
+m as (select source, id, parameter_name, arg_max(v, day) as latest, max(day) as last_day from days group by all),
+j as (select m.*, tr.record_count, tr.observation_count, tr.span_years, tr.trend_category, tr.slope_per_year, case when not isnan(well_depth) then case when lower(trim(well_depth_units)) in ('m', 'meters') then well_depth * 3.28084 else well_depth end end as depth
+  from m join tr using (source, id, parameter_name) left join wells w on w.source_key = m.source and w.id = m.id),
+k as (select *, trend_category = 'increasing' and slope_per_year > 0 as falling from j), r as (select *, case when falling then {_hu('depth - latest', 100.0)} end as remaining from k), y as (select *, case when remaining > 0 then {_hu('remaining / slope_per_year', 10.0)} end as years from r)
+select source, id, parameter_name, record_count, observation_count, span_years, case when trend_category <> 'not enough data' then trend_category end as trend_category, slope_per_year as slope_ft_per_year, {_hu('latest', 100.0)} as latest_dtw, {_iso('cast(epoch(last_day) as bigint)')} as latest_dtw_date, remaining as remaining_ft,
+  years as years_to_depletion, cast(trunc(year(last_day) + years) as integer) as projected_depletion_year, case when trend_category = 'not enough data' then 'not enough data' when not coalesce(falling, false) then 'not declining' when depth is null then 'no well depth' when remaining <= 0 then 'dtw exceeds well depth' else 'projected' end as status from y"""))
 def depletion_projection(spark, sf_dir):
-    return series.depletion(_levels(spark, sf_dir), table(spark, sf_dir, "sites"))
+    return _with_well(series.depletion(_levels(spark, sf_dir), table(spark, sf_dir, "sites")), spark, sf_dir)
 
 
 # --- regions and crosswalk -----------------------------------------------------------------------
@@ -468,25 +494,25 @@ def _held(points: str) -> str:
 _SITE_POINTS = f"pts as (select site_uid as uid, latitude, longitude from sites where {_OK})"
 _WELL_POINTS = f"pts as (select site_uid as uid, latitude, longitude from wells where {_OK})"
 _POD_POINTS = f"""firsts as (select * from (select *, row_number() over (partition by source, id order by pod_uid) as r from pod_sites where id is not null) where r = 1),
-pts as (select pod_uid as uid, source, id, latitude, longitude, try_cast(substr(well_completion_date, 1, 4) as integer) as y from firsts where {_OK})"""
+pts as (select pod_uid as uid, source, id, latitude, longitude, well_completion_date, well_depth, well_depth_units, try_cast(substr(well_completion_date, 1, 4) as integer) as y from firsts where {_OK})"""
 _YEARS = list(range(AS_OF_YEAR - 9, AS_OF_YEAR + 1))
 _POD_TABLE = (
     f"{EDGES}, {_POD_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid), "
     + "bins as (select county_no, "
     + ", ".join(f"cast(sum((y = {y})::int) as bigint) as b{y}" for y in _YEARS)
     + f" from pts join one using (uid) where y between {_YEARS[0]} and {_YEARS[-1]} group by county_no), "
-    + "full_bins as (select c.county_no, c.name, "
-    + ", ".join(f"coalesce(b{y}, 0) as y{y}" for y in _YEARS)
+    + "full_bins as (select c.county_no, c.name as county, c.fips, c.area_sq_km, "
+    + ", ".join(f"coalesce(b{y}, 0) as year_{y}" for y in _YEARS)
     + " from counties c left join bins using (county_no)), "
     + "pods as (select *, "
-    + " + ".join(f"y{y}" for y in _YEARS)
-    + " as total, case when greatest("
-    + ", ".join(f"y{y}" for y in _YEARS)
+    + " + ".join(f"year_{y}" for y in _YEARS)
+    + " as total_recent_pods, case when greatest("
+    + ", ".join(f"year_{y}" for y in _YEARS)
     + ") > 0 then coalesce("
-    + ", ".join(f"case when y{y} = greatest({', '.join(f'y{x}' for x in _YEARS)}) then {y} end" for y in _YEARS)
-    + ") end as peak_year, round(("
-    + " + ".join(f"({i} - 4.5) * y{y}" for i, y in enumerate(_YEARS))
-    + f") / 82.5::double, 4) as slope, y{_YEARS[-1]} as latest_year_count from full_bins)"
+    + ", ".join(f"case when year_{y} = greatest({', '.join(f'year_{x}' for x in _YEARS)}) then {y} end" for y in _YEARS)
+    + ") end as peak_year, "
+    + _hu("(" + " + ".join(f"({i} - 4.5::double) * year_{y}" for i, y in enumerate(_YEARS)) + ") / 82.5::double", 1000.0)
+    + f" as trend_pods_per_year, year_{_YEARS[-1]} as latest_year_count from full_bins)"
 )
 _NORM = "regexp_replace(upper(trim(coalesce({}, ''))), '\\s+', ' ', 'g')".format
 _BARE = "regexp_replace({}, '^(USGS-|USGS:|NWIS-|NWIS:)', '')".format
@@ -533,18 +559,39 @@ def pod_age_by_county(spark, sf_dir):
     return spatial.completions_by_region(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
 
 
-@query(f"with {_POD_TABLE} select county_no, name, slope, total from pods order by slope desc, total desc, county_no limit 1")
+@query(f"with {_POD_TABLE}, y as (unpivot (select {', '.join(f'year_{y}' for y in _YEARS)} from pods) on * into name year value n) select cast(substr(year, 6) as integer) as year, cast(sum(n) as bigint) as total from y group by all")
+def pod_yearly_totals(spark, sf_dir):
+    return spatial.yearly_totals(pod_age_by_county(spark, sf_dir))
+
+
+@query(f"with {EDGES}, {_POD_POINTS}, {_held('pts')} select count(*) as unassigned_pod_count from pts where y between {_YEARS[0]} and {_YEARS[-1]} and uid not in (select uid from held)")
+def unassigned_pods(spark, sf_dir):
+    return spatial.unassigned_pods(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
+
+
+# counties by their number's remainder stand for basins, a layer without fips
+@query(f"""with {WELLS}, {EDGES}, {_WELL_POINTS}, {_held('pts')}, one as (select uid, min('Basin ' || (county_no % 7)) as basin from held group by uid), n as (select basin, count(*) as c from one group by basin),
+b as (select 'Basin ' || (county_no % 7) as basin, round(sum(area_sq_km), 2) as area_sq_km from counties group by 1)
+select basin, area_sq_km, coalesce(c, 0) as well_count, case when area_sq_km > 0 then round(coalesce(c, 0) / area_sq_km, 4) end as wells_per_sq_km from b left join n using (basin)""")
+def basin_density(spark, sf_dir):
+    parts = table(spark, sf_dir, "counties").withColumn("basin", F.concat(F.lit("Basin "), (F.col("county_no") % 7).cast("string")))
+    rings = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("county_no", F.regexp_replace("geometry", "^(MULTI)?POLYGON ?", "").alias("g")))), lambda x: x["g"]), ", ")
+    basins = parts.groupBy("basin").agg(F.concat(F.lit("MULTIPOLYGON ("), rings, F.lit(")")).alias("geometry"), F.round(F.sum("area_sq_km"), 2).alias("area_sq_km"))
+    return spatial.density(table(spark, sf_dir, "sites"), basins, "basin")
+
+
+@query(f"with {_POD_TABLE} select county_no, county, trend_pods_per_year, total_recent_pods from pods order by trend_pods_per_year desc, total_recent_pods desc, county_no limit 1")
 def fastest_growing(spark, sf_dir):
     return spatial.fastest_growing(pod_age_by_county(spark, sf_dir))
 
 
-@query(f"with {_POD_TABLE} select county_no, name, slope, total from pods where total > 0 order by slope desc, county_no limit 1")
+@query(f"with {_POD_TABLE} select county_no, county, trend_pods_per_year, total_recent_pods from pods where total_recent_pods > 0 order by trend_pods_per_year desc, county_no limit 1")
 def fastest_growing_points(spark, sf_dir):
-    return spatial.fastest_growing(pod_age_by_county(spark, sf_dir).where("total > 0"), by_total=False)
+    return spatial.fastest_growing(pod_age_by_county(spark, sf_dir).where("total_recent_pods > 0"), by_total=False)
 
 
 @query(f"""with {EDGES}, {_POD_POINTS}, {_held('pts')}, one as (select uid, min(county_no) as county_no from held group by uid)
-select uid as pod_uid, source, id, latitude, longitude, y as year, name as county from pts left join (select uid, name from one join counties using (county_no)) using (uid) where y between {_YEARS[0]} and {_YEARS[-1]}""")
+select uid as pod_uid, source, id, latitude, longitude, y as completion_year, well_completion_date as completion_date, name as county, well_depth, well_depth_units from pts left join (select uid, name from one join counties using (county_no)) using (uid) where y between {_YEARS[0]} and {_YEARS[-1]}""")
 def pod_age_points(spark, sf_dir):
     return spatial.completion_points(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,17 +25,26 @@ def _sum(cols: list[Column]) -> Column:
 
 
 def major_chemistry(rows: DataFrame) -> DataFrame:
-    return latest_by_well(rows, MAJOR_IONS)
+    return latest_by_well(rows, MAJOR_IONS, units=True)
 
 
-def exceedance(rows: DataFrame) -> DataFrame:
-    """Latest value per limited analyte, whether it exceeds, how many do and which."""
-    names = sorted(LIMITS)
+def limits(path: str | None = None) -> dict[str, tuple[float, str]]:
+    """Limits and their kind by analyte: of a JSON file (analyte to mcl and type; names with a leading underscore are remarks), or the built-in ones."""
+    if path is None:
+        return dict(LIMITS)
+    with open(path, encoding="utf-8") as file:
+        return {a: (float(v["mcl"]), v.get("type", "primary")) for a, v in json.load(file).items() if not a.startswith("_")}
+
+
+def exceedance(rows: DataFrame, known: dict[str, tuple[float, str]] = LIMITS) -> DataFrame:
+    """Latest value per limited analyte with its limit and whether it exceeds, how many do and which."""
+    names = sorted(known)
     wide = latest_by_well(rows, names)
-    over = {a: F.col(a) > LIMITS[a][0] for a in names}
+    over = {a: F.col(a) > known[a][0] for a in names}
     flagged = F.array_compact(F.array(*[F.when(over[a], F.lit(a)) for a in names]))
+    tested = lambda a, x: F.when(F.col(a).isNotNull(), F.lit(x))
     return wide.select(
-        "source", "id", *[x for a in names for x in (F.col(a), F.col(f"{a}_date"), over[a].alias(f"{a}_exceeds"))],
+        "source", "id", *[x for a in names for x in (F.col(a), F.col(f"{a}_date"), tested(a, known[a][0]).alias(f"{a}_mcl"), tested(a, known[a][1]).alias(f"{a}_mcl_type"), over[a].alias(f"{a}_exceeds"))],
         F.size(flagged).alias("exceedance_count"), (F.size(flagged) > 0).alias("any_exceedance"), F.array_join(flagged, ",").alias("exceeded_analytes"),
     )
 
@@ -42,7 +52,7 @@ def exceedance(rows: DataFrame) -> DataFrame:
 def hardness(rows: DataFrame) -> DataFrame:
     wide = latest_by_well(rows, ["calcium", "magnesium"])
     h = F.round(2.497 * F.col("calcium") + 4.118 * F.col("magnesium"), 1)
-    return wide.withColumn("hardness_caco3", h).withColumn("hardness_class", C.hardness_class(h))
+    return wide.withColumn("hardness_caco3", h).withColumn("hardness_units", F.lit("mg/L as CaCO3")).withColumn("hardness_class", C.hardness_class(h))
 
 
 def _totals(wide: DataFrame) -> tuple[Column, Column]:
@@ -87,14 +97,17 @@ def ion_balance(rows: DataFrame) -> DataFrame:
     )
 
 
-def quality_index(rows: DataFrame) -> DataFrame:
-    """Water quality index of scope, frequency and amplitude of exceedances."""
-    names = sorted(LIMITS)
+def quality_index(rows: DataFrame, known: dict[str, tuple[float, str]] = LIMITS) -> DataFrame:
+    """Water quality index of scope, frequency and amplitude of exceedances of the limits above 0."""
+    names = sorted(a for a in known if known[a][0] > 0)
     wide = latest_by_well(rows, names)
     tested = _sum([F.col(a).isNotNull().cast("int") for a in names])
-    over = [F.coalesce(F.col(a) > LIMITS[a][0], F.lit(False)) for a in names]
+    over = [F.coalesce(F.col(a) > known[a][0], F.lit(False)) for a in names]
     failed = _sum([o.cast("int") for o in over])
-    nse = _sum([F.when(o, F.col(a) / LIMITS[a][0] - 1).otherwise(0.0) for a, o in zip(names, over)]) / tested
+    nse = _sum([F.when(o, F.col(a) / known[a][0] - 1).otherwise(0.0) for a, o in zip(names, over)]) / tested
     f1, f3 = 100.0 * failed / tested, nse / (0.01 * nse + 0.01)
     index = F.when(tested > 0, F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), 100 - F.sqrt(2 * f1 * f1 + f3 * f3) / 1.732)), 1))
-    return wide.select("source", "id", tested.alias("n_analytes_tested"), failed.alias("n_exceeding"), index.alias("wqi")).withColumn("wqi_class", C.wqi_class(F.col("wqi")))
+    flagged = F.array_compact(F.array(*[F.when(o, F.lit(a)) for a, o in zip(names, over)]))
+    return wide.select(
+        "source", "id", *[x for a in names for x in (F.col(a), F.col(f"{a}_date"))], tested.alias("n_analytes_tested"), failed.alias("n_exceeding"), F.array_join(flagged, ",").alias("exceeded_analytes"), index.alias("wqi")
+    ).withColumn("wqi_class", C.wqi_class(F.col("wqi")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,20 +72,29 @@ def pair_statistics(x: np.ndarray, y: np.ndarray, bins: int = 65_536, block: int
     return sign, float(np.mean([inside[k - below] for k in wanted]))
 
 
-TREND = "source string, id string, parameter_name string, record_count long, observation_count long, first_day string, last_day string, span_years double, n long, s long, var_s double, slope double"
+TREND = "source string, id string, parameter_name string, record_count long, observation_count long, first long, last long, span_years double, n long, s long, var_s double, z double, p double, slope double"
+
+
+def _seen(day_values: DataFrame, *more: F.Column) -> DataFrame:
+    """Per series: days, readings, first and last day (UTC seconds), span in years."""
+    return day_values.groupBy(*WELL).agg(
+        F.count(F.lit(1)).alias("record_count"), F.sum("n").alias("observation_count"), F.min(_noon()).alias("first"), F.max(_noon()).alias("last"),
+        ((F.max(_noon()) - F.min(_noon())) / JULIAN_YEAR_S).alias("span"), *more,
+    )
+
+
+def _times(prefix: str = "") -> list[F.Column]:
+    return [iso_utc(F.col(f"{prefix}first")).alias("first_observation_datetime"), iso_utc(F.col(f"{prefix}last")).alias("last_observation_datetime")]
 
 
 def trend_statistics(day_values: DataFrame) -> DataFrame:
-    """Days, span, S, its variance with ties, and the Theil-Sen slope per year of each daily series.
+    """Days, span, S, its variance with ties, Z, its two-sided probability, and the Theil-Sen slope per year of each daily series.
 
     Series of fewer than 10 days, or of fewer than 4 or less than two years, get no statistics. A series of
     days is bounded by the calendar, so one task can hold it; its pairs are never held. The series is
     shuffled once and reaches numpy as Arrow arrays.
     """
-    grouped = day_values.groupBy(*WELL).agg(
-        F.count(F.lit(1)).alias("record_count"), F.sum("n").alias("observation_count"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"),
-        ((F.max(_noon()) - F.min(_noon())) / JULIAN_YEAR_S).alias("span"), F.array_sort(F.collect_list(F.struct(_noon().alias("t"), F.col("value").alias("v")))).alias("p"),
-    )
+    grouped = _seen(day_values, F.array_sort(F.collect_list(F.struct(_noon().alias("t"), F.col("value").alias("v")))).alias("p"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,12 +102,12 @@ def trend_statistics(day_values: DataFrame) -> DataFrame:
             at = lists.offsets.to_numpy()
             t_all, v_all = lists.values.field("t").to_numpy() / JULIAN_YEAR_S, lists.values.field("v").to_numpy()
             spans = batch.column("span").to_numpy()
-            n, sign, var, slope = [], [], [], []
+            n, sign, var, z, chance, slope = [], [], [], [], [], []
             for k in range(batch.num_rows):
                 t, v = t_all[at[k] : at[k + 1]], v_all[at[k] : at[k + 1]]
                 m = len(v)
                 if not (m >= 10 or (m >= 4 and spans[k] >= 2)):
-                    for c in (n, sign, var, slope):
+                    for c in (n, sign, var, z, chance, slope):
                         c.append(None)
                     continue
                 ties = np.unique(v, return_counts=True)[1].astype(float)
@@ -105,90 +115,108 @@ def trend_statistics(day_values: DataFrame) -> DataFrame:
                 n.append(m)
                 sign.append(a)
                 var.append((m * (m - 1) * (2 * m + 5) - (ties * (ties - 1) * (2 * ties + 5)).sum()) / 18)
+                z.append(0.0 if var[-1] <= 0 or a == 0 else (a - np.sign(a)) / math.sqrt(var[-1]))
+                chance.append(C.normal_tail(z[-1]))
                 slope.append(b)
-            keep = [batch.column(c) for c in (*WELL, "record_count", "observation_count", "first_day", "last_day", "span")]
-            stats = [pa.array(n, pa.int64()), pa.array(sign, pa.int64()), pa.array(var, pa.float64()), pa.array(slope, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*keep, *stats], [*WELL, "record_count", "observation_count", "first_day", "last_day", "span_years", "n", "s", "var_s", "slope"])
+            keep = [batch.column(c) for c in (*WELL, "record_count", "observation_count", "first", "last", "span")]
+            stats = [pa.array(n, pa.int64()), pa.array(sign, pa.int64()), *[pa.array(c, pa.float64()) for c in (var, z, chance, slope)]]
+            yield pa.RecordBatch.from_arrays([*keep, *stats], [*WELL, "record_count", "observation_count", "first", "last", "span_years", "n", "s", "var_s", "z", "p", "slope"])
 
     return grouped.mapInArrow(run, TREND)
 
 
-def trends(rows: DataFrame, reducer: str) -> DataFrame:
-    """Category, slope per year and tau per series; series too short are ``not enough data``."""
+def trends(rows: DataFrame, reducer: str, units: str = "ft/year") -> DataFrame:
+    """Category, slope per year, tau and probability per series; series too short are ``not enough data``."""
     t = trend_statistics(daily(rows, reducer))
-    z = F.when((F.col("var_s") <= 0) | (F.col("s") == 0), 0.0).otherwise((F.col("s") - F.signum("s")) / F.sqrt("var_s"))
-    t = t.withColumn("z", z)
     category = F.when(F.col("n").isNull(), "not enough data").when(F.abs("z") <= Z_95, "stable").when(F.col("z") > 0, "increasing").otherwise("decreasing")
     return t.select(
-        *WELL, "record_count", "observation_count", "first_day", "last_day", F.round("span_years", 3).alias("span_years"), category.alias("trend_category"), F.col("s").alias("mk_s"),
-        F.round(F.col("s") / (F.col("n") * (F.col("n") - 1) / 2), 4).alias("mk_tau"), C.half_up(F.col("slope"), 2).alias("slope_per_year"),
+        *WELL, "record_count", "observation_count", *_times(), F.round("span_years", 3).alias("span_years"), C.half_up(F.col("slope"), 2).alias("slope_per_year"), F.lit(units).alias("slope_units"), category.alias("trend_category"),
+        C.half_up(F.col("p"), 4).alias("mk_p_value"), F.round(F.col("s") / (F.col("n") * (F.col("n") - 1) / 2), 4).alias("mk_tau"),
     )
 
 
-def recency(rows: DataFrame, as_of: str, stale_days: int = 365) -> DataFrame:
-    """Count, first and last reading, days since the last one, active or stale."""
-    end = F.unix_timestamp(F.lit(as_of).cast("timestamp"))
+def recency(rows: DataFrame, as_of: str | None, stale_days: int = 365, wells: DataFrame | None = None) -> DataFrame:
+    """Count, first and last reading, days since the last one; active, stale, or, without a usable ``as_of``, unknown.
+
+    With ``wells`` (source, id), one row for each of them whatever its series; those without a reading are
+    ``no data``.
+    """
+    end = F.unix_timestamp(F.lit(as_of).try_cast("timestamp"))
     days = F.floor((end - F.col("last")) / 86400)
-    seen = rows.groupBy(*WELL).agg(F.count(F.lit(1)).alias("observation_count"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    return seen.select(*WELL, "observation_count", iso_utc(F.col("first")).alias("first_observation"), iso_utc(F.col("last")).alias("last_observation"), days.alias("days_since_last"),
-                       F.when(days <= stale_days, "active").otherwise("stale").alias("status"))
+    keys = WELL[:2] if wells is not None else WELL
+    seen = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("record_count"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+    if wells is not None:
+        seen = wells.select(*keys).join(seen, keys, "left").withColumn("record_count", F.coalesce("record_count", F.lit(0).cast("long")))
+    state = F.when(F.col("record_count") == 0, "no data").when(days.isNull(), "unknown").when(days <= stale_days, "active").otherwise("stale")
+    return seen.select(*keys, "record_count", *_times(), days.alias("days_since_last"), state.alias("status"))
 
 
 def density(rows: DataFrame) -> DataFrame:
     """Readings, distinct days, span, mean interval and readings per year."""
-    span = (F.max("ts") - F.min("ts")) / JULIAN_YEAR_S
-    seen = rows.groupBy(*WELL).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("day").alias("days"), span.alias("span"))
-    return seen.select(*WELL, F.col("n").alias("observation_count"), F.col("days").alias("distinct_days"), F.round("span", 3).alias("span_years"),
-                       F.when(F.col("n") > 1, F.round(F.col("span") * 365.25 / (F.col("n") - 1), 1)).alias("mean_interval_days"), F.when(F.col("span") > 0, F.round(F.col("n") / F.col("span"), 2)).alias("observations_per_year"))
+    seen = _seen(daily(rows, "min"))
+    return seen.select(*WELL, "observation_count", "record_count", *_times(), F.round("span", 3).alias("span_years"),
+                       F.when(F.col("record_count") > 1, F.round(F.col("span") * 365.25 / (F.col("record_count") - 1), 1)).alias("mean_interval_days"),
+                       F.when(F.col("span") > 0, F.round(F.col("observation_count") / F.col("span"), 2)).alias("observations_per_year"))
 
 
 def change(rows: DataFrame, years: float = 5.0) -> DataFrame:
-    """Level at the end against the daily level nearest to ``years`` before it, within half of that time."""
+    """Level at the end against the daily level nearest to ``years`` before it, within half of that time; of equally near ones the earlier."""
     days = daily(rows, "min").withColumn("t", _noon())
-    ends = days.groupBy(*WELL).agg(F.max("t").alias("end"), F.max_by("value", "t").alias("end_value"))
+    ends = days.groupBy(*WELL).agg(F.max("t").alias("end"), F.max_by("value", "t").alias("end_value"), F.sum("n").alias("observation_count"), F.count(F.lit(1)).alias("days"))
     far = F.abs(F.col("t") - (F.col("end") - years * JULIAN_YEAR_S))
-    near = days.join(ends, WELL).withColumn("far", far).withColumn("ok", (F.col("far") <= years * JULIAN_YEAR_S / 2) & (F.col("t") < F.col("end")))
-    best = near.groupBy(*WELL, "end", "end_value").agg(
-        F.min_by(F.when(F.col("ok"), F.struct("value", "t")), F.when(F.col("ok"), F.struct("far", "t"))).alias("b"), F.sum(F.when(F.col("t") >= F.col("end") - years * JULIAN_YEAR_S, 1).otherwise(0)).alias("n_in_window")
-    )
-    end, start = C.half_up(F.col("end_value"), 2), C.half_up(F.col("b.value"), 2)
+    near = days.drop("n").join(ends, WELL).withColumn("far", far)
+    before = F.col("t") < F.col("end")
+    best = near.groupBy(*WELL, "end", "end_value", "observation_count", "days").agg(F.min_by(F.when(before, F.struct("value", "t", "far")), F.when(before, F.struct("far", "t"))).alias("b"))
+    ok = F.coalesce(F.col("b.far") <= years * JULIAN_YEAR_S / 2, F.lit(False))
+    best = best.withColumn("start", F.when(ok, F.col("b.t"))).withColumn("start_value", F.when(ok, F.col("b.value"))).drop("b")
+    counted = days.select(*WELL, "t").join(best, WELL).groupBy(*best.columns).agg(F.sum((F.col("t") >= F.col("start")).cast("long")).alias("n_in_window"))
+    pair = F.col("days") >= 2
+    end, start = F.when(pair, C.half_up(F.col("end_value"), 2)), C.half_up(F.col("start_value"), 2)
     diff = C.half_up(end - start, 2)
-    return best.select(
-        *WELL, end.alias("dtw_end"), iso_utc(F.col("end")).alias("end_date"), start.alias("dtw_start"), F.when(F.col("b").isNotNull(), iso_utc(F.col("b.t"))).alias("start_date"), diff.alias("change"), "n_in_window",
-        F.when(diff.isNull(), "insufficient").when(diff > 0, "declining").when(diff < 0, "rising").otherwise("stable").alias("direction"),
+    return counted.select(
+        *WELL, F.lit(float(years)).alias("window_years"), F.round((F.col("end") - F.col("start")) / JULIAN_YEAR_S, 3).alias("actual_window_years"), start.alias("dtw_start"), end.alias("dtw_end"),
+        F.when(F.col("start").isNotNull(), iso_utc(F.col("start"))).alias("start_date"), F.when(pair, iso_utc(F.col("end"))).alias("end_date"), diff.alias("change_ft"), F.lit("ft").alias("change_units"),
+        F.when(diff > 0, "declining").when(diff < 0, "rising").when(diff == 0, "stable").alias("direction"), F.coalesce("n_in_window", F.lit(0).cast("long")).alias("n_observations_in_window"), "observation_count",
+        F.when(diff.isNull(), "insufficient").otherwise("ok").alias("status"),
     )
 
 
 def status(rows: DataFrame, least: int = 10) -> DataFrame:
     """Midrank percentile of the latest daily level in the well's own record."""
     days = daily(rows, "min")
-    latest = days.groupBy(*WELL).agg(F.max_by("value", "day").alias("latest"), F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.percentile("value", F.lit(0.5)).alias("med"))
-    ranked = days.drop("n").join(latest, WELL).groupBy(*WELL, "latest", "n", "lo", "hi", "med").agg(F.sum((F.col("value") < F.col("latest")).cast("int")).alias("less"), F.sum((F.col("value") == F.col("latest")).cast("int")).alias("same"))
-    pct = F.when(F.col("n") >= least, 100 * (F.col("less") + 0.5 * F.col("same")) / F.col("n"))
-    return ranked.select(*WELL, F.col("n").alias("record_count"), C.half_up(F.col("latest"), 2).alias("latest"), C.half_up(F.col("lo"), 2).alias("min"), C.half_up(F.col("med"), 2).alias("median"), C.half_up(F.col("hi"), 2).alias("max"),
-                         C.half_up(pct, 1).alias("percentile"), C.status_class(pct).alias("status"))
+    latest = _seen(days, F.max_by("value", "day").alias("latest"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.percentile("value", F.lit(0.5)).alias("med"))
+    ranked = days.drop("n").join(latest, WELL).groupBy(*latest.columns).agg(F.sum((F.col("value") < F.col("latest")).cast("int")).alias("less"), F.sum((F.col("value") == F.col("latest")).cast("int")).alias("same"))
+    pct = F.when(F.col("record_count") >= least, C.half_up(100 * (F.col("less") + 0.5 * F.col("same")) / F.col("record_count"), 1))
+    two = lambda c, name: C.half_up(F.col(c), 2).alias(name)
+    return ranked.select(*WELL, "record_count", "observation_count", *_times(), F.round("span", 3).alias("span_years"), two("latest", "latest_dtw"), iso_utc(F.col("last")).alias("latest_dtw_date"), two("lo", "min_dtw"), two("med", "median_dtw"),
+                         two("hi", "max_dtw"), F.lit("ft").alias("dtw_units"), pct.alias("dtw_percentile"), C.status_class(pct).alias("status"))
 
 
 def seasonal(rows: DataFrame, least_days: int = 4) -> DataFrame:
-    """Range within each year with enough days: mean, largest and smallest, and the years of the latter."""
-    years = daily(rows, "min").groupBy(*WELL, F.year("day").alias("year")).agg((F.max("value") - F.min("value")).alias("a"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_days)
+    """Range within each year with enough days: mean, largest with its year, and smallest; wells without such a year are ``insufficient``."""
+    years = daily(rows, "min").groupBy(*WELL, F.year("day").alias("year")).agg((F.max("value") - F.min("value")).alias("a"), F.count(F.lit(1)).alias("d"), F.sum("n").alias("o"))
+    used = F.col("d") >= least_days
+    a = F.when(used, F.col("a"))
     return years.groupBy(*WELL).agg(
-        F.count(F.lit(1)).alias("n_years"), C.half_up(F.avg("a"), 2).alias("mean_amplitude"), C.half_up(F.max("a"), 2).alias("max_amplitude"), F.min_by("year", F.struct(-F.col("a"), "year")).alias("max_year"),
-        C.half_up(F.min("a"), 2).alias("min_amplitude"), F.min_by("year", F.struct("a", "year")).alias("min_year"),
+        F.sum("d").alias("record_count"), F.sum("o").alias("observation_count"), F.count(F.lit(1)).alias("n_years_with_data"), F.sum(used.cast("long")).alias("n_years_used"), F.first(F.lit("ft")).alias("amplitude_units"),
+        C.half_up(F.avg(a), 2).alias("mean_amplitude_ft"), C.half_up(F.max(a), 2).alias("max_amplitude_ft"), F.min_by("year", F.when(used, F.struct(-F.col("a"), "year"))).alias("max_amplitude_year"),
+        C.half_up(F.min(a), 2).alias("min_amplitude_ft"), F.when(F.max(a).isNull(), "insufficient").otherwise("ok").alias("status"),
     )
 
 
 def depletion(rows: DataFrame, sites: DataFrame) -> DataFrame:
-    """Years until a falling level reaches the bottom of the well."""
+    """Years until a falling level reaches the bottom of the well, or why there are none."""
     from ..operators.silver import wells
 
-    days = daily(rows, "min")
-    last = days.groupBy(*WELL).agg(F.max_by("value", "day").alias("latest"), F.max("day").alias("last_day"))
+    last = daily(rows, "min").groupBy(*WELL).agg(F.max_by("value", "day").alias("latest"), F.max("day").alias("last_day"))
     depth = wells(sites).select(F.col("source_key").alias("source"), "id", F.when(~F.isnan("well_depth"), C.length_in(F.col("well_depth"), F.col("well_depth_units"), "ft")).alias("depth_ft"))
-    t = trends(rows, "min").select(*WELL, "trend_category", "slope_per_year")
+    t = trends(rows, "min")
     joined = last.join(t, WELL).join(depth, ["source", "id"], "left")
-    left = C.half_up(F.col("depth_ft") - F.col("latest"), 2)
-    usable = (F.col("trend_category") == "increasing") & (F.col("slope_per_year") > 0) & (left > 0)
-    years = F.when(usable, C.half_up(left / F.col("slope_per_year"), 1))
-    return joined.select(*WELL, "trend_category", "slope_per_year", C.half_up(F.col("latest"), 2).alias("latest"), C.half_up(F.col("depth_ft"), 2).alias("depth_ft"), left.alias("remaining_ft"), years.alias("years_to_depletion"),
-                         (F.year("last_day") + years).cast("int").alias("depletion_year"))
+    falling = (F.col("trend_category") == "increasing") & (F.col("slope_per_year") > 0)
+    left = F.when(falling, C.half_up(F.col("depth_ft") - F.col("latest"), 2))
+    years = F.when(left > 0, C.half_up(left / F.col("slope_per_year"), 1))
+    state = F.when(F.col("trend_category") == "not enough data", "not enough data").when(~falling, "not declining").when(F.col("depth_ft").isNull(), "no well depth").when(left <= 0, "dtw exceeds well depth").otherwise("projected")
+    category = F.when(F.col("trend_category") != "not enough data", F.col("trend_category"))
+    return joined.select(*WELL, "record_count", "observation_count", "span_years", category.alias("trend_category"), F.col("slope_per_year").alias("slope_ft_per_year"), C.half_up(F.col("latest"), 2).alias("latest_dtw"),
+                         iso_utc(F.unix_date("last_day").cast("long") * 86400).alias("latest_dtw_date"), left.alias("remaining_ft"), years.alias("years_to_depletion"), (F.year("last_day") + years).cast("int").alias("projected_depletion_year"),
+                         state.alias("status"))
