@@ -121,7 +121,7 @@ BUILDERS = {
     "waterlevel_status": lambda t, p: series.status(t.of(p), **p.params),
     "seasonal_amplitude": lambda t, p: series.seasonal(t.of(p), **p.params),
     "depletion_projection": lambda t, p: series.depletion(t.of(p), t.sites),
-    "well_correlation": lambda t, p: correlation.crosswalk(t.sites),
+    "well_correlation": lambda t, p: correlation.crosswalk(t.sites, t.pods),
     "well_density": lambda t, p: spatial.density(t.sites, t.counties),
     "pod_age_by_county": lambda t, p: spatial.completions_by_region(t.pods, t.counties, int(t.as_of[:4]), **p.params),
     "pod_age_points": lambda t, p: spatial.completion_points(t.pods, t.counties, int(t.as_of[:4]), **p.params),

@@ -516,18 +516,23 @@ _POD_TABLE = (
 )
 _NORM = "regexp_replace(upper(trim(coalesce({}, ''))), '\\s+', ' ', 'g')".format
 _BARE = "regexp_replace({}, '^(USGS-|USGS:|NWIS-|NWIS:)', '')".format
-#: The crosswalk's canonical wells with what they are known by and refer to.
+_STATIONS = "regexp_extract_all(regexp_replace({}, '([^0-9 \t])', '\\1\\1', 'g'), '(?:^|[^0-9])([0-9]{{6}}[ \t]?[0-9]{{8,9}})(?:[^0-9]|$)', 1)".format
+#: The crosswalk's canonical wells, points of diversion among them, with what they are known by and refer to.
 CANON = rf"""
-c as (select * from (select *, {_NORM('source')} || ':' || trim(id) as site_key, row_number() over (partition by {_NORM('source')} || ':' || trim(id) order by site_uid) as rn from sites where source is not null and id is not null) where rn = 1),
-known as (select distinct site_key, unnest([{_NORM('id')}, {_BARE(_NORM('id'))}, {_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c),
+sited as (select site_uid, source, id, name, latitude, longitude, elevation, elevation_units, well_depth, well_depth_units, usgs_site_id, alternate_site_id from sites
+  union all select pod_uid, source, id, name, latitude, longitude, null, null, well_depth, well_depth_units, null, null from pod_sites),
+c as (select * from (select *, {_NORM('source')} || ':' || trim(id) as site_key, row_number() over (partition by {_NORM('source')} || ':' || trim(id) order by site_uid) as rn from sited where source is not null and id is not null) where rn = 1),
+named as (select distinct site_key, unnest([{_NORM('id')}, {_BARE(_NORM('id'))}, {_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c),
 alt as (select site_key, unnest(regexp_split_to_array(coalesce(alternate_site_id, ''), '[,;|/\n\t ]+')) as t from c),
-stations as (select site_key, regexp_replace(unnest(regexp_extract_all(coalesce(usgs_site_id, '') || '||' || coalesce(alternate_site_id, ''), '(?:^|[^0-9])([0-9]{{6}}[ \t]?[0-9]{{8,9}})(?:[^0-9]|$)', 1)), '[ \t]', '', 'g') as k from c),
-refs as (select site_key, unnest([{_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c union select site_key, unnest([{_NORM('t')}, {_BARE(_NORM('t'))}]) from alt union select site_key, k from stations),
+own_numbers as (select site_key, regexp_replace(unnest(list_concat({_STATIONS("coalesce(id, '')")}, {_STATIONS("coalesce(usgs_site_id, '')")}, {_STATIONS("coalesce(name, '')")})), '[ \t]', '', 'g') as k from c),
+other_numbers as (select site_key, regexp_replace(unnest(list_concat({_STATIONS("coalesce(alternate_site_id, '')")}, {_STATIONS("coalesce(usgs_site_id, '')")}, {_STATIONS("coalesce(name, '')")})), '[ \t]', '', 'g') as k from c),
+known as (select site_key, k from named union select site_key, k from own_numbers),
+refs as (select site_key, unnest([{_NORM('usgs_site_id')}, {_BARE(_NORM('usgs_site_id'))}]) as k from c union select site_key, unnest([{_NORM('t')}, {_BARE(_NORM('t'))}]) from alt union select site_key, k from other_numbers),
 explicit as (select distinct least(r.site_key, k.site_key) as a, greatest(r.site_key, k.site_key) as b from refs r join known k using (k) where r.site_key <> k.site_key and regexp_matches(k, '[1-9]'))"""
 _FT = "case when lower(trim({u})) in ('m', 'meters') then {v} * 3.28084 else {v} end".format
 SPATIAL = rf"""
 w as (select site_key, site_uid, source, latitude, longitude, case when not isnan(well_depth) then {_FT(v='well_depth', u='well_depth_units')} end as dep, case when not isnan(elevation) then {_FT(v='elevation', u='elevation_units')} end as ele,
-  list_distinct(list_filter(regexp_split_to_array(upper(coalesce(name, '')), '[^\p{{L}}\p{{N}}]+'), lambda t: length(t) >= 3)) as tok from c where {_OK}),
+  list_distinct(list_filter(regexp_split_to_array(upper(coalesce(name, '')), '[^\p{{L}}\p{{N}}]+') || regexp_split_to_array(upper(id), '[^\p{{L}}\p{{N}}]+'), lambda t: length(t) >= 3)) as tok from c where {_OK}),
 near as (select x.site_key as a, y.site_key as b, x.source as a_source, y.source as b_source, abs(x.dep - y.dep) as dd, abs(x.ele - y.ele) as de, list_has_any(x.tok, y.tok) as tok,
   2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians(y.latitude - x.latitude) / 2), 2) + cos(radians(x.latitude)) * cos(radians(y.latitude)) * pow(sin(radians(y.longitude - x.longitude) / 2), 2)))) as m
   from w x join w y on y.latitude between x.latitude - 0.0014 and x.latitude + 0.0014 and x.site_key < y.site_key and x.source <> y.source),
@@ -596,23 +601,27 @@ def pod_age_points(spark, sf_dir):
     return spatial.completion_points(table(spark, sf_dir, "pod_sites"), table(spark, sf_dir, "counties"), AS_OF_YEAR)
 
 
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return correlation.canonical(correlation.with_pods(table(spark, sf_dir, "sites"), table(spark, sf_dir, "pod_sites")))
+
+
 @query(f"with {CANON} select a, b from explicit")
 def explicit_links(spark, sf_dir):
-    return correlation.explicit_links(correlation.canonical(table(spark, sf_dir, "sites")))
+    return correlation.explicit_links(_canonical(spark, sf_dir)).select("a", "b")
 
 
 def _rounded_links(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("distance_m", F.round("distance_m", 3)).withColumn("confidence", F.round("confidence", 3))
+    return rows.drop("a_uid", "b_uid").withColumn("distance_m", F.round("distance_m", 3)).withColumn("confidence", F.round("confidence", 3))
 
 
 @query(f"with {CANON}, {SPATIAL} select a, b, a_source, b_source, round(distance_m, 3) as distance_m, round(confidence, 3) as confidence from spatial")
 def spatial_links(spark, sf_dir):
-    return _rounded_links(correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites"))))
+    return _rounded_links(correlation.spatial_links(_canonical(spark, sf_dir)))
 
 
 @query(f"with {CANON}, {SPATIAL} select a, b, a_source, b_source, round(distance_m, 3) as distance_m, round(confidence, 3) as confidence from spatial join mutual using (a, b)")
 def mutual_best(spark, sf_dir):
-    return _rounded_links(correlation.mutual_best(correlation.spatial_links(correlation.canonical(table(spark, sf_dir, "sites")))))
+    return _rounded_links(correlation.mutual_best(correlation.spatial_links(_canonical(spark, sf_dir))))
 
 
 _WALK = rf"""with recursive {CANON}, {SPATIAL},
@@ -621,24 +630,24 @@ ab as (select a, b from links union select b, a from links),
 reach as (select a as node, a as other from ab union select reach.node, ab.b from reach join ab on reach.other = ab.a),
 root as (select node, min(other) as root from reach group by node),
 per as (select root, max(e) as e, max(s) as s, max(best) as best from links join root on root.node = links.a group by root),
-size as (select root, count(*) as cluster_size, count(distinct source) as n_agencies from root join c on c.site_key = root.node group by root),
-walk as (select node as site_key, c.source, c.id, root as cluster_key, 'wc_' || substr(sha1(root), 1, 12) as component_id, cluster_size, n_agencies, case when e = 1 and s = 1 then 'mixed' when e = 1 then 'explicit' else 'spatial' end as method,
-  case when e = 1 then 0.95 else round(best, 3) end as confidence from root join c on c.site_key = root.node join per using (root) join size using (root))"""
-
-@query(_WALK.replace("'wc_' || substr(sha1(root), 1, 12) as component_id, ", "") + " select * from walk")
+nodes as (select c.*, coalesce(root, site_key) as root, {_NORM('source')} as agency, {_NORM('source')} = 'NMOSEPOD' as is_ose_pod from c left join root on root.node = c.site_key),
+groups as (select root, count(*) as cluster_size, count(distinct agency) as n_agencies, 'wc_' || substr(sha1(string_agg(site_key, '|' order by site_key)), 1, 12) as cluster_id, bool_or(is_ose_pod) as has_pod from nodes group by root),
+others as (select x.site_key, y.site_key as other, y.agency, y.id, y.is_ose_pod from nodes x join nodes y using (root) where x.site_key <> y.site_key),
+listed as (select site_key, string_agg(other, ',' order by other) as linked_site_ids, string_agg(distinct case when is_ose_pod then id end, ',' order by case when is_ose_pod then id end) as pods from others group by site_key),
+per_agency as (select site_key, agency, '"' || agency || '": [' || string_agg('"' || id || '"', ', ' order by id) || ']' as part from others group by site_key, agency),
+json as (select site_key, '{{' || string_agg(part, ', ' order by agency) || '}}' as linked_by_agency from per_agency group by site_key),
+meet as (select m.root, p.id, 2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians(p.latitude - m.latitude) / 2), 2) + cos(radians(m.latitude)) * cos(radians(p.latitude)) * pow(sin(radians(p.longitude - m.longitude) / 2), 2)))) as m
+  from (select * from nodes join groups using (root) where not has_pod and {_OK}) m join (select * from nodes where is_ose_pod and {_OK}) p on p.latitude between m.latitude - 0.0014 and m.latitude + 0.0014),
+pod_near as (select root, first(id order by m, id) as near_pod from meet where m <= 150 group by root)
+select site_key, source, id, name, well_depth, cluster_id, cluster_size, n_agencies, cluster_size - 1 as n_linked, coalesce(linked_site_ids, '') as linked_site_ids, coalesce(linked_by_agency, '{{}}') as linked_by_agency, coalesce(near_pod, pods, '') as ose_pod_ids,
+  case when near_pod is not null then 'spatial' when pods is not null then 'explicit' else 'none' end as ose_pod_link_method, case when cluster_size = 1 then 'unmatched' when e = 1 and s = 1 then 'mixed' when e = 1 then 'explicit' else 'spatial' end as match_method,
+  case when cluster_size = 1 then 0.0 when e = 1 then 0.95 else round(best, 3) end::double as match_confidence, is_ose_pod
+from nodes join groups using (root) left join per using (root) left join listed using (site_key) left join json using (site_key) left join pod_near using (root)"""
+
+
+@query(_WALK)
 def well_correlation(spark, sf_dir):
-    return correlation.crosswalk(table(spark, sf_dir, "sites")).drop("component_id")
-
-
-@query()
-def component_id(spark, sf_dir):
-    return correlation.crosswalk(table(spark, sf_dir, "sites")).select("site_key", "component_id")
-
-
-@query(_WALK.replace("'wc_' || substr(sha1(root), 1, 12) as component_id, ", "") + """, per_source as (select cluster_key, source, string_agg(distinct id, ',' order by id) as ids from walk group by all)
-select cluster_key, string_agg(source || '=' || ids, ';' order by source || '=' || ids) as linked_by_agency from per_source group by cluster_key""")
-def linked_by_agency(spark, sf_dir):
-    return correlation.linked_by_agency(correlation.crosswalk(table(spark, sf_dir, "sites")))
+    return correlation.crosswalk(table(spark, sf_dir, "sites"), table(spark, sf_dir, "pod_sites"))
 
 
 @query("""with s as (select site_uid, latitude as la, longitude as lo from sites where latitude is not null and longitude is not null and latitude <> 0 and longitude <> 0 and abs(latitude) <= 90 and abs(longitude) <= 180),
