@@ -122,6 +122,50 @@ def test_like_named_sites_apart_are_no_rivals(spark):
     assert set(got) == {(i, 100 + i) for i in range(12)} and min(got.values()) > 0.7
 
 
+def optimum(pairs, rules, steps=60_000):
+    """The minimum of the same hinges by projected gradient descent, pairs of wells included."""
+    groups = sorted({(p["l_well"], p["r_well"]) for p in pairs})
+    of = np.array([groups.index((p["l_well"], p["r_well"])) for p in pairs])
+    w = 1 / np.bincount(of)[of]
+    y, z = np.full(len(pairs), 0.5), np.full(len(groups), 0.5)
+    up, down, member = (np.array([p[c] if c == "member" else sum(p[c]) for p in pairs]) for c in ("up", "down", "member"))
+    for _ in range(steps):
+        gy, gz = -2 * up * (1 - y) + 2 * down * y, np.zeros(len(groups))
+        for side, weight in (("l_well", rules.exclusive_left), ("r_well", rules.exclusive)):
+            for g in {p[side] for p in pairs}:
+                m = np.array([p[side] == g for p in pairs])
+                gy[m] += 2 * weight * max(0.0, (w[m] * y[m]).sum() - 1) * w[m]
+        one, two = np.maximum(0, y + member - 1 - z[of]), np.maximum(0, z[of] + member - 1 - y)
+        gy += 2 * rules.transitive * (one - two)
+        np.add.at(gz, of, 2 * rules.transitive * (two - one))
+        y, z = np.clip(y - 0.003 * gy, 0, 1), np.clip(z - 0.003 * gz, 0, 1)
+    return y
+
+
+@pytest.mark.parametrize("hot", [100_000, 1])
+def test_alternating_directions_reach_the_minimum(spark, hot):
+    rng = np.random.default_rng(8)
+    pairs = [{"l": i, "r": int(rng.integers(0, 4)), "l_well": int(rng.integers(0, 5)), "r_well": int(rng.integers(0, 4)), "member": float(rng.choice([1.0, 0.9])), "up": [float(x) for x in rng.uniform(0.5, 4, 3)], "down": [1.8, float(rng.uniform(0.1, 3))]} for i in range(14)]
+    pairs.append({"l": 99, "r": 99, "l_well": 99, "r_well": 99, "member": 1.0, "up": [3.0], "down": [1.8]})
+    rules = linkage.Rules(rounds=200, block=20, tolerance=1e-4, hot=hot)
+    df = spark.createDataFrame(pairs, "l long, r long, l_well long, r_well long, member double, up array<double>, down array<double>")
+    got = {(r.l, r.r): r.confidence for r in linkage.solve(df, rules).collect()}
+    want = optimum(pairs, rules)
+    assert max(abs(got[p["l"], p["r"]] - y) for p, y in zip(pairs, want)) < 5e-3
+
+
+def test_rules_between_pairs_decide(spark):
+    """Of two sites that could be one well of the other table only the better stays; a poorly described copy follows its well."""
+    from dataclasses import replace
+
+    left = [(1, "S", "a", "Kelstow Bluff 9", 34.0, -106.0, 300.0, "ft", "", 1), (2, "T", "b", None, 34.0005, -106.0, 301.0, "ft", "", 1), (3, "U", "c", "Rusimphar Llano 4", 35.0, -106.0, 200.0, "ft", "", 1), (4, "u", "C ", None, None, None, None, "ft", "", 1)]
+    right = [(101, "P", "p", "Kelstow Bluff 9", 34.0001, -106.0, 300.0, "ft", "", 1), (102, "P", "q", "Rusimphar Llano 4", 35.0001, -106.0, 201.0, "ft", "", 1)]
+    l, r = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    found = lambda **kw: {(x.site_uid, x.pod_uid) for x in linkage.match(l, r, replace(linkage.Rules(), **kw)).collect()}
+    assert found() == {(1, 101), (3, 102), (4, 102)}
+    assert found(exclusive=0.0) == {(1, 101), (2, 101), (3, 102), (4, 102)}
+
+
 def test_sites_of_one_well(spark):
     name = "Kelstow Bluff 9"
     rows = [
