@@ -93,7 +93,32 @@ def test_crosswalk_ignores_row_order(spark):
             (4, "ST2/Y", "8", "A well", 34.0003, -106.0001, None, None, 300.0, "ft", None, None)]
     a = {tuple(r) for r in correlation.crosswalk(spark.createDataFrame(rows, schema)).collect()}
     b = {tuple(r) for r in correlation.crosswalk(spark.createDataFrame(rows[::-1], schema).repartition(3)).collect()}
-    assert a == b and {(r[1], r[7], r[8]) for r in a} == {("NMBGMR", "mixed", 0.95), ("USGS-NWIS", "mixed", 0.95), ("ST2/X", "mixed", 0.95)}
+    assert a == b and {(r[1], r[13], r[14]) for r in a} == {("NMBGMR", "mixed", 0.95), ("USGS-NWIS", "mixed", 0.95), ("ST2/X", "mixed", 0.95), ("ST2/Y", "unmatched", 0.0)}
+
+
+def test_crosswalk_members_and_points_of_diversion(spark):
+    import hashlib
+
+    schema = "site_uid long, source string, id string, name string, latitude double, longitude double, elevation double, elevation_units string, well_depth double, well_depth_units string, usgs_site_id string, alternate_site_id string"
+    blank = (None, None, None, None)
+    rows = [
+        (1, "A", "a1", None, 34.0, -106.0, *blank, None, "b1 LV-1"), (2, "B", "b1", None, 36.0, -106.0, *blank, None, None), (3, "NMOSEPOD", "LV-1", None, 33.0, -105.0, *blank, None, None), (4, "C", "c1", None, 35.0, -106.0, *blank, None, None),
+        (5, "NMOSEPOD", "LV-3", None, 35.0009, -106.0, *blank, None, None), (6, "NMOSEPOD", "LV-2", None, 35.0009, -106.0, *blank, None, None), (7, "D", "d1", "Well 364643 108143801", None, None, *blank, None, None), (8, "E", "USGS-364643108143801", None, None, None, *blank, None, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.site_key: r for r in correlation.crosswalk(df).collect()}
+    a = got["A:a1"]
+    assert (a.linked_site_ids, a.linked_by_agency, a.ose_pod_ids, a.ose_pod_link_method, a.n_linked) == ("B:b1,NMOSEPOD:LV-1", '{"B": ["b1"], "NMOSEPOD": ["LV-1"]}', "LV-1", "explicit", 2)
+    assert a.cluster_id == "wc_" + hashlib.sha1(b"A:a1|B:b1|NMOSEPOD:LV-1").hexdigest()[:12]
+    assert got["NMOSEPOD:LV-1"].ose_pod_link_method == "none" and got["NMOSEPOD:LV-1"].is_ose_pod
+    assert got["D:d1"].cluster_id == got["E:USGS-364643108143801"].cluster_id and got["D:d1"].match_method == "explicit"
+    c = got["C:c1"]
+    assert {c.match_method, got["NMOSEPOD:LV-2"].match_method} == {"spatial"} and c.ose_pod_link_method == "explicit" and c.ose_pod_ids == "LV-2"
+    big = {r.site_key: r for r in correlation.crosswalk(df, most_listed=2).collect()}
+    assert big["A:a1"].linked_site_ids is None and big["A:a1"].cluster_id == big["B:b1"].cluster_id != a.cluster_id and big["A:a1"].n_linked == 2
+    deep = df.withColumn("well_depth", F.when(F.col("source") == "C", 500.0).when(F.col("source") == "NMOSEPOD", 10.0)).withColumn("well_depth_units", F.lit("ft"))
+    lone = {r.site_key: r for r in correlation.crosswalk(deep).collect()}["C:c1"]
+    assert (lone.match_method, lone.ose_pod_ids, lone.ose_pod_link_method) == ("unmatched", "LV-2", "spatial")
 
 
 def test_chain_labels(spark):

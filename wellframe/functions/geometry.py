@@ -62,6 +62,26 @@ def inside(region: Region, x: np.ndarray, y: np.ndarray, boundary: bool = True)
     return out
 
 
+def outline_distance_m(region: Region, x: np.ndarray, y: np.ndarray, within: float = np.inf) -> np.ndarray:
+    """Metres from each point to the region's outline, on a plane around the point; infinite where its box is further than ``within``."""
+    out = np.full(len(x), np.inf)
+    metre = np.pi * EARTH_RADIUS_M / 180
+    x_min, y_min, x_max, y_max = region.bounds
+    reach = within / metre * 1.01
+    wide = reach / np.maximum(0.01, np.cos(np.radians(np.abs(y) + min(reach, 80))))
+    near = np.flatnonzero((x >= x_min - wide) & (x <= x_max + wide) & (y >= y_min - reach) & (y <= y_max + reach))
+    step = max(1, 1_000_000 // max(1, len(region.x1)))
+    for at in range(0, len(near), step):
+        i = near[at : at + step]
+        across = np.cos(np.radians(y[i]))[:, None] * metre
+        ax, ay, bx, by = (region.x1 - x[i, None]) * across, (region.y1 - y[i, None]) * metre, (region.x2 - x[i, None]) * across, (region.y2 - y[i, None]) * metre
+        dx, dy = bx - ax, by - ay
+        length = dx * dx + dy * dy
+        t = np.clip(-(ax * dx + ay * dy) / np.where(length > 0, length, 1), 0, 1)
+        out[i] = np.hypot(ax + t * dx, ay + t * dy).min(axis=1)
+    return out
+
+
 def haversine_m(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
     """Great-circle distance in metres."""
     a1, a2 = np.radians(lat1), np.radians(lat2)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .nearby import usable_point
+from ..functions.geometry import inside, outline_distance_m, parse_wkt
+from .nearby import containing_regions, usable_point
 
 DATUMS = ["NAD27", "NAD83", "WGS84"]
 
@@ -21,6 +24,36 @@ def sane_coordinates(df: DataFrame, datum: bool = False) -> DataFrame:
     return kept.where(F.upper(F.trim(F.coalesce("horizontal_datum", F.lit("WGS84")))).isin(*DATUMS)) if datum else kept
 
 
+def in_area(df: DataFrame, key: str, regions: DataFrame, wkt: str = "geometry", boundary: bool = False) -> DataFrame:
+    """Points inside one of the regions (WKT), by default strictly; rows without a key or usable coordinates drop out."""
+    held = containing_regions(df.where(F.col(key).isNotNull()), key, "latitude", "longitude", regions.select(F.monotonically_increasing_id().alias("_area"), F.col(wkt).alias("_wkt")), "_area", "_wkt", boundary)
+    return df.join(held.select(F.col("point_key").alias(key)).distinct(), key, "left_semi")
+
+
+def near_area(df: DataFrame, key: str, regions: DataFrame, metres: float, wkt: str = "geometry", most_regions: int = 1_000) -> DataFrame:
+    """Points inside one of the regions or at most ``metres`` from its outline (a state with its buffer).
+
+    Distances are taken on a plane around the point (longitudes shortened by the latitude), which for buffers
+    of some kilometres errs by less than a thousandth. At most ``most_regions`` outlines go to every task (checked).
+    """
+    rows = regions.select(wkt).limit(most_regions + 1).collect()
+    if len(rows) > most_regions:
+        raise ValueError(f"more than {most_regions} regions")
+    shapes = df.sparkSession.sparkContext.broadcast([parse_wkt(None, r[0]) for r in rows])
+    held = df.where(F.col(key).isNotNull() & usable_point(F.col("latitude"), F.col("longitude"))).select(F.col(key).alias("_key"), F.col("longitude").cast("double").alias("x"), F.col("latitude").cast("double").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
+            hit = np.zeros(len(x), bool)
+            for shape in shapes.value:
+                hit |= inside(shape, x, y) | (outline_distance_m(shape, x, y, metres) <= metres)
+            yield batch.select(["_key"]).filter(pa.array(hit))
+
+    near = held.mapInArrow(run, f"_key {df.schema[key].dataType.simpleString()}")
+    return df.join(near.withColumnRenamed("_key", key).distinct(), key, "left_semi")
+
+
 def between_days(rows: DataFrame, first: str, last: str) -> DataFrame:
     return rows.where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
@@ -36,22 +69,6 @@ def clean_results(results: DataFrame) -> DataFrame:
     return results.where(F.col("value_text").isNotNull() & (v != "") & (v != "-999999") & F.col("date_measured").isNotNull())
 
 
-def conductivity_kind(results: DataFrame) -> DataFrame:
-    """Conductivities by whether they are given at 25 degrees."""
-    u = F.lower(F.coalesce("source_parameter_units", F.lit("")))
-    kind = F.when(u.contains("25c") | u.contains("25 deg c"), "specific_conductance").otherwise("conductivity")
-    return results.where(F.col("parameter_name").isin("conductivity", "specific_conductance")).withColumn("kind", kind)
-
-
-def preferred_tds(results: DataFrame) -> DataFrame:
-    """One dissolved-solids result per well and date: the preferred unit, then the smaller result_id."""
-    u = F.lower(F.trim("source_parameter_units"))
-    rank = F.when(u == "mg/l", 1).when(u == "ppm", 2).otherwise(3)
-    w = Window.partitionBy("source", "id", "date_measured").orderBy(rank, "result_id")
-    kept = results.where((F.col("parameter_name") == "tds") & F.col("value_text").isNotNull() & (F.trim("value_text") != ""))
-    return kept.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-
-
 def first_sites_with_readings(wells: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     """The first ``n`` wells, by key, that have a reading."""
     seen = rows.select(F.col("source").alias("source_key"), "id")

@@ -13,6 +13,8 @@ from ..operators import filters, silver
 from ..operators.nearby import containing_regions
 from ..products import chemistry, correlation, series, spatial
 from ..session import table
+from ..sources import providers
+from . import unify
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -253,15 +255,33 @@ def clean_filter(spark, sf_dir):
     return filters.clean_results(table(spark, sf_dir, "lab_results")).select("result_id")
 
 
-@query("select result_id, case when lower(coalesce(source_parameter_units, '')) like '%25c%' or lower(coalesce(source_parameter_units, '')) like '%25 deg c%' then 'specific_conductance' else 'conductivity' end as kind from lab_results where parameter_name in ('conductivity', 'specific_conductance')")
+#: Lab results as the portal would deliver them: names, activities, codes and temperature bases.
+_PORTAL = """portal as (select result_id, id as site, case parameter_name when 'tds' then 'Total dissolved solids' when 'conductivity' then 'Specific conductance' when 'specific_conductance' then 'Specific conductance' end as name, value_text as value,
+  case when result_id % 11 > 0 then id || '/' || coalesce(date_measured, '') end as activity, ['70301', '70303', '70300', '30000'][cast(result_id % 4 as integer) + 1] as code,
+  case when lower(source_parameter_units) like '%25c%' or lower(source_parameter_units) like '%25 deg c%' or result_id % 3 = 0 then ' 25 deg C ' end as basis from lab_results where trim(value_text) <> '')"""
+
+
+def _portal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, n, u = F.col("parameter_name"), F.col("result_id"), F.lower("source_parameter_units")
+    name = F.when(p == "tds", "Total dissolved solids").when(p.isin("conductivity", "specific_conductance"), "Specific conductance")
+    return table(spark, sf_dir, "lab_results").select(
+        n, F.col("id").alias("MonitoringLocationIdentifier"), name.alias("CharacteristicName"), F.col("value_text").alias("ResultMeasureValue"), F.when(n % 11 > 0, F.concat("id", F.lit("/"), F.coalesce("date_measured", F.lit("")))).alias("ActivityIdentifier"),
+        F.element_at(F.array(*map(F.lit, ("70301", "70303", "70300", "30000"))), (n % 4).cast("int") + 1).alias("USGSPCode"), F.when(u.contains("25c") | u.contains("25 deg c") | (n % 3 == 0), " 25 deg C ").alias("ResultTemperatureBasisText"),
+    )
+
+
+@query(f"with {_PORTAL} select result_id, case when trim(coalesce(basis, '')) in ('25 deg C', '25 Deg C') then 'specific_conductance' else 'conductivity' end as kind from portal where name = 'Specific conductance'")
 def conductivity_split(spark, sf_dir):
-    return filters.conductivity_kind(table(spark, sf_dir, "lab_results")).select("result_id", "kind")
+    raw = _portal(spark, sf_dir)
+    kinds = [providers.portal_results(raw, k).select("result_id", F.lit(k).alias("kind")) for k in ("conductivity", "specific_conductance")]
+    return kinds[0].unionByName(kinds[1])
 
 
-@query("""select result_id from (select result_id, row_number() over (partition by source, id, date_measured order by case lower(trim(source_parameter_units)) when 'mg/l' then 1 when 'ppm' then 2 else 3 end, result_id) as r
-from lab_results where parameter_name = 'tds' and value_text is not null and trim(value_text) <> '') where r = 1""")
+@query(f"""with {_PORTAL}, k as (select *, row_number() over (partition by site, activity order by case code when '70300' then 1 when '70301' then 2 when '70303' then 3 else 4 end, value desc) as r from portal where name = 'Total dissolved solids')
+select site, activity, code, value from k where r = 1 or activity is null""")
 def tds_dedup(spark, sf_dir):
-    return filters.preferred_tds(table(spark, sf_dir, "lab_results")).select("result_id")
+    kept = providers.portal_results(_portal(spark, sf_dir), "tds")
+    return kept.select(F.col("MonitoringLocationIdentifier").alias("site"), F.col("ActivityIdentifier").alias("activity"), F.col("USGSPCode").alias("code"), F.col("ResultMeasureValue").alias("value"))
 
 
 @query(f"with {READINGS}, {WELLS} select site_uid from wells where exists (select 1 from rd where rd.source = wells.source_key and rd.id = wells.id) order by site_uid limit 100")
@@ -656,3 +676,44 @@ d as (select site_uid, pod_uid, 2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(rad
 select site_uid, first(pod_uid order by m, pod_uid) as pod_uid, round(min(m), 3) as distance_m from d where m <= 150 group by site_uid""")
 def pod_nearest(spark, sf_dir):
     return correlation.nearest_pods(table(spark, sf_dir, "sites"), table(spark, sf_dir, "pod_sites"))
+
+
+# --- landed rows to products as one plan ---------------------------------------------------------
+
+_UNIFIED = f"""{WELLS},
+u as (select *, lower(trim(parameter_name)) as p, lower(trim(source_parameter_units)) as un, lower(trim(source_parameter_name)) as sn, trim(value_text) as vt, split_part(trim(date_measured), '.', 1) as t,
+  case when parameter_name = 'waterlevels' then 'ft' when parameter_name in ('conductivity', 'specific_conductance') then 'uS/cm' when parameter_name = 'ph' then '' else 'mg/L' end as units from lab_results),
+f as (select *, case when regexp_matches(value_text, '^\\s*[-+]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?\\s*$') then try_cast(vt as double) end as number,
+  case when p = 'ph' then 1.0 when p in ('conductivity', 'specific_conductance') then case when un in ('μmhos/cm', 'umho/cm', 'cm-1', 'micromhos per centimeter', 'mg/l', 'su', 'us/cm', 'us/cm @25c', 'µs/cm', 'μs/cm') then 1.0 end
+  when units = 'mg/L' then case when un in ('mg/l caco3', 'mg/l caco3**') then case p when 'bicarbonate' then 1.22 when 'calcium' then 0.4 when 'carbonate' then 0.6 end
+    when un = 'mg/l as n' then 4.427 when un in ('mg/l asno3', 'mg/l as no3') then 1.0 when un = 'ug/l as n' then 0.004427 when un = 'pci/l' then 0.00149 when un in ('ug/l', 'ppb') then 0.001
+    when un = 'tons/ac ft' then 735.47 when un = 'ppm' then 1.0 when un = 'mg/l' then case when sn in ('nitrate as n', 'nitrate (as n)') then 4.427 else 1.0 end end
+  when units = 'ft' then case when un in ('m', 'meters') then 3.28084 when un in ('ft', 'feet') then 1.0 end end::double as factor,
+  case when regexp_full_match(t, '[-+]?[0-9]{{1,6}}') then cast(cast(date '1900-01-01' + cast(t as integer) as date) as varchar)
+  when regexp_full_match(t, '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}([T ][0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}}(Z|\\+00:00)?)?)?') then cast(try_cast(substr(t, 1, 10) as date) as varchar)
+  when regexp_full_match(t, '[0-9]{{4}}/[0-9]{{1,2}}/[0-9]{{1,2}}( [0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}})?)?') then cast(try_cast(replace(substr(t, 1, 10), '/', '-') as date) as varchar)
+  when regexp_full_match(t, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') then cast(try_strptime(t, '%m/%d/%Y')::date as varchar)
+  when regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}') then t end as day,
+  case when regexp_matches(t, '[T ][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}') and substr(t, 12, 8) <> '00:00:00' then substr(t, 12, 8) else coalesce(strftime(try_strptime(trim(time_measured), ['%H:%M:%S', '%H:%M']), '%H:%M:%S'), '00:00:00') end as clock from u),
+g as (select *, coalesce(number, case when regexp_matches(lower(vt), 'nd|not detected|< mrl|< mdl|<mrl|<mdl') then 0.0 end) as coerced from f),
+j as (select g.*, w.site_uid, coalesce(w.latitude is not null and w.longitude is not null and w.latitude <> 0 and w.longitude <> 0 and abs(w.latitude) <= 90 and abs(w.longitude) <= 180 and upper(trim(coalesce(w.horizontal_datum, 'WGS84'))) in ('NAD27', 'NAD83', 'WGS84'), false) as placed
+  from g left join wells w on w.source_key = g.source and w.id = g.id),
+r as (select *, case when value_text is null or vt = '' or vt = '-999999' then 'no value' when date_measured is null or trim(date_measured) = '' then 'no date' when coerced is null then 'unreadable value' when factor is null then 'unknown unit' when day is null then 'unreadable date'
+  when site_uid is null then 'unknown well' when not placed then 'unusable coordinates' end as reason from j)"""
+
+
+def _unified(spark: SparkSession, sf_dir: str) -> unify.Unified:
+    return unify.unify(table(spark, sf_dir, "lab_results").drop("parameter_value", "parameter_units"), table(spark, sf_dir, "sites"))
+
+
+@query(f"""with {_UNIFIED}, k as (select *, coerced * factor as value, number is not null as detected from r where reason is null),
+s as (select source, id, parameter_name, min(site_uid) as site_uid, count(*) filter (where detected) as nrecords, min(value) filter (where detected) as min, max(value) filter (where detected) as max, {_hu('avg(value) filter (where detected)', 1000000.0)} as mean,
+  first({{'d': day, 't': clock, 'v': value, 'u': units}} order by day, clock, value, value_text) as e, last({{'d': day, 't': clock, 'v': value, 'u': units}} order by day, clock, value, value_text) as l from k group by all)
+select source, id, parameter_name, site_uid, nrecords, min, max, mean, e.d as earliest_date, e.t as earliest_time, e.v as earliest_value, e.u as earliest_units, l.d as latest_date, l.t as latest_time, l.v as latest_value, l.u as latest_units from s where nrecords > 0""")
+def raw_to_summary(spark, sf_dir):
+    return unify.summaries(_unified(spark, sf_dir).kept)
+
+
+@query(f"with {_UNIFIED} select reason, source, count(*) as n from r where reason is not null group by all")
+def raw_rejected(spark, sf_dir):
+    return _unified(spark, sf_dir).rejected.groupBy("reason", "source").agg(F.count(F.lit(1)).alias("n"))

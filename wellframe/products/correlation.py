@@ -109,7 +109,7 @@ def crosswalk(sites: DataFrame, pods: DataFrame | None = None, pod_m: float = 15
     keys = F.array_join(F.transform("members", lambda m: m["site_key"]), "|")
     group = size.join(listed, "root", "left").join(per, "root", "left").withColumn("cluster_id", F.concat(F.lit("wc_"), F.substring(F.sha1(F.coalesce(keys, loose)), 1, 12)))
     # groups without a point of diversion: the nearest one within reach of a member
-    near = nearest_pods(wells.where("not is_ose_pod").join(size.where("not has_pod").select("root"), "root"), wells.where("is_ose_pod").select(F.col("site_uid").alias("pod_uid"), "latitude", "longitude"), pod_m, digits=None)
+    near = pods_within(wells.where("not is_ose_pod").join(size.where("not has_pod").select("root"), "root"), wells.where("is_ose_pod").select(F.col("site_uid").alias("pod_uid"), "latitude", "longitude"), pod_m)
     near = near.join(wells.select(F.col("site_uid").alias("pod_uid"), F.col("id").alias("pod_id")), "pod_uid").join(wells.select("site_uid", "root"), "site_uid").groupBy("root").agg(F.min(F.struct("distance_m", "pod_id")).alias("near"))
     out = wells.join(group, "root").join(near.select("root", F.col("near.pod_id").alias("near_pod")), "root", "left")
     others = F.filter("members", lambda m: m["site_key"] != F.col("site_key"))
@@ -126,8 +126,8 @@ def crosswalk(sites: DataFrame, pods: DataFrame | None = None, pod_m: float = 15
     )
 
 
-def nearest_pods(sites: DataFrame, pods: DataFrame, most_m: float = 150.0, digits: int | None = 3) -> DataFrame:
-    """The nearest point of diversion of each well within reach; of equally near ones the smaller key."""
+def pods_within(sites: DataFrame, pods: DataFrame, most_m: float = 150.0) -> DataFrame:
+    """(site_uid, pod_uid, distance_m) of the points of diversion within reach of each well."""
     a = sites.where("site_uid is not null").select(F.col("site_uid").alias("uid"), "latitude", "longitude", F.lit(False).alias("pod"))
     b = pods.where("pod_uid is not null").select(F.col("pod_uid").alias("uid"), "latitude", "longitude", F.lit(True).alias("pod"))
     both = a.unionAll(b)
@@ -135,5 +135,10 @@ def nearest_pods(sites: DataFrame, pods: DataFrame, most_m: float = 150.0, digit
     kind = both.select("uid", "pod")
     j = near.join(kind.select(F.col("uid").alias("left_key"), F.col("pod").alias("lp")), "left_key").join(kind.select(F.col("uid").alias("right_key"), F.col("pod").alias("rp")), "right_key").where("lp <> rp")
     site, pod = F.when(F.col("lp"), F.col("right_key")).otherwise(F.col("left_key")), F.when(F.col("lp"), F.col("left_key")).otherwise(F.col("right_key"))
-    best = j.select(site.alias("site_uid"), pod.alias("pod_uid"), "distance_m").groupBy("site_uid").agg(F.min(F.struct("distance_m", "pod_uid")).alias("m"))
-    return best.select("site_uid", F.col("m.pod_uid").alias("pod_uid"), (F.col("m.distance_m") if digits is None else F.round("m.distance_m", digits)).alias("distance_m"))
+    return j.select(site.alias("site_uid"), pod.alias("pod_uid"), "distance_m")
+
+
+def nearest_pods(sites: DataFrame, pods: DataFrame, most_m: float = 150.0) -> DataFrame:
+    """The nearest point of diversion of each well within reach; of equally near ones the smaller key."""
+    best = pods_within(sites, pods, most_m).groupBy("site_uid").agg(F.min(F.struct("distance_m", "pod_uid")).alias("m"))
+    return best.select("site_uid", F.col("m.pod_uid").alias("pod_uid"), F.round("m.distance_m", 3).alias("distance_m"))

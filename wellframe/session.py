@@ -33,10 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a single machine) a local folder is made and set.
+    Only where the setting is absent on a single machine (master ``local``, as in tests) a local folder is
+    made and set; a cluster without it is refused, as its executors share no local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = "file://" + tempfile.mkdtemp(prefix="wellframe-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .analytes import listed
+
 SITE_COLUMNS = {
     "source": "string", "id": "string", "name": "string", "latitude": "double", "longitude": "double", "elevation": "double", "elevation_units": "string",
     "horizontal_datum": "string", "vertical_datum": "string", "usgs_site_id": "string", "alternate_site_id": "string", "formation": "string",
@@ -42,12 +44,17 @@ _ST_SITE = "`@iot.id` string, name string, location struct<coordinates: array<do
 _ST_OBS = "thing_id string, observation struct<result: string, phenomenonTime: string>, datastream struct<name: string, unitOfMeasurement: struct<symbol: string>, ObservedProperty: struct<name: string>>"
 
 
-def _sensorthings(source: str, elevation: str = "try_element_at(location.coordinates, 3)", allow: str = "true") -> Provider:
+_agency = "(properties.agency is null or properties.agency = '{}')".format
+#: A result below the reporting or detection limit counts as 0; otherwise its first word is the number.
+_DWB_VALUE = "case when lower(observation.result) like '%< mrl%' or lower(observation.result) like '%< mdl%' then 0.0 else try_cast(split(observation.result, ' ')[0] as double) end"
+
+
+def _sensorthings(source: str, elevation: str = "try_element_at(location.coordinates, 3)", allow: str = "true", value: str = _NUM("observation.result")) -> Provider:
     return Provider(
         _ST_SITE,
         {"source": f"'{source}'", "id": "`@iot.id`", "name": "name", "latitude": "location.coordinates[1]", "longitude": "location.coordinates[0]", "elevation": elevation, "elevation_units": "'m'", "horizontal_datum": "'WGS84'"},
         _ST_OBS,
-        {"source": f"'{source}'", "id": "thing_id", "value_text": "observation.result", "parameter_value": _NUM("observation.result"), "source_parameter_name": "coalesce(datastream.ObservedProperty.name, datastream.name)",
+        {"source": f"'{source}'", "id": "thing_id", "value_text": "observation.result", "parameter_value": value, "source_parameter_name": "coalesce(datastream.ObservedProperty.name, datastream.name)",
          "source_parameter_units": "datastream.unitOfMeasurement.symbol", "date_measured": "observation.phenomenonTime"},
         "observation.result is not null", allow,
     )
@@ -118,14 +125,14 @@ PROVIDERS: dict[str, Provider] = {
         "attributes struct<pod_file: string, elevation: double, aquifer: string, depth_well: double, start_date: long, finish_dat: long, pod_status: string, pod_basin: string>, geometry struct<x: double, y: double>",
         {"source": "'NMOSEPOD'", "id": "attributes.pod_file", "latitude": "geometry.y", "longitude": "geometry.x", "elevation": "attributes.elevation", "elevation_units": "'ft'", "aquifer": "attributes.aquifer", "well_depth": "attributes.depth_well",
          "well_depth_units": "'ft'", "well_completion_date": _MS_DAY("attributes.finish_dat")},
-        site_filter="attributes.pod_status = 'ACT'",
+        site_filter="attributes.pod_status = 'ACT' and attributes.pod_basin not in ('SP', 'SD', 'LWD')",
     ),
-    "dwb": _sensorthings("ST/DWB"),
-    "pvacd": _sensorthings("ST2/PVACD"),
-    "ebid": _sensorthings("ST2/EBID"),
-    "bernco": _sensorthings("ST2/BernCo", allow="`@iot.id` <> '9652'"),
-    "cabq": _sensorthings("ST2/CABQ", "try_element_at(location.coordinates, 3) - coalesce(properties.stickup, 0) * 0.3048"),
-    "roswell": _sensorthings("ST2/NMOSE-Roswell"),
+    "dwb": _sensorthings("ST/DWB", value=_DWB_VALUE),
+    "pvacd": _sensorthings("ST2/PVACD", allow=_agency("PVACD") + " and `@iot.id` between '9640' and '9650'"),
+    "ebid": _sensorthings("ST2/EBID", allow=_agency("EBID")),
+    "bernco": _sensorthings("ST2/BernCo", allow=_agency("BernCo") + " and `@iot.id` <> '9652'"),
+    "cabq": _sensorthings("ST2/CABQ", "try_element_at(location.coordinates, 3) - coalesce(properties.stickup, 0) * 0.3048", _agency("CABQ")),
+    "roswell": _sensorthings("ST2/NMOSE-Roswell", allow=_agency("OSE-Roswell")),
     "ckan": Provider(
         "Site_ID string, Latitude double, Longitude double, SurfaceElevation double",
         {"source": "'OSE-Roswell'", "id": "Site_ID", "name": "Site_ID", "latitude": "Latitude", "longitude": "Longitude", "elevation": "SurfaceElevation", "elevation_units": "'ft'"},
@@ -135,15 +142,6 @@ PROVIDERS: dict[str, Provider] = {
     ),
 }
 
-#: The names under which the portal lists an analyte.
-PORTAL_NAMES = {
-    "nitrate": ["Nitrate", "Nitrate-N", "Nitrate as N"],
-    "sulfate": ["Sulfate", "Sulfate as SO4", "Sulfur Sulfate", "Sulfate as S", "Total Sulfate"],
-    "conductivity": ["Specific conductance"],
-    "specific_conductance": ["Specific conductance"],
-}
-
-
 def read_json(spark: SparkSession, path: str, schema: str, selector: str | None = None) -> DataFrame:
     """JSON rows; with ``selector``, the rows of that array in each landed page."""
     if selector is None:
@@ -178,6 +176,52 @@ def readings(provider: str, raw: DataFrame, parameter: str | None = None) -> Dat
     return rows.withColumn("parameter_name", F.coalesce("parameter_name", F.lit(parameter)))
 
 
+def portal_results(raw: DataFrame, analyte: str) -> DataFrame:
+    """Raw portal results of one analyte by the portal's rules.
+
+    Names that stand for it, with a value. Specific conductance is what is given at 25 degrees, conductivity
+    everything else, a missing basis included. Of dissolved solids measured several times in one activity the
+    preferred code stays (70300, 70301, 70303, then any other; among equals the larger value text, so that
+    order does not matter); activities without identifier are kept as they are.
+    """
+    rows = raw.where(F.trim("CharacteristicName").isin(*listed("wqp", analyte)) & (F.trim(F.coalesce("ResultMeasureValue", F.lit(""))) != ""))
+    warm = F.trim(F.coalesce("ResultTemperatureBasisText", F.lit(""))).isin("25 deg C", "25 Deg C")
+    if analyte == "specific_conductance":
+        return rows.where(warm)
+    if analyte == "conductivity":
+        return rows.where(~warm)
+    if analyte != "tds":
+        return rows
+    rank = F.coalesce(F.array_position(F.array(*map(F.lit, ("70300", "70301", "70303"))), F.trim("USGSPCode")), F.lit(0))
+    rank = F.when(rank == 0, 4).otherwise(rank)
+    key = ["MonitoringLocationIdentifier", "ActivityIdentifier"]
+    w = Window.partitionBy(*key).orderBy(rank, F.desc("ResultMeasureValue"))
+    known = rows.where("ActivityIdentifier is not null").withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    return known.unionByName(rows.where("ActivityIdentifier is null"))
+
+
+def joined_wells(locations: DataFrame, wells: DataFrame) -> DataFrame:
+    """Locations with formation and depth of the wells table (by point_id), which the service gives one by one; locations without a well keep nulls."""
+    one = wells.groupBy("point_id").agg(F.first("formation", True).alias("formation"), F.first("well_depth", True).alias("well_depth"), F.first("well_depth_units", True).alias("well_depth_units"))
+    return locations.join(one, "point_id", "left")
+
+
+def exploded(keyed: DataFrame, column: str) -> DataFrame:
+    """(PointID, fields of the analyte) of rows that hold a map of point to list of analytes."""
+    return keyed.select(F.explode(column).alias("PointID", "_list")).select("PointID", F.explode("_list").alias("_a")).select("PointID", "_a.*")
+
+
+def catalog_items(locations: DataFrame, records: DataFrame, items: DataFrame, code: str) -> DataFrame:
+    """(location_id, item_id) of the first item of each location whose parameter has the wanted code.
+
+    ``locations`` (location_id, record_ids), ``records`` (record_id, item_ids) and ``items`` (item_id,
+    parameter_code) are the service's three levels; the walk is two joins, first in the order listed.
+    """
+    level = locations.select("location_id", F.posexplode("record_ids").alias("_i", "record_id")).join(records, "record_id")
+    level = level.select("location_id", "_i", F.posexplode("item_ids").alias("_j", "item_id")).join(items.where(F.col("parameter_code") == code), "item_id")
+    return level.groupBy("location_id").agg(F.min_by("item_id", F.struct("_i", "_j")).alias("item_id"))
+
+
 def missing_columns(df: DataFrame, needed: list[str]) -> list[str]:
     """Which of the needed columns a table lacks; a null value is no lack."""
     return [c for c in needed if c not in df.columns]
