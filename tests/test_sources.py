@@ -189,3 +189,39 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(Fake())
+
+
+def test_layers(spark, tmp_path):
+    from wellframe.sources import layers
+
+    square = [[[-106, 34], [-105, 34, 9], [-105, 35], [-106, 35], [-106, 34]]]
+    body = {"type": "FeatureCollection", "features": [{"id": "1", "properties": {"NAME": "A", "FIPS": "35"}, "geometry": {"type": "Polygon", "coordinates": square}}, {"id": "2", "properties": {"NAME": "B"}, "geometry": {"type": "MultiPolygon", "coordinates": [square, [[[0, 0], [1.5e0, 0], [0, 1], [0, 0]]]]}}, {"id": "3", "properties": {}, "geometry": None}]}
+    (tmp_path / "r.json").write_text(json.dumps(body))
+    rows = {r.id: r for r in layers.with_area(layers.read_regions(spark, str(tmp_path / "r.json"), "NAME", "FIPS")).collect()}
+    assert rows["1"].geometry == "POLYGON ((-106 34, -105 34, -105 35, -106 35, -106 34))" and (rows["1"].name, rows["1"].key) == ("A", "35") and rows["2"].geometry.startswith("MULTIPOLYGON (((-106 34,") and rows["3"].geometry is None
+    # a degree square at 34.5 degrees north
+    assert rows["1"].area_sq_km == pytest.approx(10_180, rel=0.003) and rows["3"].area_sq_km is None
+    assert json.loads(layers.outline_json(rows["1"].geometry))["rings"][0][1] == [-105.0, 34.0]
+    east, north = layers.utm_metres(layers.np.array([-105.0, -106.5]), layers.np.array([34.0, 34.0]))
+    assert east[0] == pytest.approx(500_000) and north[0] == pytest.approx(3_762_155, abs=1) and east[1] == pytest.approx(361_451, abs=30)
+
+
+def test_tables_and_binary_points(spark, tmp_path):
+    from wellframe.sources import layers
+
+    df = spark.createDataFrame([(1, -106.1234567, 34.0), (2, None, 34.0)], "n int, longitude double, latitude double")
+    layers.write_tables(str(tmp_path), points=layers.with_wkb(df))
+    back = layers.from_wkb(layers.read_table(spark, str(tmp_path), "points", "n int, longitude double, latitude double, geometry binary").drop("longitude", "latitude"))
+    assert sorted(map(tuple, back.collect())) == [(1, -106.1234567, 34.0), (2, None, None)]
+    assert layers.read_table(spark, str(tmp_path), "missing", "n int").count() == 0
+    assert layers.displayed(df).first().longitude == -106.123457
+
+
+def test_requests():
+    with pytest.raises(ValueError, match="one spatial"):
+        Request(bbox="1 2, 3 4", wkt="POLYGON ((0 0, 1 0, 0 1, 0 0))").validate()
+    with pytest.raises(ValueError, match="outline"):
+        Request(wkt="POINT (1 2)").validate()
+    Request(wkt="POLYGON ((0 0, 1 0, 0 1, 0 0))", start="2020", end="2020-02-03T04:05:06.7Z").validate()
+    with pytest.raises(ValueError, match="date"):
+        Request(start="2020-13").validate()

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import parse_wkt
 from ..operators import filters, silver
 from ..products import chemistry, correlation, series, spatial
 from ..session import table
@@ -20,11 +22,12 @@ DATE_FORMS = ["%Y", "%Y-%m", "%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S
 
 @dataclass(frozen=True)
 class Request:
-    """What to compute: parameter, place, time, sources. At most one spatial filter."""
+    """What to compute: parameter, place, time, sources. At most one spatial filter (outline, box or county)."""
 
     parameter: str | None = None
     bbox: str | None = None
     county: str | None = None
+    wkt: str | None = None
     start: str | None = None
     end: str | None = None
     include: tuple[str, ...] = ()
@@ -35,8 +38,10 @@ class Request:
         """Raises ValueError with what is wrong."""
         if self.parameter and self.parameter not in PARAMETERS:
             raise ValueError(f"unknown parameter {self.parameter!r}; known: {', '.join(PARAMETERS)}")
-        if self.bbox and self.county:
-            raise ValueError("give one spatial filter, a box or a county")
+        if sum(x is not None for x in (self.bbox, self.county, self.wkt)) > 1:
+            raise ValueError("give one spatial filter, an outline, a box or a county")
+        if self.wkt is not None and not len(parse_wkt(None, self.wkt).x1):
+            raise ValueError("unreadable outline")
         for d in (self.start, self.end):
             if d and not parse_date(d):
                 raise ValueError(f"unreadable date {d!r}")
@@ -47,12 +52,16 @@ class Request:
 
 
 def parse_date(text: str) -> dt.datetime | None:
-    for form in DATE_FORMS:
-        try:
-            return dt.datetime.strptime(text, form)
-        except ValueError:
-            continue
-    return None
+    """A date of one of the known forms; parts left out are the first ones."""
+    m = re.fullmatch(r"(\d{4})(?:-(\d\d?)(?:-(\d\d?)(?: (\d\d?):(\d\d?):(\d\d?)|T(\d\d?):(\d\d?):(\d\d?)\.(\d{1,6})Z)?)?)?", text)
+    if not m:
+        return None
+    year, month, day, *clock, fraction = m.groups()
+    hour, minute, second = clock[:3] if clock[0] else clock[3:]
+    try:
+        return dt.datetime(int(year), int(month or 1), int(day or 1), int(hour or 0), int(minute or 0), int(second or 0), int((fraction or "0").ljust(6, "0")))
+    except ValueError:
+        return None
 
 
 def parse_box(text: str) -> tuple[float, float, float, float]:
@@ -93,10 +102,11 @@ def load(path: str | None = None) -> list[Product]:
 class Tables:
     """The shared tables of one run; products built from it share their scans."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = "2025-06-01 00:00:00"):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = "2025-06-01 00:00:00", regions: dict[str, DataFrame] | None = None):
         self.sites, self.pods, self.counties = (table(spark, sf_dir, t) for t in ("sites", "pod_sites", "counties"))
         self.rows = silver.readings(table(spark, sf_dir, "observations"))
         self.as_of = as_of
+        self.regions = {"counties": self.counties, **(regions or {})}
 
     def of(self, p: Product) -> DataFrame:
         rows = filters.sources(self.rows, exclude=list(p.exclude)) if p.exclude else self.rows
@@ -123,6 +133,7 @@ BUILDERS = {
     "depletion_projection": lambda t, p: series.depletion(t.of(p), t.sites),
     "well_correlation": lambda t, p: correlation.crosswalk(t.sites, t.pods),
     "well_density": lambda t, p: spatial.density(t.sites, t.counties),
+    "basin_well_density": lambda t, p: spatial.density(t.sites, t.regions[p.params["layer"]], p.params.get("key", "name")),
     "pod_age_by_county": lambda t, p: spatial.completions_by_region(t.pods, t.counties, int(t.as_of[:4]), **p.params),
     "pod_age_points": lambda t, p: spatial.completion_points(t.pods, t.counties, int(t.as_of[:4]), **p.params),
 }

@@ -64,6 +64,8 @@ def unify(rows: DataFrame, sites: DataFrame, request: Request = Request(), area:
 
         west, south, east, north = parse_box(request.bbox)
         inside = (F.col("lon84") > west) & (F.col("lon84") < east) & (F.col("lat84") > south) & (F.col("lat84") < north)
+    if request.wkt is not None:
+        area = rows.sparkSession.createDataFrame([(request.wkt,)], "geometry string")
     if area is not None:
         held = containing_regions(wells, "site_uid", "lat84", "lon84", area.withColumn("_area", F.monotonically_increasing_id()), "_area", "geometry", boundary=False).select(F.col("point_key").alias("site_uid")).distinct()
         wells = wells.join(held.withColumn("_held", F.lit(True)), "site_uid", "left")

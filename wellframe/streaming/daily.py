@@ -21,11 +21,18 @@ def merge_summaries(old: DataFrame | None, batch: DataFrame, key: str, value: st
 
 
 def keep_summaries(events: DataFrame, key: str, value: str, root: str, checkpoint: str):
-    """Writer that keeps ``root/<epoch>`` up to date; replaying a batch rewrites the same folder."""
+    """Writer that keeps ``root/<epoch>`` up to date; replaying a batch rewrites the same folder.
+
+    The folder before the last one stays, as a replay starts from it; older ones are removed.
+    """
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         old = spark.read.parquet(f"{root}/{epoch - 1}") if epoch > 0 else None
         merge_summaries(old, batch, key, value).write.mode("overwrite").parquet(f"{root}/{epoch}")
+        stale = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{epoch - 2}")
+        files = stale.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if epoch > 1 and files.exists(stale):
+            files.delete(stale, True)
 
     return events.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
