@@ -3,15 +3,20 @@
 Unfilled placeholders are found by one grammar per delimiter. Code blocks are left out. A placeholder in a
 sentence that speaks about templates, or right after one, counts only if the text is dense with such, and a
 mark that real texts use too (lower-case words in brackets) only if its sentence holds several. Filler is found by its wording, error pages and notices by their wording and by how little else the text
-holds. Everything runs as expressions of the engine; no text leaves it.
+holds. A first vectorised pass lets only texts through that can hold a sign of some kind; the grammars
+themselves are expressions of the engine.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import spread
 
@@ -57,13 +62,6 @@ FILLER = {
         r"(?:this (?:section|page) is )?under construction|blindtext|texto de ejemplo|aquí va el texto|texte d'exemple|votre texte ici|sustituya (?:este|esta)\b[^.!?\n]{0,60}|remplacez ce\b[^.!?\n]{0,60}|beispieltext|hier steht\b[^.!?\n]{0,30}|click to (?:add|edit)\b[^.!?\n]{0,30}|tbd|todo|lorem ipsum)\s*(?:[.!?…]+|\n|$)"
     ),
 }
-#: Of a run of filler Latin, one word at least is none of the short ones.
-LATIN_STEMS = ("lorem", "ipsum", "dolor", "amet", "consectetur", "adipiscing", "elit", "eiusmod", "tempor", "incididunt", "labore", "magna", "aliqua", "veniam", "nostrud")
-#: One of these stands in every filler phrase.
-FILLER_STEMS = (
-    "relleno", "remplissage", "faux texte", "fake text", "platzhalter", "blind text", "insert ", "sample ", "dummy ", "your ", "placeholder", "filler ", "goes here", "replace ", "edit me", "type something", "type here", "coming soon", "to be written", "to be added", "construction", "blindtext", "texto de ejemplo", "aquí va", "texte d'ex",
-    "votre texte", "sustituya", "remplacez", "beispieltext", "hier steht", "click to", "tbd", "todo", "lorem", "xxx", "blah", "asdf", "qwerty", "foo bar", "n/a", "test test", "test, test", "be added", "be written",
-)
 #: Fields of a form that hold no value.
 FIELD = r"(?im)^[\p{L} _/-]{1,30}:[ \t]*(?:tbd|todo|x{2,}|n/?a|\.{2,}|-+|to come|tba|none yet|pending|\?+|fill in|_+)?[ \t]*$"
 #: Wording of error pages, denials, outages, failure traces, loading and script notices; each
@@ -79,22 +77,11 @@ NOTICES = (
     r"traceback \(most recent call last\)|file \"[^\"\n]+\", line \d+|^\W*[a-z]\w*(?:error|exception)\b:? ?[^\n]{0,80}$|\bjava\.\w+\.|\bat [\w.$]+\([\w]+\.\w+:\d+\)|^\W*exception in \w|ora-\d{2,}|err_[a-z]+_|ssl handshake failed|connection failed|query timed out|connect(?:ion)? (?:timeout|timed out|refused|reset)|^\W*proxy error|^\W*runtime error|"
     r"^\W*(?:loading|cargando|chargement|wird geladen)\b|please wait|\{\s*\"error\"\s*:|enable them to continue|sorry about that|^\W*oops|^\W*(?:error|fehler|erreur) ?\d*\W*$"
 )
-#: One of these stands in every notice.
-NOTICE_STEMS = (
-    "error", "http", "código 4", "código 5", "code 4", "code 5", "estado 4", "estado 5", "fehler", "erreur", "access denied", "access is denied", "access was denied", "denegado", "accès refusé", "verweigert", "not found", "introuvable",
-    "no encontrada", "nicht gefunden", "does not exist or", "may be broken", "no longer available", "could not be produced", "could not be completed", "could not be loaded", "cannot be displayed", "been blocked", "we cannot find that",
-    "not authorized", "have permission", "tiene permiso", "berechtigung", "l'autorisation", "has expired", "ha caducado", "a expiré", "abgelaufen", "log in", "login", "sign in", "sesión", "password", "for maintenance",
-    "scheduled maintenance", "to maintenance", "por mantenimiento", "wegen wartung", "pour maintenance", "temporarily unavailable", "service unavailable", "no disponible", "javascript", "scripts", "scripting", "script blocker", "cookies", "aktivieren",
-    "no backend", "upstream service", "unexpected condition", "system administrator", "server encountered", "server did not", "went wrong", "intente más", "checking your", "is automatic", "rate limit", "retry after", "too many requests", "request time",
-    "no rows", "help desk", "helpdesk", "completarse", "vuelva a iniciar", "anmeldung erforderlich", "cannot complete", "does not support", "try again", "traceback", "exception", "java.", ".java", "ora-", "err_", "handshake", "connection", "timed out", "timeout", "time-out", "connect refused", "connect reset",
-    "loading", "cargando", "chargement", "geladen", "please wait", "file \"", "oops", "sorry about", "bad request", "bad gateway", "forbidden", "unauthorized", " gone", "enable them",
+#: What every placeholder begins with, or code blocks that may hide its beginning.
+MAY_MARK = (
+    r"`|~~~|<(?:pre|code)|\{[\p{L}\p{N}_{%]|<[<%?\p{Lu}]|&lt;|\[[\[\p{Lu}]|[<\[({]\s*(?i:insert|enter|your|add|fill in|replace|inserte|insérer|einfügen)|"
+    r"\$[$A-Z{]|%[\p{L}_(]|@[@A-Z]|#\p{Lu}|~\p{Lu}|__|\(\(|XX|YOUR|(?i:undefined|nan|null|invalid date|\[object)"
 )
-#: Tests that every placeholder, filler of test words and notice passes, besides the stems. A text
-#: without backticks, tildes and angles is its own body.
-MAY_MARK = r"[{}<>\[\]%$@#~_&`]|\(\(|XX|YOUR |\(\s*(?i:insert|enter|your|add|fill in|replace|inserte|insérer|einfügen)\b"
-MAY_EMPTY = r"(?i)undefined|nan\b|null\b|invalid date"
-MAY_TEST = r"test[ ,]+test"
-MAY_NOTICE = r"(?:código|code|estado)(?: code)?[ :#]*[45]\d|\(\w+\.\w+:\d"
 #: What stands around any page.
 CHROME = (
     r"(?im)\b(?:skip to main content|back to search|terms of use|cookie settings|privacy(?: policy)?|contact(?: us)?|home|maps?|wells?|inicio|mapa|pozos|menu|search|log ?in|nginx|request id:? *[\w-]+|reference number *[\w-]+|\(code [\w-]+\)|time: *\d+ ?ms|código \d+|code \d+)\b|[|\-–•·]"
@@ -106,45 +93,59 @@ def _letters(x: Column) -> Column:
     return F.length(F.regexp_replace(x, r"[^\p{L}\p{N}]+", ""))
 
 
-def _any(text: Column, words: tuple[str, ...]) -> Column:
-    return reduce(lambda x, y: x | y, (text.contains(w) for w in words))
-
-
 def _one(patterns: dict[str, str]) -> str:
     return "|".join(f"(?:{p})" if not p.startswith("(?i)") else f"(?i:{p[4:]})" for p in patterns.values())
 
 
-def may_be_unfilled(text: Column) -> Column:
-    """True of every text in which a placeholder can be found, and of few others."""
-    return text.rlike(MAY_MARK) | text.rlike(MAY_EMPTY)
+def _gate(*patterns: str) -> str:
+    """A pattern that the whole text matches wherever a grammar matches it or a part of it: without anchors, word ends and looks around."""
+    out = []
+    for p in patterns:
+        p = re.sub(r"\(\?<?[!=][^()]*\)", "", p).replace(r"^\W*", "").replace(r"\b", "")
+        p = re.sub(r"\[\^[^\]]*\]\{0,\d+\}\??", r"[^\\n]*", p)
+        p = re.sub(r"(?<=[*}\])])\$(?=\||$)", "", p)
+        p = re.sub(r"\(\?<unit>(.*?)\)\(\?:\[ \.,\]\+\\k<unit>\)\{2,\}", r"(?:\1)", p)
+        out.append(f"(?:{p})" if not p.startswith("(?i)") else f"(?i:{p[4:]})")
+    return "|".join(out)
+
+
+def gates() -> dict[str, str]:
+    """Per kind of sign, a pattern for a linear-time engine that every text with such a sign matches. They follow from the grammars."""
+    return {"may_mark": MAY_MARK, "may_weak": r"\[\p{Ll}", "may_filler": _gate(*FILLER.values()), "may_notice": _gate(NOTICES), "may_fields": "(?i)" + FIELD[FIELD.index(":") :].removesuffix("$") + r"(?:[\n\r\x{85}\x{2028}\x{2029}]|$)"}
 
 
-def may_be_filler(lower: Column) -> Column:
-    """True of every text in lower case that can hold filler other than Latin."""
-    return _any(lower, FILLER_STEMS) | lower.rlike(MAY_TEST)
+def likely(rows: DataFrame) -> DataFrame:
+    """The rows whose text may hold a sign of some kind, with a flag per kind: one vectorised pass over each batch of texts."""
+    patterns = gates()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("text")
+            flags = [pc.match_substring_regex(text, p) for p in patterns.values()]
+            some = flags[0]
+            for f in flags[1:]:
+                some = pc.or_(some, f)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *flags], [*batch.schema.names, *patterns]).filter(some)
 
-def may_be_notice(lower: Column) -> Column:
-    """True of every text in lower case that can hold a notice."""
-    return _any(lower, NOTICE_STEMS) | lower.rlike(MAY_NOTICE)
+    kinds = T.StructType([*rows.schema.fields, *[T.StructField(k, T.BooleanType()) for k in patterns]])
+    return rows.mapInArrow(run, kinds)
 
 
 def signs(rows: DataFrame, several: int = 2) -> DataFrame:
     """Adds to ``text`` what it holds: placeholders, talked_about, words, filler, blank_fields, notice, rest, size.
 
-    Cheap tests for single characters and words come first; most texts need none of the grammars. They pass
-    whatever a grammar matches. What several tests share is projected before, so that it is computed once.
+    The grammars run on the texts whose flag (``likely``) says that they can match. What several tests share is
+    projected before, so that it is computed once.
     """
-    text, lower = F.col("text"), F.col("_lower")
+    text = F.col("text")
     body = F.regexp_replace(text, CODE, " ")
     either = _one(PLACEHOLDERS)
     parts = F.split(text, r"(?<=[.!?…])\s+|\n+|\s[|\-–]\s")
     sentences = F.split(body, r"(?<=[.!?])\s+|\n+")
-    rows = rows.withColumn("_lower", F.lower("text"))
     rows = rows.withColumns({
-        "_strong": F.when(may_be_unfilled(text), F.regexp_count(body, F.lit(either))).otherwise(0),
-        "_weak": F.when(text.contains("["), F.regexp_count(body, F.lit(WEAK))).otherwise(0),
-        "_parts": F.when(may_be_notice(lower), parts),
+        "_strong": F.when(F.col("may_mark"), F.regexp_count(body, F.lit(either))).otherwise(0),
+        "_weak": F.when(F.col("may_weak"), F.regexp_count(body, F.lit(WEAK))).otherwise(0),
+        "_parts": F.when(F.col("may_notice"), parts),
     })
     marks = F.transform(sentences, lambda s: F.struct(F.regexp_count(s, F.lit(either)).alias("strong"), F.regexp_count(s, F.lit(WEAK)).alias("weak"), s.rlike(TALK).alias("talk")))
     rows = rows.withColumns({
@@ -159,16 +160,14 @@ def signs(rows: DataFrame, several: int = 2) -> DataFrame:
     ))
     total = lambda name: F.coalesce(F.aggregate("_windows", F.lit(0), lambda n, w: n + w[name]), F.lit(0))
     rows = rows.withColumn("_windows", windows)
-    latin = _any(lower, LATIN_STEMS) & text.rlike(FILLER["latin"])
-    wording = may_be_filler(lower) & text.rlike(_one({k: v for k, v in FILLER.items() if k != "latin"}))
     fields, lines = F.regexp_count(text, F.lit(FIELD)), F.regexp_count(text, F.lit(r"(?m)^[^\n]*\S"))
     notice = F.coalesce(F.size("_plain") < F.size("_parts"), F.lit(False))
     return rows.withColumns({
         "placeholders": F.col("_strong") + total("close"),
         "talked_about": total("talked"),
         "words": F.when(F.col("_marks").isNotNull(), F.regexp_count(body, F.lit(r"[\p{L}\p{N}]+"))).otherwise(0),
-        "filler": latin | wording,
-        "blank_fields": text.contains(":") & (fields >= 2) & (fields * 2 > lines),
+        "filler": F.col("may_filler") & text.rlike(_one(FILLER)),
+        "blank_fields": F.col("may_fields") & (fields >= 2) & (fields * 2 > lines),
         "notice": notice,
         "rest": F.when(notice, _letters(F.regexp_replace(F.array_join("_plain", " "), CHROME, " "))).otherwise(0),
         "size": F.when(notice, _letters(text)).otherwise(0),
@@ -197,7 +196,7 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", dense
 
     # a generator keeps the optimizer from copying the tests into the filter on their outcome
     reasons = F.filter(F.transform(F.array(found), reason), lambda r: r.isNotNull())
-    return signs(rows, several).select(F.col("key").alias(key), F.explode(reasons).alias("reason"))
+    return signs(likely(rows), several).select(F.col("key").alias(key), F.explode(reasons).alias("reason"))
 
 
 def clean(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
