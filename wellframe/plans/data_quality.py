@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..operators import nearby, regular_grid, spikes, unit_repair
 from ..session import table
-from .reference import _SITE_POINTS, EDGES, READINGS, _held
+from .reference import _SITE_POINTS, EDGES, READINGS, _held, _hu
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,8 +27,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The regular series themselves."""
-    return regular_grid.regular_grid(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sensor_streams"))
+    """The regular series themselves, to six digits."""
+    grid = regular_grid.regular_grid(table(spark, sf_dir, "observations"), table(spark, sf_dir, "sensor_streams"))
+    return grid.withColumn("value", C.half_up(F.col("value"), 6))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,4 +52,13 @@ select 'site' as kind, a as site_uid, b as other_key from d where m <= 150 union
 r as (select distinct stream_id, step_minutes * 60 as st, cast(floor(ts / (step_minutes * 60)) as bigint) as p from rd join sensor_streams using (source, id, parameter_name)),
 n as (select *, lead(p) over (partition by stream_id order by p) as q from r)
 select stream_id, strftime(make_timestamp(x * st * 1000000), '%Y-%m-%dT%H:%M:%SZ') as period_start from (select stream_id, st, unnest(range(p + 1, q)) as x from n where q > p + 1)""",
+    "p5_grid": f"""with {READINGS},
+r as (select stream_id, step_minutes * 60 as st, cast(floor(ts / (step_minutes * 60)) as bigint) as p, avg(value) as v from rd join sensor_streams using (source, id, parameter_name) group by all),
+n as (select *, lead(p) over w as q, lead(v) over w as nv, lag(p) over w as pp, lag(v) over w as pv from r window w as (partition by stream_id order by p)),
+h as (select *, coalesce(q - p <= 13, false) as onward, coalesce(p - pp <= 13, false) as back, (q - p)::double as hr, (p - pp)::double as hl, (nv - v) / (q - p) as dr, (v - pv) / (p - pp) as dl from n),
+s as (select *, case when onward and back then case when dl * dr > 0 then (3 * hr + 3 * hl) / ((2 * hr + hl) / dl + (hr + 2 * hl) / dr) else 0.0 end when back then dl when onward then dr else 0.0 end as m from h),
+e as (select *, lead(m) over (partition by stream_id order by p) as nm, unnest(range(0, coalesce(q, p + 1) - p)) as k from s),
+u as (select *, k / hr as u from e)
+select stream_id, strftime(make_timestamp((p + k) * st * 1000000), '%Y-%m-%dT%H:%M:%SZ') as period_start, case when k = 0 then 'observed' when hr <= 13 then 'filled' else 'gap' end as status,
+  {_hu("case when k = 0 then v when hr <= 13 then (1 + 2 * u) * (1 - u) * (1 - u) * v + u * (1 - u) * (1 - u) * hr * m + u * u * (3 - 2 * u) * nv + u * u * (u - 1) * hr * nm end", 1000000.0)} as value from u""",
 }
