@@ -158,11 +158,14 @@ def _sum(x: Column) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda a, w: a + w)
 
 
-def _sums(state: DataFrame, keys: list[str], sums: dict[str, Column], hot: bool) -> DataFrame:
-    """Adds sums over groups: by windows, or, where a group is ``hot``, by partial sums joined back."""
+def _sums(state: DataFrame, sums: list[tuple[list[str], str, Column]], hot: bool) -> DataFrame:
+    """Adds sums over groups, each (keys, name, what): by windows, or, where a group is ``hot``, by partial sums joined back."""
     if not hot:
-        return state.withColumns({name: F.sum(x).over(Window.partitionBy(*keys)) for name, x in sums.items()})
-    return state.join(state.groupBy(*keys).agg(*[F.sum(x).alias(name) for name, x in sums.items()]), keys)
+        return state.withColumns({name: F.sum(x).over(Window.partitionBy(*keys)) for keys, name, x in sums})
+    out = state
+    for keys, name, x in sums:
+        out = out.join(state.groupBy(*keys).agg(F.sum(x).alias(name)), keys)
+    return out
 
 
 def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
@@ -185,14 +188,16 @@ def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
         return single
     hot = most > rules.hot
     # rows of one well count once in a group, however often it was delivered
-    state = _sums(state, ["l_well", "r_well"], {"copies": F.lit(1.0)}, hot).withColumn("w", 1 / F.col("copies"))
-    state = _sums(state, ["r_well"], {"q_r": F.pow("w", F.lit(2.0))}, hot)
-    state = _sums(state, ["l_well"], {"q_l": F.pow("w", F.lit(2.0))}, hot)
+    both = ["l_well", "r_well"]
+    cut = cut_lineage if hot else (lambda df: df)
+    state = cut(_sums(state, [(both, "copies", F.lit(1.0))], hot).withColumn("w", 1 / F.col("copies")))
+    square = F.pow("w", F.lit(2.0))
+    state = _sums(state, [(["r_well"], "q_r", square), (["l_well"], "q_l", square)], hot)
     zeros = lambda c: F.transform(c, lambda _: F.lit(0.0))
     fixed = [*keep, "copies", "w", "q_r", "q_l"]
     singles = ["m_r", "m_l", "t1y", "t1z", "t2y", "t2z"]
     state = cut_lineage(state.select(*fixed, alone.alias("y"), alone.alias("z"), zeros(F.col("up")).alias("m_up"), zeros(F.col("down")).alias("m_down"), *[F.lit(0.0).alias(m) for m in singles], F.lit(0.0).alias("residual")))
-    state = _sums(state, ["l_well", "r_well"], {"mean": F.col("y")}, hot).withColumn("z", F.col("mean") / F.col("copies")).drop("mean")
+    state = cut(_sums(state, [(both, "mean", F.col("y"))], hot).withColumn("z", F.col("mean") / F.col("copies")).drop("mean"))
     rho, t, weight = rules.step, rules.transitive, {"l": rules.exclusive_left, "r": rules.exclusive}
     y, z = F.col("y"), F.col("z")
     for k in range(1, rules.rounds + 1):
@@ -201,10 +206,9 @@ def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
         one = push * F.greatest(F.lit(0.0), (y - F.col("t1y")) + F.col("member") - 1 - (z - F.col("t1z")))
         two = push * F.greatest(F.lit(0.0), (z - F.col("t2z")) + F.col("member") - 1 - (y - F.col("t2y")))
         s = state.withColumns({"x1y": y - F.col("t1y") - one, "x1z": z - F.col("t1z") + one, "x2z": z - F.col("t2z") - two, "x2y": y - F.col("t2y") + two})
-        s = _sums(s, ["l_well", "r_well"], {"s_z": (F.col("x1z") + F.col("t1z") + F.col("x2z") + F.col("t2z")) / 2}, hot)
-        # at most one partner
-        s = _sums(s, ["l_well"], {"s_l": F.col("w") * (y - F.col("m_l"))}, hot)
-        s = _sums(s, ["r_well"], {"s_r": F.col("w") * (y - F.col("m_r"))}, hot)
+        # at most one partner; a well's pairs agree on the truth of the pair of wells
+        s_z = (F.col("x1z") + F.col("t1z") + F.col("x2z") + F.col("t2z")) / 2
+        s = _sums(s, [(both, "s_z", s_z), (["l_well"], "s_l", F.col("w") * (y - F.col("m_l"))), (["r_well"], "s_r", F.col("w") * (y - F.col("m_r")))], hot)
         over = lambda side: F.col("w") * 2 * weight[side] * F.greatest(F.lit(0.0), F.col(f"s_{side}") - 1) / (rho + 2 * weight[side] * F.col(f"q_{side}"))
         # what speaks for and against the pair, one hinge each
         for_it = F.zip_with("up", "m_up", lambda w, m: F.when(y - m < 1, (2 * w + rho * (y - m)) / (2 * w + rho)).otherwise(y - m))
@@ -222,7 +226,8 @@ def solve(pairs: DataFrame, rules: Rules) -> DataFrame:
             *fixed, F.col("y1").alias("y"), F.col("z1").alias("z"), moved("m_up", "x_up").alias("m_up"), moved("m_down", "x_down").alias("m_down"), *[(F.col(m) + F.col(x) - F.col("y1")).alias(m) for x, m in copies],
             (F.col("t1z") + F.col("x1z") - F.col("z1")).alias("t1z"), (F.col("t2z") + F.col("x2z") - F.col("z1")).alias("t2z"), F.greatest(primal, dual).alias("residual"),
         )
-        if k % rules.block == 0 or k == rules.rounds:
+        # joined sums name the state several times, so it is written each round
+        if hot or k % rules.block == 0 or k == rules.rounds:
             state = cut_lineage(state)
             left = state.agg(F.max("residual")).first()[0]
             if left <= rules.tolerance:
