@@ -4,7 +4,8 @@ The unit a row states is read from any of its texts. Where texts contradict one
 that several units are near, or state none, the series' history decides: an exact penalised changepoint
 search on the logarithms of its values cuts it into segments, and a segment whose level differs from the
 series' converted level by a known factor is in the unit of that factor. Where the history cannot tell
-two factors apart, the row is marked undecided. Stated units are held against the history as well.
+two factors apart, the row is marked undecided. Stated units are held against the history as well, by the
+same search, also where every row of a series states its unit.
 """
 
 from __future__ import annotations
@@ -46,53 +47,105 @@ def changepoints(x: np.ndarray, penalty: float) -> np.ndarray:
     return np.array(starts[::-1], np.int64)
 
 
-def units_of_series(value: np.ndarray, choices: np.ndarray, factors: np.ndarray, common: int, penalty: float, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit, origin (place in ``ORIGINS``) and agreement of each reading of one series in time order.
+def segment_starts(x: np.ndarray, cuts: np.ndarray, penalty: float, longest: int = 500, cells: int = 250_000) -> np.ndarray:
+    """True at the first value of each segment of every series of ``x`` (those between ``cuts``).
 
-    ``choices`` holds, per reading, the places in ``factors`` of the units its texts may mean, -1 after the
-    last; factors are NaN where there is no conversion. A reading with one choice has stated it. Agreement
-    is 1 if no other factor brings the level of the reading's segment nearer to the series' level, 0 if one
-    does, -1 where nothing can be said.
+    The segments are those of ``changepoints``; series of like length are searched together, those of more
+    than ``longest`` values one by one.
+    """
+    begin, n = cuts[:-1], np.diff(cuts)
+    out = np.zeros(len(x), bool)
+    for i in np.flatnonzero(n > longest):
+        out[begin[i] + changepoints(x[begin[i] : begin[i] + n[i]], penalty)] = True
+    order = np.argsort(-n, kind="stable")
+    order = order[(n[order] > 0) & (n[order] <= longest)]
+    while len(order):
+        width = int(n[order[0]])
+        batch, order = np.split(order, [max(1, cells // (width + 1))])
+        own, size, every = begin[batch], n[batch], np.arange(len(batch))
+        step = np.arange(width)[:, None]
+        v = np.where(step < size, x[np.minimum(own + step, len(x) - 1)], 0.0)
+        zero = np.zeros((1, len(batch)))
+        s1, s2 = np.r_[zero, np.cumsum(v, axis=0)], np.r_[zero, np.cumsum(v * v, axis=0)]
+        best, last = np.full(s1.shape, -penalty), np.zeros(s1.shape, np.int64)
+        for t in range(1, width + 1):
+            k = int(np.searchsorted(-size, -t, side="right"))
+            cost = best[:t, :k] + s2[t, :k] - s2[:t, :k] - (s1[t, :k] - s1[:t, :k]) ** 2 / (t - np.arange(t))[:, None]
+            at = np.argmin(cost, axis=0)
+            best[t, :k], last[t, :k] = cost[at, every[:k]] + penalty, at
+        while len(own):
+            size = last[size, every]
+            out[own + size] = True
+            left = size > 0
+            own, size, every = own[left], size[left], every[left]
+    return out
+
+
+def _medians(x: np.ndarray, group: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Median of ``x`` per group; ``counts`` are the groups' sizes, none of them 0."""
+    ordered, first = x[np.lexsort((x, group))], np.cumsum(counts) - counts
+    return (ordered[first + (counts - 1) // 2] + ordered[first + counts // 2]) / 2
+
+
+def units_of_series(value: np.ndarray, param: np.ndarray, choices: np.ndarray, cuts: np.ndarray, tables: _Tables, penalty: float, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit, origin (place in ``ORIGINS``) and agreement of each reading of many series, each in time order between ``cuts``.
+
+    ``choices`` holds, per reading, the places in its parameter's units of those its texts may mean, -1
+    after the last. A reading with one choice has stated it. Every series that knows at least two converted
+    values, the level that others are held against, is cut into segments, whether or not all its readings
+    state a unit. Agreement is 1 if no other factor brings the readings of the segment that state this unit
+    nearer to the series' level, 0 if one does, -1 where nothing can be said.
     """
-    n = len(value)
     stated = np.where(choices[:, 1] < 0, choices[:, 0], -1)
-    contested = choices[:, 1] >= 0
-    unit = np.where(choices[:, 0] >= 0, choices[:, 0], common)
-    origin = np.where(stated >= 0, 0, np.where(contested, 1, 3))
-    agrees = np.full(n, -1)
-    usable = np.flatnonzero(np.isfinite(value) & (value > 0))
+    commons = np.array([*tables.own, 0])
+    unit = np.where((choices[:, 0] < 0) & (param >= 0), commons[param], choices[:, 0])
+    origin, agrees = np.where(stated >= 0, 0, np.where(choices[:, 0] >= 0, 1, 3)), np.full(len(value), -1)
+    series = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    usable = np.flatnonzero(np.isfinite(value) & (value > 0) & (param >= 0))
+    own = np.full(len(usable), np.nan)
+    named = stated[usable] >= 0
+    own[named] = np.log(tables.flat[tables.first[param[usable[named]]] + stated[usable[named]]])
+    told = np.bincount(series[usable[~np.isnan(own)]], minlength=len(cuts) - 1)
+    telling = told[series[usable]] >= 2
+    usable, own = usable[telling], own[telling]
     if not len(usable):
         return unit, origin, agrees
-    logs, named = np.log(value[usable]), stated[usable]
-    known = (named >= 0) & ~np.isnan(factors[named])
-    if known.sum() < 2:
-        return unit, origin, agrees
-    shifts = np.unique(np.round(np.log(factors[~np.isnan(factors)]), 9))
-    converted = logs[known] + np.log(factors[named[known]])
-    level = np.median(converted)
-    spread = max(0.05, 1.4826 * np.median(np.abs(converted - level)))
-    open_rows = named < 0
-    # where every row states its unit, the changes of unit are known
-    starts = changepoints(logs, penalty) if open_rows.any() else np.flatnonzero(np.r_[True, named[1:] != named[:-1]])
-    bounds = np.r_[starts, len(logs)]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        rows, held = usable[a:b], named[a:b]
-        error = spread * np.sqrt(1 / (b - a) + 1 / len(converted))
+    logs, kind = np.log(value[usable]), param[usable]
+    _, first, of, size = np.unique(series[usable], return_index=True, return_inverse=True, return_counts=True)
+    known = np.flatnonzero(~np.isnan(own))
+    n_known = np.bincount(of[known])
+    converted = logs[known] + own[known]
+    level = _medians(converted, of[known], n_known)
+    spread = np.maximum(0.05, 1.4826 * _medians(np.abs(converted - level[of[known]]), of[known], n_known))
+    segment = np.cumsum(segment_starts(logs, np.r_[first, len(logs)], penalty)) - 1
+
+    # stated units: the readings of a segment that state one unit, against all factors of the parameter
+    key = segment[known] * (stated.max() + 1) + stated[usable[known]]
+    _, one, group, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    mean = np.bincount(group, logs[known]) / count
+    at = of[known[one]]
+    error = spread[at] * np.sqrt(1 / count + 1 / n_known[at])
+    best = np.abs(mean[:, None] + tables.shifts[kind[known[one]]] - level[at, None]).min(axis=1)
+    agrees[usable[known]] = (np.abs(mean + own[known[one]] - level[at]) <= best + 2 * error + 1e-9)[group]
+
+    # readings whose texts leave the unit open: the level of their segment
+    open_rows = np.flatnonzero(stated[usable] < 0)
+    for part in np.split(open_rows, np.flatnonzero(np.diff(segment[open_rows])) + 1) if len(open_rows) else []:
+        a, b = np.searchsorted(segment, [segment[part[0]], segment[part[0]] + 1])
+        s, p = of[a], kind[a]
+        shifts, factors, common = tables.shifts[p][np.isfinite(tables.shifts[p])], tables.factors[p], tables.own[p]
+        error = spread[s] * np.sqrt(1 / (b - a) + 1 / n_known[s])
         mean = logs[a:b].mean()
-        away = np.abs(mean + shifts - level)
+        away = np.abs(mean + shifts - level[s])
         best = float(away.min())
         # levels of natural series wander; a factor is told from the next one by more than the segment's error
         rivals = away[away > best + 1e-9]
         clear = best <= tolerance + 3 * error and (not len(rivals) or rivals.min() - best > 2 * error)
         right = shifts[int(np.argmin(away))]
-        with np.errstate(invalid="ignore"):
-            own = np.log(factors[held])
-        told = (held >= 0) & ~np.isnan(own)
-        agrees[rows[told]] = np.where(np.abs(mean + own[told] - level) <= best + 2 * error + 1e-9, 1, 0)
-        for i in rows[held < 0]:
+        for i in usable[part]:
             picks = choices[i][choices[i] >= 0]
             if len(picks):
-                shift = np.abs(mean + np.log(factors[picks]) - level)
+                shift = np.abs(mean + np.log(factors[picks]) - level[s])
                 shift = np.where(np.isnan(shift), np.inf, shift)
                 order = np.argsort(shift, kind="stable")
                 apart = shift[order[1]] - shift[order[0]]
@@ -129,6 +182,13 @@ class _Tables:
                 for k, basis in enumerate(BASIS):
                     self.place[p, u, k] = at.get(f"{unit} as {basis}", at.get(unit, -1)) if basis else at.get(unit, -1)
         self.own = [units.index(c) if c in units else 0 for units, c in zip(self.units, self.common)]
+        # one flat list of all parameters' factors, and each parameter's distinct ones as logarithms
+        self.first = np.cumsum([0, *map(len, self.units)])
+        self.flat = np.r_[np.concatenate(self.factors) if self.factors else np.zeros(0), np.nan]
+        logs = [np.unique(np.round(np.log(f[~np.isnan(f)]), 9)) for f in self.factors]
+        self.shifts = np.full((len(logs), max([1, *map(len, logs)])), np.inf)
+        for p, x in enumerate(logs):
+            self.shifts[p, : len(x)] = x
 
 
 def _codes(column: pa.ChunkedArray, read) -> list[np.ndarray]:
@@ -203,18 +263,8 @@ def common_units(results: DataFrame, unit_names: DataFrame, penalty: float = 0.5
         value, param, choices = read_rows(rows, tables)
         series = rows["series"].to_numpy()
         cuts = np.r_[0, np.flatnonzero(np.diff(series)) + 1, len(series)]
-        # one flat list of all parameters' units
-        first = np.cumsum([0, *map(len, tables.units)])
-        factors = np.r_[np.concatenate(tables.factors) if tables.factors else np.zeros(0), np.nan]
-        commons = np.array([*tables.own, 0])
-        single = (choices[:, 0] >= 0) & (choices[:, 1] < 0)
-        unit = np.where((choices[:, 0] < 0) & (param >= 0), commons[param], choices[:, 0])
-        origin, agrees = np.where(single, 0, np.where(choices[:, 0] >= 0, 1, 3)), np.full(len(series), -1)
-        known = single & (param >= 0) & np.isfinite(value) & (value > 0) & ~np.isnan(factors[np.where(single & (param >= 0), first[param] + choices[:, 0], -1)])
-        # a series that knows fewer than two converted values says nothing
-        telling = np.add.reduceat(known.astype(np.int64), cuts[:-1]) >= 2 if len(series) else np.zeros(0, bool)
-        for a, b in zip(cuts[:-1][telling], cuts[1:][telling]):
-            unit[a:b], origin[a:b], agrees[a:b] = units_of_series(value[a:b], choices[a:b], tables.factors[param[a]], tables.own[param[a]], penalty, tolerance)
+        first, factors = tables.first, tables.flat
+        unit, origin, agrees = units_of_series(value, param, choices, cuts, tables, penalty, tolerance)
         own = np.flatnonzero(rows["_halo"].to_numpy() == OWN)
         p, u, v, o = param[own], unit[own], value[own], origin[own]
         names = pa.array([x for units in tables.units for x in units] or [None], pa.string())
