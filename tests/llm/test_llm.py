@@ -179,6 +179,22 @@ def test_sites_of_one_well(spark):
     assert sorted(map(sorted, got.values())) == [[1, 2, 4, 5, 7], [3], [6], [8], [9], [10], [11], [12, 13]]
 
 
+def test_wells_under_many_ids_are_no_rivals(spark):
+    """Rows of exactly equal description under other ids are one well: neither table's listings push one another out."""
+    left = [(i, "S", f"s{i}", None, 35.0, -105.0, 300.0, "ft", "", 1) for i in range(4)] + [(20 + i, "S", f"t{i}", "Rusimphar Llano 4", 34.0, -106.0, 200.0, "ft", "", 1) for i in range(3)]
+    right = [(100 + i, "P", f"p{i}", "Kelstow Bluff 9", 35.0001, -105.0, 301.0, "ft", "", 1) for i in range(30)] + [(200 + i, "P", f"q{i}", "Rusimphar Llano 4", 34.0001, -106.0, 201.0, "ft", "", 1) for i in range(30)]
+    got = {(r.site_uid, r.pod_uid) for r in linkage.match(spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)).collect()}
+    assert got == {(l[0], r[0]) for l in left for r in right if (l[0] < 20) == (r[0] < 200)}
+
+
+def test_estimates_of_contracted_groups_stay_small(spark):
+    """The digits of the planner's estimate must not triple each round, or every later join works on millions of them."""
+    order = np.random.default_rng(1).permutation(300)
+    labels = components.groups(spark.createDataFrame([(int(a), int(b)) for a, b in zip(order[:-1], order[1:])], "u long, v long"))
+    assert len(str(labels._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1000
+    assert {r.group_id for r in labels.collect()} == {0}
+
+
 # encoding
 
 
