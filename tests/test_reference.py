@@ -121,6 +121,19 @@ def test_crosswalk_members_and_points_of_diversion(spark):
     assert (lone.match_method, lone.ose_pod_ids, lone.ose_pod_link_method) == ("unmatched", "LV-2", "spatial")
 
 
+def test_crosswalk_lists_groups_of_any_size(spark):
+    """A group of 1,101 wells: every other member in every row, and the digest of all sorted keys, as in SQL."""
+    import hashlib
+
+    schema = "site_uid long, source string, id string, name string, latitude double, longitude double, elevation double, elevation_units string, well_depth double, well_depth_units string, usgs_site_id string, alternate_site_id string"
+    rows = [(i, "A", f"a{i}", None, None, None, None, None, None, None, None, "HUB1") for i in range(1, 1101)] + [(2000, "NMOSEPOD", "HUB1", *[None] * 9)]
+    got = {r.site_key: r for r in correlation.crosswalk(spark.createDataFrame(rows, schema)).collect()}
+    keys = sorted([f"A:a{i}" for i in range(1, 1101)] + ["NMOSEPOD:HUB1"])
+    assert sorted(got) == keys and {r.cluster_id for r in got.values()} == {"wc_" + hashlib.sha1("|".join(keys).encode()).hexdigest()[:12]}
+    assert all(r.linked_site_ids == ",".join(k for k in keys if k != r.site_key) for r in got.values())
+    assert got["A:a7"].ose_pod_ids == "HUB1" and got["A:a7"].ose_pod_link_method == "explicit" and got["A:a7"].linked_by_agency.endswith('], "NMOSEPOD": ["HUB1"]}')
+
+
 def test_chain_labels(spark):
     e = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(70)] + [("x", "y"), (None, "z")], "a string, b string")
     got = {r.node: r.root for r in smallest_labels(e).collect()}

@@ -85,14 +85,14 @@ def _quoted(x) -> F.Column:
     return F.concat(F.lit('"'), F.regexp_replace(x, r'(["\\\\])', r"\\\\$1"), F.lit('"'))
 
 
-def crosswalk(sites: DataFrame, pods: DataFrame | None = None, pod_m: float = 150.0, most_listed: int = 1_000) -> DataFrame:
+def crosswalk(sites: DataFrame, pods: DataFrame | None = None, pod_m: float = 150.0, most_listed: int | None = None) -> DataFrame:
     """Every well with its group: its size, agencies and other members, how and how surely it was matched, and its points of diversion.
 
     Points of diversion (source NMOSEPOD, in ``sites`` or ``pods``) are wells like others; a group without one
     gets the nearest within ``pod_m`` of a member, of equally near ones the smaller id. ``cluster_id`` is a digest
-    of the sorted keys of the group. Groups of more than ``most_listed`` members are not gathered in rows: their
-    digest is that of counts and sums of key hashes, and they list no members (null); the group's rows are those
-    of one cluster_id.
+    of the sorted keys of the group. Every row lists all other members, so a group's rows grow as its size squared;
+    large groups are spread over tasks. Only if a caller gives ``most_listed``, larger groups list no members (null) and
+    their digest is that of counts and sums of key hashes.
     """
     c = cut_lineage(canonical(with_pods(sites, pods) if pods is not None else sites))
     explicit = cut_lineage(explicit_links(c))
@@ -105,13 +105,18 @@ def crosswalk(sites: DataFrame, pods: DataFrame | None = None, pod_m: float = 15
     wells = cut_lineage(wells.join(roots.select(F.col("node").alias("site_uid"), "root"), "site_uid", "left").withColumn("root", F.coalesce("root", "site_uid")))
     size = wells.groupBy("root").agg(F.count(F.lit(1)).alias("cluster_size"), F.count_distinct("agency").alias("n_agencies"), F.max("is_ose_pod").alias("has_pod"), F.bit_xor(F.xxhash64("site_key")).alias("x"), F.sum(F.xxhash64("site_key").cast("decimal(38,0)")).alias("y"))
     loose = F.concat_ws("|", F.col("cluster_size").cast("string"), F.col("x").cast("string"), F.col("y").cast("string"))
-    listed = wells.join(size.where(F.col("cluster_size") <= most_listed).select("root"), "root").groupBy("root").agg(F.array_sort(F.collect_list(F.struct("site_key", "agency", "id", "is_ose_pod"))).alias("members"))
+    held = wells if most_listed is None else wells.join(size.where(F.col("cluster_size") <= most_listed).select("root"), "root")
+    listed = held.groupBy("root").agg(F.array_sort(F.collect_list(F.struct("site_key", "agency", "id", "is_ose_pod"))).alias("members"))
     keys = F.array_join(F.transform("members", lambda m: m["site_key"]), "|")
     group = size.join(listed, "root", "left").join(per, "root", "left").withColumn("cluster_id", F.concat(F.lit("wc_"), F.substring(F.sha1(F.coalesce(keys, loose)), 1, 12)))
     # groups without a point of diversion: the nearest one within reach of a member
     near = pods_within(wells.where("not is_ose_pod").join(size.where("not has_pod").select("root"), "root"), wells.where("is_ose_pod").select(F.col("site_uid").alias("pod_uid"), "latitude", "longitude"), pod_m)
     near = near.join(wells.select(F.col("site_uid").alias("pod_uid"), F.col("id").alias("pod_id")), "pod_uid").join(wells.select("site_uid", "root"), "site_uid").groupBy("root").agg(F.min(F.struct("distance_m", "pod_id")).alias("near"))
-    out = wells.join(group, "root").join(near.select("root", F.col("near.pod_id").alias("near_pod")), "root", "left")
+    # a large group's list is handed to several parts of its rows
+    parts = F.ceil(F.col("cluster_size") / 250).cast("long")
+    rows = wells.join(size.select("root", "cluster_size"), "root").withColumn("part", F.pmod(F.xxhash64("site_key"), parts)).drop("cluster_size")
+    group = group.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    out = rows.join(group, ["root", "part"]).join(near.select("root", F.col("near.pod_id").alias("near_pod")), "root", "left")
     others = F.filter("members", lambda m: m["site_key"] != F.col("site_key"))
     agencies = F.array_sort(F.array_distinct(F.transform(others, lambda m: m["agency"])))
     by_agency = F.transform(agencies, lambda a: F.concat(_quoted(a), F.lit(": ["), F.array_join(F.transform(F.array_sort(F.transform(F.filter(others, lambda m: m["agency"] == a), lambda m: m["id"])), _quoted), ", "), F.lit("]")))
